@@ -48,7 +48,8 @@ def check_row_counts(control: DataFrame, counts: DataFrame, criteria: FileCriter
 def ordered_fields(registry: DataFrame) -> DataFrame:
     """Registered fields of each object as one list in registry order (a list is as long as a table is wide)."""
     pairs = F.sort_array(F.collect_list(F.struct("ID_OBJECT", "FIELD_NAME")))
-    return registry.groupBy("OBJECT_NAME").agg(F.transform(pairs, lambda p: p["FIELD_NAME"]).alias("expected"))
+    fields = F.transform(pairs, lambda p: p["FIELD_NAME"])
+    return registry.groupBy(F.col("OBJECT_NAME").alias("object_name")).agg(fields.alias("expected"))
 
 
 def check_schemas(headers: DataFrame, registry: DataFrame) -> DataFrame:
@@ -57,8 +58,8 @@ def check_schemas(headers: DataFrame, registry: DataFrame) -> DataFrame:
     known = expected.isNotNull()
     differs = known & (actual != expected)
     return (
-        headers.join(ordered_fields(registry), F.col("object_name") == F.col("OBJECT_NAME"), "left")
-        .select(headers["object_name"], "actual", "expected")
+        headers.select("object_name", "actual")
+        .join(ordered_fields(registry), "object_name", "left")
         .select(
             "object_name",
             F.when(known & (actual == expected), "PASSED").otherwise("FAILED").alias("status"),
