@@ -36,6 +36,10 @@ class BatchStamp:
         data = [c for c in df.columns if c not in stamped]
         return df.select(*[v.alias(k) for k, v in stamped.items()], *data)
 
+    def put_on_with_id(self, df: DataFrame) -> DataFrame:
+        """As `put_on`, with a row id that is unique within the batch."""
+        return self.put_on(df).withColumn("META_ROW_ID", F.monotonically_increasing_id())
+
     def fill_in(self, df: DataFrame) -> DataFrame:
         """Stamp only rows that carry no batch yet."""
         fresh = F.col("META_BATCH_ID").isNull()

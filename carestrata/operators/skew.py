@@ -16,6 +16,5 @@ def salted_join(
     Every key's rows are dealt over `salts` tasks by `spread`; the unique side is repeated once per salt.
     """
     left = many.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")
-    right = one.withColumn("_salt", salt)
+    right = one.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
