@@ -30,12 +30,16 @@ CODE_SET_FOLDER = "https://www.nucc.org/"
 CODE_SET_LINK = r"nucc.*taxonomy.*csv"
 # --- end of fixed values ------------------------------------------------------------------------------------
 
-_PERIOD = r"(\d{6})_(\d{6})"
 _YEAR = r"20\d{2}"
 
 
+def _period(name: Column) -> Column:
+    """The `MMDDYY_MMDDYY` text of a name, '' without one."""
+    return F.regexp_extract(name, r"\d{6}_\d{6}", 0)
+
+
 def _has_period(name: Column) -> Column:
-    return name.rlike(_PERIOD)
+    return _period(name) != ""
 
 
 def _iso_day(mmddyy: Column) -> Column:
@@ -49,7 +53,7 @@ def _us_day(mmddyy: Column) -> Column:
 
 
 def _edge(name: Column, which: int) -> Column:
-    return F.regexp_extract(name, _PERIOD, which)
+    return F.substring(_period(name), 1 if which == 1 else 8, 6)
 
 
 def year_in(name: Column) -> Column:

@@ -29,9 +29,9 @@ def track_history(
     live = (F.col("IS_CURRENT") == "Y") & ~any_null(keys)
     current = history.select(*columns).where(live).withColumn("h_row", F.lit(True))
     on = [current[k] == src[f"s_{k}"] for k in keys]
-    joined = current.join(src, on, "full_outer")
-
-    changed = F.col("h_row") & F.col("s_row") & differs(business, sep)
+    compared = F.coalesce(F.col("h_row") & F.col("s_row") & differs(business, sep), F.lit(False))
+    joined = current.join(src, on, "full_outer").withColumn("_changed", compared)
+    changed = F.col("_changed")
     closed = F.struct(
         *[F.col(c) for c in (*keys, *business)],
         F.col("VALID_FROM"),
@@ -46,7 +46,7 @@ def track_history(
     )
     versions = (
         F.when(F.col("h_row").isNull(), F.array(opened))
-        .when(F.coalesce(changed, F.lit(False)), F.array(closed, opened))
+        .when(changed, F.array(closed, opened))
         .otherwise(F.array(closed))
     )
     moved = joined.select(F.inline(versions))

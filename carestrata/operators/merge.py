@@ -98,14 +98,14 @@ def merge_changed(
 
     if strategy == "shuffle":
         joined = old.join(src, _match(old, src, keys), "full_outer")
-        merged = joined.select(*_next_columns(meta, keys, business, sep))
+        merged = _next_state(joined, meta, keys, business, sep)
     elif strategy == "broadcast":
         small = F.broadcast(src)
         touched = old.join(small, _match(old, small, keys), "left")
         known = old.select(*keys).join(small, _match(old, small, keys), "left_semi")
         fresh = src.join(known, _match(known, src, keys), "left_anti")
         inserts = fresh.select(*[v.alias(k) for k, v in meta.items()], *[F.col(f"s_{c}").alias(c) for c in (*keys, *business)])
-        merged = touched.select(*_next_columns(meta, keys, business, sep)).unionByName(inserts)
+        merged = _next_state(touched, meta, keys, business, sep).unionByName(inserts)
     else:
         raise ValueError(f"unknown merge strategy {strategy!r}")
 
@@ -116,21 +116,19 @@ def merge_changed(
     return merged
 
 
-def _next_columns(meta: dict[str, Column], keys: Sequence[str], business: Sequence[str], sep: str) -> list[Column]:
-    inserted = F.col("g_row").isNull()
-    updated = F.col("g_row") & F.col("s_row") & differs(business, sep)
-    take = inserted | F.coalesce(updated, F.lit(False))
-    out = []
-    for name, value in meta.items():
-        old = F.col(name)
-        if name == "META_DATE_UPDATE":
-            old = F.when(updated, meta["META_DATE_INSERT"]).otherwise(old)
-        elif name == "META_UPD_BATCH_ID":
-            old = F.when(updated, meta["META_BATCH_ID"]).otherwise(old)
-        out.append(F.when(inserted, value).otherwise(old).alias(name))
+def _next_state(joined: DataFrame, meta: dict[str, Column], keys: Sequence[str], business: Sequence[str], sep: str) -> DataFrame:
+    """Rows after the merge. The comparison is a column of its own, so it is computed once per row."""
+    changed = F.col("s_row") & differs(business, sep)
+    decided = joined.withColumn("_next", F.when(F.col("g_row").isNull(), "insert").when(changed, "update"))
+    inserted, updated = F.col("_next") == "insert", F.col("_next") == "update"
+    kept = {
+        "META_DATE_UPDATE": F.when(updated, meta["META_DATE_INSERT"]).otherwise(F.col("META_DATE_UPDATE")),
+        "META_UPD_BATCH_ID": F.when(updated, meta["META_BATCH_ID"]).otherwise(F.col("META_UPD_BATCH_ID")),
+    }
+    out = [F.when(inserted, new).otherwise(kept.get(name, F.col(name))).alias(name) for name, new in meta.items()]
     out += [F.coalesce(F.col(k), F.col(f"s_{k}")).alias(k) for k in keys]
-    out += [F.when(take, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in business]
-    return out
+    out += [F.when(F.col("_next").isNotNull(), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in business]
+    return decided.select(*out)
 
 
 def fits_broadcast(source: DataFrame, columns: Sequence[str], limit: int = BROADCAST_LIMIT) -> bool:

@@ -90,8 +90,9 @@ def _duplicate_rule(df: DataFrame, rule: Rule) -> DataFrame:
     if unresolved:
         counts = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.lit(None).cast("bigint")).alias("f"))
     else:
-        per_key = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("k"))
-        counts = per_key.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("f"))
+        per_key = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
+        rows = F.coalesce(F.sum("_rows"), F.lit(0))
+        counts = per_key.agg(rows.alias("n"), (rows - F.count(F.lit(1))).alias("f"))
     return counts.select(*_result(rule, F.col("n"), F.col("f"))).toDF(*RESULT_COLUMNS)
 
 

@@ -14,8 +14,8 @@ def upsert(gold: GoldTable, silver: DataFrame, stamp: BatchStamp, sep: str = "",
     Gold is bucketed by its keys. The batch is exchanged once into the same number of partitions, gold not at all,
     and each task of the full outer join writes one bucket.
     """
-    target = gold.target
-    batch = silver.repartition(gold.current_buckets(), *target.keys)
-    merged = merge_changed(gold.current(), batch, target.keys, target.business, stamp, sep=sep, null_keys=null_keys)
-    published = gold.publish(merged, stamp.batch_id, stamp.as_of)
-    return merge_counts(published, stamp.batch_id).first().asDict()
+    target, head = gold.target, gold.head()
+    batch = silver.repartition(head.buckets, *target.keys)
+    merged = merge_changed(gold.at(head), batch, target.keys, target.business, stamp, sep=sep, null_keys=null_keys)
+    published = gold.publish(merged, head, stamp.batch_id, stamp.as_of)
+    return merge_counts(gold.at(published), stamp.batch_id).first().asDict()

@@ -234,7 +234,7 @@ def program_job(
         tables = {}
         for file_name, path in sources.items():
             name = file_name[: -len(".csv")]
-            data = csv_strings(spark, path, multiline.get(name, True)).drop("file_name")
+            data = csv_strings(spark, path, multiline.get(name, True))
             lake.bronze(name).replace(stamp.put_on_with_id(data))
             tables[name] = lake.bronze(name).read(stamp.batch_id)
         apply_rules(lake, tables, rules, config, stamp)
@@ -245,7 +245,7 @@ def _load_sources(spark: SparkSession, landed: DataFrame, load: str, config: Pro
     """Cleaned file name -> path, over landed CSV files and extracted members; a set has a handful of files."""
     csv = F.lower("clean_name").endswith(".csv")
     plain = {r["clean_name"]: r["path"] for r in landed.where(csv).select("clean_name", "path").collect()}
-    member = F.regexp_extract("path", r"/file_name=([^/]+)/[^/]*\z", 1)
+    member = F.regexp_extract("path", r"/file_name=([^/]+)/", 1)
     inside = file_inventory(spark, load, "*.txt").select(F.url_decode(member).alias("n")).distinct()
     unzipped = {r["n"]: f"{load}/file_name={r['n']}" for r in inside.where(F.lower("n").endswith(".csv")).collect()}
     return {**plain, **unzipped}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -92,6 +93,13 @@ class LogTable:
             return self.spark.createDataFrame([], self.schema)
 
 
+@dataclass(frozen=True)
+class Head:
+    version: int
+    path: str | None
+    buckets: int
+
+
 class GoldTable:
     """Current state as published versions, bucketed and sorted by key.
 
@@ -115,35 +123,34 @@ class GoldTable:
         except AnalysisException:
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def _head(self):
-        return self.log().orderBy(F.desc("version")).first()
-
-    def current_buckets(self) -> int:
-        head = self._head()
-        return head["buckets"] if head else self.buckets
+    def head(self) -> Head:
+        """The published version, read from the log once; version 0 before the first one."""
+        row = self.log().orderBy(F.desc("version")).first()
+        return Head(row["version"], row["path"], row["buckets"]) if row else Head(0, None, self.buckets)
 
-    def current(self) -> DataFrame:
-        """The published state; before the first version an empty relation, which the optimizer drops from joins."""
-        head = self._head()
-        if head is None:
+    def at(self, head: Head) -> DataFrame:
+        """Rows of a version. Version 0 is an empty relation, which the optimizer drops from joins."""
+        if head.path is None:
             typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
             return self.spark.range(1).where(F.lit(False)).select(*typed)
-        name = f"{self._prefix}_v{head['version']}"
-        keys = ", ".join(f"`{k}`" for k in self.target.keys)
+        name, keys = f"{self._prefix}_v{head.version}", ", ".join(f"`{k}`" for k in self.target.keys)
+        location = head.path.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.ddl}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {head['buckets']} BUCKETS LOCATION '{head['path']}'"
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {head.buckets} BUCKETS LOCATION '{location}'"
         )
         return self.spark.table(name)
 
-    def publish(self, df: DataFrame, batch_id: int, at: datetime) -> DataFrame:
-        """Write the next version and make it current."""
-        head, buckets = self._head(), self.current_buckets()
-        version = (head["version"] if head else 0) + 1
-        name, path = f"{self._prefix}_v{version}", f"{self.path}/v={version}"
+    def current(self) -> DataFrame:
+        return self.at(self.head())
+
+    def publish(self, df: DataFrame, base: Head, batch_id: int, at: datetime) -> Head:
+        """Write the version after `base` and make it current."""
+        new = Head(base.version + 1, f"{self.path}/v={base.version + 1}", base.buckets)
+        name = f"{self._prefix}_v{new.version}"
         drop_if_exists(self.spark, name)
-        writer = df.select(*self.target.columns).write.format("parquet").mode("overwrite").option("path", path)
-        writer.bucketBy(buckets, *self.target.keys).sortBy(*self.target.keys).saveAsTable(name)
-        entry = self.spark.createDataFrame([(version, path, buckets, batch_id, at)], LOG_SCHEMA)
+        writer = df.select(*self.target.columns).write.format("parquet").mode("overwrite").option("path", new.path)
+        writer.bucketBy(new.buckets, *self.target.keys).sortBy(*self.target.keys).saveAsTable(name)
+        entry = self.spark.createDataFrame([(new.version, new.path, new.buckets, batch_id, at)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(self._log)
-        return self.current()
+        return new

@@ -22,8 +22,10 @@ class HeaderMismatch(ValueError):
 
 
 def _reader(spark: SparkSession, multiline: bool):
-    """Quotes are escaped by doubling. A multi-line file is read by a single task, so ask `csv_profile` first."""
-    return spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multiline).lower())
+    """Quotes are escaped by doubling. A multi-line file is read by a single task, so ask `csv_profile` first.
+    Folders are read as they are: their names give no columns."""
+    options = {"header": "true", "escape": '"', "multiLine": str(multiline).lower(), "recursiveFileLookup": "true"}
+    return spark.read.options(**options)
 
 
 def csv_strings(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
@@ -85,7 +87,7 @@ def csv_headers(spark: SparkSession, paths: Sequence[str], naive: bool = False)
     """
 
     def header(path: str) -> tuple[str, str, str, list[str]]:
-        row = spark.read.text(path).first()
+        row = spark.read.option("recursiveFileLookup", "true").text(path).first()
         line = (row[0] if row else "").removeprefix("\ufeff")
         if naive:
             names = [t for t in (x.strip().strip('"').strip() for x in line.split(",")) if t]
@@ -202,7 +204,7 @@ def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
     parallel over the splits of each file. `multiline` tells whether a file needs the single-task reader. Files of
     an extracted archive go by the member's name.
     """
-    text = spark.read.text(paths).select(
+    text = spark.read.option("recursiveFileLookup", "true").text(paths).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
     )
     splits = text.mapInArrow(_summarise(sep), _SPLIT_SCHEMA)
@@ -221,7 +223,7 @@ def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
     )
     records = F.col("all.records") + F.col("all.inside").cast("int")
     decoded = F.url_decode(F.regexp_replace("path", r"\+", "%2B"))
-    extracted = F.nullif(F.regexp_extract(decoded, r"/file_name=([^/]+)/[^/]*\z", 1), F.lit(""))
+    extracted = F.nullif(F.regexp_extract(decoded, r"/file_name=([^/]+)/", 1), F.lit(""))
     file_name = F.coalesce(extracted, F.substring_index(decoded, "/", -1))
     return per_file.select(
         "path",

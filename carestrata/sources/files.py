@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from carestrata.functions.releases import DATA_FILE_STEM, data_file_name
 
 MEMBER_SCHEMA = "path string, ordinal int, member string, size bigint"
 LINE_SCHEMA = "path string, ordinal int, member string, line_no bigint, value string"
-LINES_PER_BATCH = 20_000
+BYTES_PER_BATCH = 4 * 1024 * 1024
 
 
 def file_inventory(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
@@ -54,41 +56,64 @@ def archive_members(spark: SparkSession, folder: str) -> DataFrame:
     return list_members(_archives(spark, folder))
 
 
-def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["path", "ordinal", "member", "line_no", "value"]
+def _lines_of(archive: zipfile.ZipFile, path: str) -> Iterator[pa.RecordBatch]:
+    for ordinal, info in enumerate(archive.infolist(), 1):
+        if info.is_dir():
+            continue
+        with archive.open(info) as raw, io.TextIOWrapper(raw, "utf-8-sig", newline="\n") as text:
+            number = 0
+            while lines := text.readlines(BYTES_PER_BATCH):
+                n = len(lines)
+                value = [line.removesuffix("\n").removesuffix("\r") for line in lines]
+                columns = [
+                    pa.repeat(pa.scalar(path, pa.string()), n),
+                    pa.repeat(pa.scalar(ordinal, pa.int32()), n),
+                    pa.repeat(pa.scalar(info.filename, pa.string()), n),
+                    pa.array(np.arange(number, number + n, dtype=np.int64)),
+                    pa.array(value, pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "ordinal", "member", "line_no", "value"])
+                number += n
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of small members share a batch, large members come in several."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for ordinal, info in enumerate(archive.infolist(), 1):
-                    if info.is_dir():
-                        continue
-                    rows: list[tuple] = []
-                    with archive.open(info) as raw, io.TextIOWrapper(raw, "utf-8-sig", newline="\n") as text:
-                        for number, line in enumerate(text):
-                            rows.append((path, ordinal, info.filename, number, line.rstrip("\n").removesuffix("\r")))
-                            if len(rows) == LINES_PER_BATCH:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=columns)
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
+                for lines in _lines_of(archive, path):
+                    held.append(lines)
+                    size += lines.nbytes
+                    if size >= BYTES_PER_BATCH:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                        held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def member_lines(archives: DataFrame) -> DataFrame:
     """Text lines of all members of archives given as `path, content`, inflated as a stream: a task holds one
     archive and one batch of lines."""
-    return archives.select("path", "content").mapInPandas(_read_lines, LINE_SCHEMA)
+    return archives.select("path", "content").mapInArrow(_read_lines, LINE_SCHEMA)
 
 
 def extract_archives(spark: SparkSession, folder: str, target: str) -> None:
-    """Write each text member to `target/file_name=<cleaned name>/`, its lines in order, in one file per member.
+    """Write each text member to `target/file_name=<cleaned name>/member=<id>/`, its lines in order, in one file.
 
-    Directory entries are skipped. Members are written by the task that inflates them, so nothing is exchanged.
+    Members whose cleaned names are equal stay apart, each with its own header. Directory entries are skipped.
+    Members are written by the task that inflates them, so nothing is exchanged.
     """
     lines = member_lines(_archives(spark, folder))
-    base = F.substring_index("member", "/", -1)
-    named = lines.select(clean_file_name(base).alias("file_name"), "path", "ordinal", "line_no", "value")
-    ordered = named.sortWithinPartitions("file_name", "path", "ordinal", "line_no")
-    ordered.select("file_name", "value").write.mode("overwrite").partitionBy("file_name").text(target)
+    named = lines.select(
+        clean_file_name(F.substring_index("member", "/", -1)).alias("file_name"),
+        F.concat_ws("-", F.md5("path"), "ordinal").alias("member"),
+        "line_no",
+        "value",
+    )
+    ordered = named.sortWithinPartitions("file_name", "member", "line_no").drop("line_no")
+    ordered.write.mode("overwrite").partitionBy("file_name", "member").text(target)
 
 
 def first_member(members: DataFrame, stem: str) -> DataFrame:

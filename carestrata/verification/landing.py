@@ -450,7 +450,8 @@ def _zip_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text", "lang")
-    return documents.mapInPandas(_zip_up, "path string, content binary")
+    # packing is heavy for its few input splits
+    return documents.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_zip_up, "path string, content binary")
 
 
 @verify("""
@@ -545,7 +546,8 @@ _ORDER_TARGET = TargetTable("ORDERS", ("o_orderkey",), ("o_custkey", "o_ordersta
 def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches merged into a bucketed gold table through its published versions."""
     first, second = _changed_orders(spark, sf_dir)
-    gold = GoldTable(spark, scratch(spark, "gold"), _ORDER_TARGET, buckets=8)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gold = GoldTable(spark, scratch(spark, "gold"), _ORDER_TARGET, buckets)
     for n, (batch, at) in enumerate(((first, datetime(2024, 1, 1)), (second, datetime(2024, 2, 1))), 1):
         rows = batch.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
         upsert(gold, rows, BatchStamp("ORDERS", "SALES", n, at))

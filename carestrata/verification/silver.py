@@ -185,16 +185,16 @@ _LINE_STEMS = ("qty", "flag", "price", "ship")
 
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with seven groups of four columns, one group per line number."""
-    money = F.col("l_extendedprice").cast("decimal(18,2)")
-    slots = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").pivot("l_linenumber", list(range(1, 8)))
-    wide = slots.agg(
-        F.sum(F.col("l_quantity").cast("bigint")).cast("string").alias("qty"),
-        F.max("l_returnflag").alias("flag"),
-        F.sum(money).cast("string").alias("price"),
-        F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("ship"),
-    )
-    names = {f"{i}_{s}": f"{s}_{i}" for i in range(1, 8) for s in _LINE_STEMS}
-    return wide.withColumnsRenamed(names)
+    at, money = F.col("l_linenumber"), F.col("l_extendedprice").cast("decimal(18,2)")
+    groups = []
+    for i in range(1, 8):
+        groups += [
+            F.sum(F.when(at == i, F.col("l_quantity").cast("bigint"))).cast("string").alias(f"qty_{i}"),
+            F.char(F.max(F.when(at == i, F.ascii("l_returnflag")))).alias(f"flag_{i}"),
+            F.sum(F.when(at == i, money)).cast("string").alias(f"price_{i}"),
+            F.date_format(F.max(F.when(at == i, F.col("l_shipdate"))), "yyyy-MM-dd").alias(f"ship_{i}"),
+        ]
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*groups)
 
 
 @verify("""
@@ -213,7 +213,8 @@ _ID_STEMS = ("ident", "kind", "state", "issuer")
 
 @verify("""
     SELECT o_custkey, CAST(1 + o_orderkey % 50 AS VARCHAR) AS seq_id, CAST(max(o_orderkey) AS VARCHAR) AS ident,
-           max(o_orderstatus) AS kind, min(o_orderpriority) AS state, CAST(count(*) AS VARCHAR) AS issuer
+           strftime(min(o_orderdate), '%Y-%m-%d') AS kind, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS state,
+           CAST(count(*) AS VARCHAR) AS issuer
     FROM orders GROUP BY o_custkey, o_orderkey % 50
 """)
 def unpivot_groups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,8 +223,8 @@ def unpivot_groups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = table(spark, sf_dir, "orders").withColumn("slot", 1 + F.col("o_orderkey") % 50)
     wide = keyed.groupBy("o_custkey").pivot("slot", slots).agg(
         F.max("o_orderkey").cast("string").alias("ident"),
-        F.max("o_orderstatus").alias("kind"),
-        F.min("o_orderpriority").alias("state"),
+        F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("kind"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("string").alias("state"),
         F.count(F.lit(1)).cast("string").alias("issuer"),
     )
     wide = wide.withColumnsRenamed({f"{i}_{s}": f"{s}_{i}" for i in slots for s in _ID_STEMS})
