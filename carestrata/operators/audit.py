@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,13 @@ def monitor_outcome(result: dict) -> dict:
     return result
 
 
+def run_if_completed(upstream: dict, step: Callable[[], dict]) -> dict:
+    """Run a step after a completed one; otherwise report it as skipped."""
+    if upstream.get("status") != "completed":
+        return {"status": "skipped", "reason": f"upstream is {upstream.get('status', 'unknown')}"}
+    return step()
+
+
 def may_start(result: dict, at_least: bool = False) -> bool:
     """A batch starts on a complete set with the expected number of files (or at least that many)."""
     seen = monitor_outcome(result)

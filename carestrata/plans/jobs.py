@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from carestrata.operators.fileset import set_completeness
 from carestrata.operators.lineage import LINEAGE_COLUMNS, lineage_rows
 from carestrata.operators.merge import BatchStamp
 from carestrata.operators.predicates import file_matches
-from carestrata.operators.rules import Rule, route_alerts, run_log, run_rules
+from carestrata.operators.rules import Rule, latest_result, route_alerts, run_log, run_rules
 from carestrata.operators.validate import (
     check_against_metadata,
     check_row_counts,
@@ -129,7 +130,8 @@ def require_complete(files: DataFrame, config: ProgramConfig, at_least: bool = F
 def record_lineage(lake: Lake, folder: str, config: ProgramConfig, stamp: BatchStamp) -> None:
     files = file_inventory(lake.spark, folder)
     files = files.where(file_matches(config.criteria, F.col("name")))
-    members = archive_members(lake.spark, folder).join(files.select("path"), "path", "left_semi")
+    owner = F.substring_index("path", "/", -1)
+    members = archive_members(lake.spark, folder).where(file_matches(config.criteria, owner))
     day = stamp.as_of.date().isoformat()
     lake.lineage.append(lineage_rows(files, members, stamp.program, stamp.subject, stamp.batch_id, day))
 
@@ -144,9 +146,7 @@ def apply_rules(
     day = stamp.as_of.date().isoformat()
     results = run_rules(tables, mine, config.rule_group, config.rule_id)
     lake.run_log.append(run_log(results, stamp.batch_id, day))
-    logged = lake.run_log.read().where(
-        (F.col("ID_BATCH") == str(stamp.batch_id)) & (F.col("DATE_METRIC") == day) & (F.col("RULE_GROUP") == config.rule_group)
-    )
+    logged = latest_result(lake.run_log.read(), stamp.batch_id, day, config.rule_group)
     alerts = route_alerts(logged)
     stops = [r["cause"] for r in alerts.where("stops_run").select("cause").distinct().collect()]
     if stops:
@@ -162,6 +162,22 @@ def _load_wide(lake: Lake, path: str, names: Sequence[str], table: str, stamp: B
     return lake.bronze(table).read(stamp.batch_id)
 
 
+def _side_by_side(work: Callable, items: Sequence) -> list:
+    """Independent tables of one batch, submitted together so that small ones do not leave the cluster idle."""
+    with ThreadPool(len(items)) as pool:
+        return pool.map(work, items, chunksize=1)
+
+
+def _build_silver(lake: Lake, names: Sequence[str], bronze: DataFrame, stamp: BatchStamp) -> None:
+    """All silver tables of a batch, or none of them."""
+    try:
+        _side_by_side(lambda name: lake.silver(name).replace(silver.build(name, bronze, stamp)), names)
+    except Exception:
+        for name in names:
+            lake.silver(name).drop_batch(stamp.batch_id)
+        raise
+
+
 def registry_job(
     lake: Lake, path: str, config: ProgramConfig, at: datetime, rules: Sequence[Rule] = (), names: Sequence[str] = REGISTRY_COLUMNS
 ) -> dict:
@@ -170,11 +186,12 @@ def registry_job(
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
         if bronze.isEmpty():
             return {"status": "no_data", "batch_id": stamp.batch_id}
-        gold = {}
-        for name, target in PROVIDER_TABLES.items():
-            lake.silver(name).replace(silver.build(name, bronze, stamp))
-        for name, target in PROVIDER_TABLES.items():
-            gold[name] = upsert(lake.gold(target), lake.silver(name).read(stamp.batch_id), stamp)
+        _build_silver(lake, list(PROVIDER_TABLES), bronze, stamp)
+
+        def merge(target: TargetTable) -> dict:
+            return upsert(lake.gold(target), lake.silver(target.name).read(stamp.batch_id), stamp)
+
+        gold = dict(zip(PROVIDER_TABLES, _side_by_side(merge, list(PROVIDER_TABLES.values())), strict=True))
         apply_rules(lake, {config.bronze_table: bronze}, rules, config, stamp)
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": gold}
 
@@ -187,7 +204,7 @@ def code_set_job(
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
         if bronze.isEmpty():
             return {"status": "no_data", "batch_id": stamp.batch_id}
-        lake.silver(CODE_SET_TABLE.name).replace(silver.build(CODE_SET_TABLE.name, bronze, stamp))
+        _build_silver(lake, [CODE_SET_TABLE.name], bronze, stamp)
         batch = lake.silver(CODE_SET_TABLE.name).read(stamp.batch_id)
         counts = upsert(lake.gold(CODE_SET_TABLE), batch, stamp, sep="|", null_keys="insert")
         apply_rules(lake, {config.bronze_table: bronze}, rules, config, stamp)

@@ -69,6 +69,12 @@ class BatchTable:
         df = self.spark.read.parquet(self.path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
         return df if batch_id is None else df.where(in_batch(batch_id))
 
+    def drop_batch(self, batch_id: int) -> bool:
+        """Take a batch out again. Returns whether it was there."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        partition = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BATCH}={batch_id}")
+        return partition.getFileSystem(conf).delete(partition, True)
+
     def exists(self) -> bool:
         try:
             self.spark.read.parquet(self.path)

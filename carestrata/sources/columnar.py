@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carestrata.operators.merge import BatchStamp
 from carestrata.sources.delimited import bind_by_name
@@ -16,10 +17,12 @@ def fold_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def parquet_into(spark: SparkSession, path: str, existing: DataFrame | None) -> DataFrame:
+def parquet_into(spark: SparkSession, path: str, existing: T.StructType | None) -> DataFrame:
     """Rows of a Parquet source with upper-cased names, aligned by name with a table that may lack columns."""
     new = fold_names(spark.read.parquet(path))
-    return new if existing is None else fold_names(existing.limit(0)).unionByName(new, allowMissingColumns=True)
+    if existing is None:
+        return new
+    return fold_names(spark.createDataFrame([], existing)).unionByName(new, allowMissingColumns=True)
 
 
 def parquet_by_name(spark: SparkSession, path: str, target: Sequence[str], stamp: BatchStamp) -> DataFrame:

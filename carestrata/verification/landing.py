@@ -309,7 +309,8 @@ def releases_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @verify(f"""SELECT name FROM ({_FILES_SQL}) WHERE name NOT IN (
     SELECT o_orderpriority || '-' || o_orderstatus || '-' || l_orderkey || '.csv' FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity > 30)""")
 def files_to_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 30).select(F.col("l_orderkey").alias("o_orderkey"))
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 30)
+    lines = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     name = F.concat("o_orderpriority", F.lit("-"), "o_orderstatus", F.lit("-"), "o_orderkey", F.lit(".csv"))
     there = lines.join(table(spark, sf_dir, "orders"), "o_orderkey").select(name.alias("name"))
     return not_present(_order_files(spark, sf_dir).select("name"), there)
@@ -373,22 +374,22 @@ def code_set_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- lineage and archives ----------------------------------------------------------------------------------
-_EVENT_FILE = "event_type || '/' || user_id || CASE WHEN user_id % 3 = 0 THEN '.zip' WHEN user_id % 3 = 1 THEN '.csv' ELSE '.xlsx' END"
+_EVENT_FILE = "event_type || '/' || user_id || CASE WHEN event_type IN ('click', 'purchase') THEN '.zip' WHEN event_type = 'view' THEN '.csv' ELSE '.xlsx' END"
 _LINEAGE_FIXED = "'INBOUND' AS CODE_TRANSACTION_TYPE"
 
 
 def _event_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    user = F.col("user_id")
-    ext = F.when(user % 3 == 0, ".zip").when(user % 3 == 1, ".csv").otherwise(".xlsx")
+    zipped = F.col("event_type").isin("click", "purchase")
+    ext = F.when(zipped, ".zip").when(F.col("event_type") == "view", ".csv").otherwise(".xlsx")
     path = F.concat("event_type", F.lit("/"), "user_id", ext)
     events = table(spark, sf_dir, "events").withColumn("path", path)
-    known = F.max(F.when(F.col("event_type") != "view", F.length("props"))).cast("bigint")
+    known = F.max(F.when(F.col("event_type") != "error", F.length("props"))).cast("bigint")
     files = events.groupBy("path").agg(
         F.substring_index(F.first("path"), "/", -1).alias("name"), known.alias("size"), F.max("ts").alias("modified")
     )
     kind = F.when(F.col("value") > 50, ".txt").otherwise(".csv")
     folder = F.when(F.col("value") < 1, F.lit("/")).otherwise(kind)
-    members = events.where(user % 3 == 0).select(
+    members = events.where(zipped).select(
         "path",
         (F.col("event_id") + 1).cast("int").alias("ordinal"),
         F.concat(F.lit("in/"), "event_id", folder).alias("member"),
@@ -399,7 +400,7 @@ def _event_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 @verify(f"""
     WITH e AS (SELECT *, {_EVENT_FILE} AS path FROM events),
-    f AS (SELECT path, max(CASE WHEN event_type <> 'view' THEN length(props) END) AS size, max(ts) AS modified FROM e GROUP BY path),
+    f AS (SELECT path, max(CASE WHEN event_type <> 'error' THEN length(props) END) AS size, max(ts) AS modified FROM e GROUP BY path),
     p AS (SELECT *, 'MEDICAID_EVENTS_2024-03-01_7_' || row_number() OVER (ORDER BY path) AS id FROM f)
     SELECT id AS ID_TRANSACTION, NULL AS CHILD_ID_TRANSACTION, split_part(path, '/', 2) AS FILE_NAME, path AS FILE_PATH_FQN,
            CASE split_part(path, '.', 2) WHEN 'zip' THEN 'ZIP' WHEN 'csv' THEN 'CSV' ELSE 'EXCEL' END AS CODE_FILE_TYPE, {_LINEAGE_FIXED},
@@ -409,7 +410,7 @@ def _event_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     UNION ALL
     SELECT id, CAST(event_id + 1 AS VARCHAR), event_id || ext, path || '/' || event_id || ext, CASE ext WHEN '.txt' THEN 'TEXT' ELSE 'CSV' END, 'INBOUND',
            strftime(modified, '%Y-%m-%d %H:%M:%S'), 'EVENTS', 7, 'DAILY', length(props) || 'B', 'ETL'
-    FROM (SELECT *, CASE WHEN value > 50 THEN '.txt' ELSE '.csv' END AS ext FROM e WHERE user_id % 3 = 0 AND NOT value < 1) JOIN p USING (path)
+    FROM (SELECT *, CASE WHEN value > 50 THEN '.txt' ELSE '.csv' END AS ext FROM e WHERE event_type IN ('click', 'purchase') AND NOT value < 1) JOIN p USING (path)
 """)
 def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file per user and event type, archives with one member per event."""
@@ -491,7 +492,7 @@ def _land(df: DataFrame, label: str, **options: str) -> str:
     return path
 
 
-@verify(f"{_TEXT_SQL}, NULL AS not_landed FROM r")
+@verify(f"{_TEXT_SQL}, CAST(NULL AS VARCHAR) AS not_landed FROM r")
 def csv_load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _text_orders(spark, sf_dir).withColumnsRenamed({"o_custkey": "O_CustKey", "o_totalprice": "O_TOTALPRICE"})
     names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "not_landed"]
@@ -534,7 +535,7 @@ def parquet_load_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["O_ORDERKEY", "o_custkey", "o_orderpriority"]
     full = orders.where("o_orderstatus = 'O'").select(*columns)
     orders.where("o_orderstatus <> 'O'").select(*columns[:2]).write.parquet(path)
-    added = parquet_into(spark, path, full)
+    added = parquet_into(spark, path, full.schema)
     return full.toDF(*added.columns[:3]).unionByName(added)
 
 

@@ -69,48 +69,37 @@ def validation_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally(_control_check(spark, sf_dir))
 
 
-# A file per order whose columns are its lines; the registry lists them by line number. Lines shipped late were
-# renamed in the file, returned ones are missing from it, and orders with few lines have no registry entry.
-_FIELD = "l_partkey || '_' || l_suppkey"
-_SCHEMA_SQL = f"""
-    f AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS pos,
-                 l_linenumber, {_FIELD} AS field, l_shipdate, l_tax, l_quantity FROM lineitem),
-    e AS (SELECT l_orderkey, list(field ORDER BY l_linenumber, field) AS expected FROM f GROUP BY 1 HAVING count(*) > 2),
-    a AS (SELECT l_orderkey,
-                 coalesce(list(CASE WHEN l_shipdate > TIMESTAMP '2001-01-01' THEN field || '_new' ELSE field END
-                      ORDER BY l_linenumber, field) FILTER (WHERE l_quantity <= 45), []) AS actual
-          FROM f GROUP BY 1)"""
-
-
-def _file_headers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    field = F.concat_ws("_", "l_partkey", "l_suppkey")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.col("l_linenumber").alias("n"), field.alias("field"), "l_shipdate", "l_quantity"
-    )
-    late = F.col("l_shipdate") > F.lit("2001-01-01").cast("timestamp_ntz")
-    shown = F.when(late, F.concat("field", F.lit("_new"))).otherwise(F.col("field"))
-    present = F.when(F.col("l_quantity") <= 45, F.struct("n", "field", shown.alias("shown")))
-    actual = F.transform(F.sort_array(F.collect_list(present)), lambda p: p["shown"])
-    per_order = lines.groupBy("l_orderkey").agg(actual.alias("actual"), F.count(F.lit(1)).alias("width"))
-    few = per_order.where(F.col("width") <= 2).select("l_orderkey")
-    registry = lines.join(few, "l_orderkey", "left_anti").select(
-        F.col("l_orderkey").alias("OBJECT_NAME"), F.col("field").alias("FIELD_NAME"), F.col("n").alias("ID_OBJECT")
-    )
-    return per_order.select(F.col("l_orderkey").alias("object_name"), "actual"), registry
+# A file per document: its words are the header. The registry has no entry for some sources, lists French files
+# backwards and one Spanish word under another name.
+_SCHEMA_SQL = """
+    a AS (SELECT doc_id, lang, source, string_split(text, ' ') AS actual FROM documents),
+    e AS (SELECT doc_id, actual, CASE WHEN source <> 'src3' THEN CASE lang WHEN 'fr' THEN list_reverse(actual)
+            WHEN 'es' THEN list_transform(actual, lambda w, i: CASE WHEN i = 3 THEN w || '_x' ELSE w END) ELSE actual END END AS expected FROM a)"""
+
+
+def _file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.split("text", " ").alias("actual"))
 
 
 @verify(f"""WITH {_SCHEMA_SQL}
-    SELECT a.l_orderkey AS object_name, CASE WHEN expected = actual THEN 'PASSED' ELSE 'FAILED' END AS status,
+    SELECT doc_id AS object_name, CASE WHEN expected = actual THEN 'PASSED' ELSE 'FAILED' END AS status,
            CASE WHEN expected IS NULL THEN 'No schema definition found' WHEN expected <> actual THEN 'Schema mismatch' END AS error,
            CAST(coalesce(len(expected), 0) AS BIGINT) AS expected_columns,
            CAST(CASE WHEN expected IS NOT NULL THEN len(actual) END AS BIGINT) AS actual_columns,
            CASE WHEN expected <> actual THEN array_to_string(list_sort(list_distinct(list_filter(expected, lambda x: NOT list_contains(actual, x)))), ',') END AS missing,
            CASE WHEN expected <> actual THEN array_to_string(list_sort(list_distinct(list_filter(actual, lambda x: NOT list_contains(expected, x)))), ',') END AS extra
-    FROM a LEFT JOIN e ON a.l_orderkey = e.l_orderkey
+    FROM e
 """)
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers, registry = _file_headers(spark, sf_dir)
-    result = check_schemas(headers, registry)
+    headers = _file_headers(spark, sf_dir)
+    words = headers.where(F.col("source") != "src3").select("doc_id", "lang", F.posexplode("actual").alias("pos", "word"))
+    renamed = (F.col("lang") == "es") & (F.col("pos") == 2)
+    registry = words.select(
+        F.col("doc_id").alias("OBJECT_NAME"),
+        F.when(renamed, F.concat("word", F.lit("_x"))).otherwise(F.col("word")).alias("FIELD_NAME"),
+        F.when(F.col("lang") == "fr", -F.col("pos")).otherwise(F.col("pos")).alias("ID_OBJECT"),
+    )
+    result = check_schemas(headers.select(F.col("doc_id").alias("object_name"), "actual"), registry)
     return result.select(
         "object_name",
         "status",
@@ -123,19 +112,16 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @verify(f"""WITH {_SCHEMA_SQL}
-    SELECT 'order_' || a.l_orderkey || '.csv' AS file_name, CASE WHEN expected = actual THEN 'PASSED' ELSE 'FAILED' END AS status,
+    SELECT 'doc_' || doc_id || '.csv' AS file_name, CASE WHEN expected = actual THEN 'PASSED' ELSE 'FAILED' END AS status,
            CASE WHEN expected IS NULL THEN 'No metadata found' WHEN expected <> actual THEN 'Column validation failed' END AS error
-    FROM a LEFT JOIN e ON a.l_orderkey = e.l_orderkey
+    FROM e
 """)
 def schema_check_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers, registry = _file_headers(spark, sf_dir)
-    file_name = F.concat(F.lit("order_"), F.col("object_name"), F.lit(".csv")).alias("file_name")
-    pairs = F.sort_array(F.collect_list(F.struct("ID_OBJECT", "FIELD_NAME")))
-    metadata = registry.groupBy(F.col("OBJECT_NAME").alias("object_name")).agg(
-        F.transform(pairs, lambda p: p["FIELD_NAME"]).alias("columns")
-    )
-    result = check_against_metadata(headers.select(file_name, "actual"), metadata.select(file_name, "columns"))
-    return result.select("file_name", "status", "error")
+    headers = _file_headers(spark, sf_dir).withColumn("file_name", F.concat(F.lit("doc_"), "doc_id", F.lit(".csv")))
+    altered = F.transform("actual", lambda w, i: F.when(i == 2, F.concat(w, F.lit("_x"))).otherwise(w))
+    listed = F.when(F.col("lang") == "fr", F.reverse("actual")).when(F.col("lang") == "es", altered).otherwise(F.col("actual"))
+    metadata = headers.where(F.col("source") != "src3").select("file_name", listed.alias("columns"))
+    return check_against_metadata(headers.select("file_name", "actual"), metadata).select("file_name", "status", "error")
 
 
 RULES = [

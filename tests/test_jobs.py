@@ -9,7 +9,7 @@ from carestrata import settings as s
 from carestrata.operators.merge import BatchStamp
 from carestrata.operators.rules import Rule
 from carestrata.operators.validate import ValidationFailed
-from carestrata.plans import jobs, silver, sqltext, tables
+from carestrata.plans import jobs, loads, silver, sqltext, tables
 from carestrata.sources.delimited import HeaderMismatch
 from carestrata.streaming.ingest import ingest_and_wait, new_files
 
@@ -205,6 +205,45 @@ def test_unpivot_reads_bronze_once_and_prunes(spark, tmp_path):
     assert silver.build("PROVIDER_NPI_OTHER_IDS", bronze.read(5), stamp).count() == 50
 
 
+def test_table_loads(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("CLAIMS_p.parquet", "OTHER.parquet")]
+    for path in paths:
+        spark.createDataFrame([(1, "x")], "id int, Name string").write.parquet(path)
+    narrow = str(tmp_path / "narrow.parquet")
+    spark.createDataFrame([(2,)], "ID int").write.parquet(narrow)
+    assert loads.load_parquet(spark, paths[0], "pq") == 1 and loads.load_parquet(spark, narrow, "pq") == 2
+    assert sorted(map(tuple, spark.table("pq").collect())) == [(1, "x"), (2, None)]
+    assert loads.load_parquet(spark, narrow, "pq", "replace") == 1 and spark.table("pq").columns == ["ID", "NAME"]
+    assert loads.load_each(spark, paths, "CLAIMS_", stamp=BatchStamp("P", "S", 1, AT)) == {"CLAIMS_p": 1}
+    assert loads.load_each(spark, paths, "CLAIMS_", stamp=BatchStamp("P", "S", 2, AT)) == {"CLAIMS_p": 2}
+    assert loads.create_each(spark, paths, "_T", AT) == {"CLAIMS_p_T": 1, "OTHER_T": 1}
+    assert "CLAIMS_p.parquet" in spark.table("CLAIMS_p_T").first()["_source_file"]
+    (tmp_path / "a.csv").write_text("n\n1\n2\n")
+    assert [loads.load_csv(spark, str(tmp_path / "a.csv"), "typed", m) for m in ("replace", "append", "replace")] == [2, 4, 2]
+    for name in ("pq", "CLAIMS_p", "CLAIMS_p_T", "OTHER_T", "typed"):
+        tables.drop_if_exists(spark, name)
+
+
+def test_batch_is_taken_out(spark, tmp_path):
+    table = tables.BatchTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([("a", 1), ("b", 2)], "k string, META_BATCH_ID long"))
+    assert table.drop_batch(2) and not table.drop_batch(2)
+    assert [r["k"] for r in table.read().collect()] == ["a"]
+
+
+def test_failed_silver_leaves_no_batch(spark, tmp_path, monkeypatch):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), buckets=2)
+
+    def broken(bronze):
+        raise RuntimeError("boom")
+
+    monkeypatch.setitem(silver.PROVIDER_BUILDS, "PROVIDER_NPI_XREF", broken)
+    with pytest.raises(RuntimeError, match="boom"):
+        jobs.registry_job(lake, registry_file(tmp_path / "a.csv", [DOE]), s.REGISTRY, AT)
+    left = [p for p in (tmp_path / "lake" / "silver").rglob("*.parquet")]
+    assert left == [] and lake.gold(s.PROVIDER_TABLES["PROVIDER_NPI"]).head().version == 0
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
     landing, bronze, memory = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "memory")
     landing.mkdir()

@@ -94,6 +94,11 @@ def test_may_start():
     assert not audit.may_start({})
 
 
+def test_step_gate():
+    assert audit.run_if_completed({"status": "completed"}, lambda: {"status": "ran"}) == {"status": "ran"}
+    assert audit.run_if_completed({"status": "failed"}, lambda: 1 / 0)["status"] == "skipped"
+
+
 def test_next_batch_id(spark):
     at = datetime(2024, 1, 1)
     rows = [("7", "P", "S", "COMPLETED", at, "E"), ("x9", "P", "S", "FAILED", at, "E"), ("99", "P", "S", "CANCELLED", at, "E"),

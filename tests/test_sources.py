@@ -209,7 +209,7 @@ def test_parquet_loads(spark, tmp_path):
     path = str(tmp_path / "p.parquet")
     spark.createDataFrame([(1, "x")], "Id int, NAME string").write.parquet(path)
     existing = spark.createDataFrame([(0, "o", "e")], "ID int, NAME string, EXTRA string")
-    row = columnar.parquet_into(spark, path, existing).first().asDict()
+    row = columnar.parquet_into(spark, path, existing.schema).first().asDict()
     assert row == {"ID": 1, "NAME": "x", "EXTRA": None}
     stamped = columnar.parquet_by_name(spark, path, ["name", "other"], STAMP).first().asDict()
     assert (stamped["name"], stamped["other"], stamped["META_BATCH_ID"]) == ("x", None, 1)
