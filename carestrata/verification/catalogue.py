@@ -1,6 +1,6 @@
 """All verification queries; importing a module registers its queries."""
 
-from carestrata.verification import gold, landing, quality, silver  # noqa: F401
+from carestrata.verification import gold, landing, provider_tables, quality, silver  # noqa: F401
 from carestrata.verification.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
