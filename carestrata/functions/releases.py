@@ -62,8 +62,12 @@ def year_in(name: Column) -> Column:
 
 def month_in(name: Column) -> Column:
     """Number of the first calendar month whose English name occurs in the text, else NULL."""
-    lower = F.lower(name)
-    return F.coalesce(*[F.when(lower.contains(m), F.lit(i)) for i, m in enumerate(MONTHS, 1)])
+
+    def number(lower: Column) -> Column:
+        return F.coalesce(*[F.when(lower.contains(m), F.lit(i)) for i, m in enumerate(MONTHS, 1)])
+
+    # a one-element array binds the lower-cased text, which would else be made anew for every month
+    return F.get(F.transform(F.array(F.lower(name)), number), F.lit(0))
 
 
 def weekly_score(name: Column) -> Column:
@@ -139,7 +143,7 @@ def release_kind(href: Column) -> Column:
     marked = lower.rlike("|".join(m.replace(".", r"\.") for m in VERSION_MARKS))
     wanted = href.endswith(".zip") & marked & lower.contains(RELEASE_WORD)
     return F.when(
-        wanted, F.when(lower.contains("weekly"), "weekly").when(month_in(lower).isNotNull(), "monthly")
+        wanted, F.when(lower.contains("weekly"), "weekly").when(lower.rlike("|".join(MONTHS)), "monthly")
     )
 
 

@@ -28,11 +28,10 @@ def unpivot_rows(
         cells = [x for label, cols in groups.items() for x in (F.lit(label), *[F.col(c) for c in cols])]
         return df.select(*keys, F.stack(F.lit(len(groups)), *cells)).toDF(*keys, label_name, *value_names)
     by_name = [F.array(*[F.col(cols[j]) for cols in groups.values()]).alias(v) for j, v in enumerate(value_names)]
-    slot = F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))
-    labels = F.array(*[F.lit(label) for label in groups])
-    return df.select(*keys, *by_name, slot.alias("_slot")).select(
-        *keys, F.get(labels, F.col("_slot")).alias(label_name), *[F.get(v, F.col("_slot")).alias(v) for v in value_names]
-    )
+    at, labels = F.col("_slot"), F.array(*[F.lit(label) for label in groups])
+    # the arrays are made below the generator, once per input row
+    slots = df.select(*keys, *by_name).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))).alias("_slot"))
+    return slots.select(*keys, F.get(labels, at).alias(label_name), *[F.get(v, at).alias(v) for v in value_names])
 
 
 def unpivot_groups(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata import settings as s
+from carestrata.functions.hashing import PIPE, row_hash
 from carestrata.operators.merge import BatchStamp
 from carestrata.plans import silver
 from carestrata.plans.tables import BatchTable
@@ -24,6 +25,12 @@ _POSTAL = [s.MAILING_ADDRESS[4], s.PRACTICE_ADDRESS[4]]
 _LINES = [s.MAILING_ADDRESS[0], s.PRACTICE_ADDRESS[0]]
 
 
+_CYCLES = (7, 11, 13, 17, 19, 23, 29, 31)
+_ORDERS_SQL = "(SELECT *, o_orderkey % 4 AS k4, " + ", ".join(
+    f"CAST(o_orderkey % {c} AS VARCHAR) AS t{i}" for i, c in enumerate(_CYCLES)
+) + " FROM orders)"
+
+
 def _cell_sql(name: str, j: int) -> str:
     """Value of bronze column number `j`: set in three rows of four, of few or many distinct values."""
     key, text = "o_orderkey", "CAST(o_orderkey AS VARCHAR)"
@@ -41,7 +48,7 @@ def _cell_sql(name: str, j: int) -> str:
         return f"CASE {key} % 3 WHEN 0 THEN lpad({text}, 5, '0') WHEN 1 THEN lpad({text}, 5, '0') || '-1234' ELSE lpad({text}, 9, '0') END"
     if name in _LINES:
         return f"CASE WHEN {key} % 4 = {j % 4} THEN '  ' WHEN {key} % 7 <> 0 THEN 'Street ' || {text} END"
-    return f"CASE WHEN ({key} + {j}) % 4 <> 0 THEN '{name[:4]}-' || ({key} % {j + 1}) END"
+    return f"CASE WHEN k4 <> {-j % 4} THEN '{name[:4]}-' || t{j % len(_CYCLES)} END"
 
 
 @lru_cache(maxsize=4)
@@ -52,7 +59,9 @@ def _bronze_path(application: str, sf_dir: str) -> str:
     spark_sql = [c.replace("AS VARCHAR", "AS STRING").replace("strftime(o_orderdate, '%Y-%m-%d')", "date_format(o_orderdate, 'yyyy-MM-dd')") for c in cells]
     path = scratch(spark, "bronze")
     # few input splits, but 330 columns to make from each row
-    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
+    cycles = [f"CAST(o_orderkey % {c} AS STRING) AS t{i}" for i, c in enumerate(_CYCLES)]
+    orders = table(spark, sf_dir, "orders").selectExpr("*", "o_orderkey % 4 AS k4", *cycles)
+    orders = orders.repartition(spark.sparkContext.defaultParallelism)
     BatchTable(spark, path).replace(_STAMP.put_on(orders.selectExpr(*spark_sql)))
     return path
 
@@ -63,7 +72,7 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bronze_sql(names: list[str]) -> str:
     cells = ", ".join(f"{_cell_sql(n, s.REGISTRY_COLUMNS.index(n))} AS {n}" for n in names)
-    return f"WITH raw AS (SELECT {cells} FROM orders), bronze AS (SELECT * FROM raw WHERE NPI IS NOT NULL)"
+    return f"WITH raw AS (SELECT {cells} FROM {_ORDERS_SQL}), bronze AS (SELECT * FROM raw WHERE NPI IS NOT NULL)"
 
 
 def _silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +125,15 @@ def _groups_sql(table_name: str, slots: int) -> str:
     return f"{_bronze_sql(['NPI', *names])} " + " UNION ALL ".join(branches)
 
 
+_ALL = ", ".join(f"coalesce({_cell_sql(n, j)}, '')" for j, n in enumerate(s.REGISTRY_COLUMNS))
+
+
+@verify(f"SELECT {_cell_sql('NPI', 0)} AS NPI, CAST(3 AS BIGINT) AS META_BATCH_ID, md5(concat_ws('|', {_ALL})) AS row_hash FROM {_ORDERS_SQL}")
+def provider_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze load itself: every column of every row, as one hash."""
+    return _bronze(spark, sf_dir).select("NPI", "META_BATCH_ID", row_hash(s.REGISTRY_COLUMNS, PIPE).alias("row_hash"))
+
+
 @verify(_provider_sql())
 def provider_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir, "PROVIDER_NPI")
