@@ -154,10 +154,14 @@ def apply_rules(
     return alerts
 
 
-def _load_wide(lake: Lake, path: str, names: Sequence[str], table: str, stamp: BatchStamp) -> DataFrame:
-    """Positional bronze load. The count pass decides whether the file can be read split by split."""
-    multiline = bool(csv_profile(lake.spark, path).select(F.max("multiline")).first()[0])
-    rows = csv_positional(lake.spark, path, names, multiline)
+def _load_wide(lake: Lake, path: str, names: Sequence[str], table: str, stamp: BatchStamp) -> DataFrame | None:
+    """Positional bronze load; None for a file without records. The count pass decides whether the file can be read
+    split by split."""
+    profile = csv_profile(lake.spark, path).select(F.max("multiline").alias("multiline"), F.sum("actual_rows").alias("n"))
+    seen = profile.first()
+    rows = csv_positional(lake.spark, path, names, bool(seen["multiline"]))
+    if not seen["n"]:
+        return None
     lake.bronze(table).replace(stamp.put_on_with_id(rows))
     return lake.bronze(table).read(stamp.batch_id)
 
@@ -184,7 +188,7 @@ def registry_job(
     """Provider registry file -> bronze -> five silver tables -> five gold tables -> rules."""
     with audited_batch(lake, config, at) as stamp:
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
-        if bronze.isEmpty():
+        if bronze is None:
             return {"status": "no_data", "batch_id": stamp.batch_id}
         _build_silver(lake, list(PROVIDER_TABLES), bronze, stamp)
 
@@ -202,7 +206,7 @@ def code_set_job(
     """Taxonomy code file -> bronze -> silver -> gold with pipe-separated fingerprints -> rules."""
     with audited_batch(lake, config, at) as stamp:
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
-        if bronze.isEmpty():
+        if bronze is None:
             return {"status": "no_data", "batch_id": stamp.batch_id}
         _build_silver(lake, [CODE_SET_TABLE.name], bronze, stamp)
         batch = lake.silver(CODE_SET_TABLE.name).read(stamp.batch_id)
@@ -248,14 +252,16 @@ def program_job(
             headers = headers.join(named, "path").select(F.col("table").alias("object_name"), "actual")
             require_passed(check_schemas(headers, registry), "Schema validation", "object_name")
         multiline = {r["TABLE_NAME"]: r["multiline"] for r in rows}
+        filled = {r["TABLE_NAME"]: r["actual_rows"] for r in rows}
         tables = {}
         for file_name, path in sources.items():
             name = file_name[: -len(".csv")]
             data = csv_strings(spark, path, multiline.get(name, True))
-            lake.bronze(name).replace(stamp.put_on_with_id(data))
-            tables[name] = lake.bronze(name).read(stamp.batch_id)
+            loaded = stamp.put_on_with_id(data)
+            lake.bronze(name).replace(loaded)
+            tables[name] = lake.bronze(name).read(stamp.batch_id) if filled.get(name) else loaded
         apply_rules(lake, tables, rules, config, stamp)
-        return {"status": "completed", "batch_id": stamp.batch_id, "rows": {r["TABLE_NAME"]: r["actual_rows"] for r in rows}}
+        return {"status": "completed", "batch_id": stamp.batch_id, "rows": filled}
 
 
 def _load_sources(spark: SparkSession, landed: DataFrame, load: str, config: ProgramConfig) -> dict[str, str]:

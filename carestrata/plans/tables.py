@@ -66,7 +66,13 @@ class BatchTable:
         df.write.mode("append").partitionBy(BATCH).parquet(self.path)
 
     def read(self, batch_id: int | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+        """All batches, or one of them; then only that batch's folder is listed."""
+        reader = self.spark.read.option("basePath", self.path)
+        try:
+            df = reader.parquet(self.path if batch_id is None else f"{self.path}/{BATCH}={batch_id}")
+        except AnalysisException:
+            df = reader.parquet(self.path)
+        df = df.withColumn(BATCH, F.col(BATCH).cast("bigint"))
         return df if batch_id is None else df.where(in_batch(batch_id))
 
     def drop_batch(self, batch_id: int) -> bool:

@@ -82,8 +82,8 @@ def add_column_csv(spark: SparkSession, source: str, target: str, name: str, val
 def csv_headers(spark: SparkSession, paths: Sequence[str], naive: bool = False) -> DataFrame:
     """`path, file_name, object_name, actual` with the column names of each file.
 
-    Only the first line of each file is fetched. `naive` splits at every comma, trims, unquotes and drops blank
-    names; otherwise the line is read as CSV.
+    Only the start of each file is fetched. `naive` splits the first line at every comma, trims, unquotes and drops
+    blank names; otherwise the header is read as CSV, also over several lines.
     """
 
     def header(path: str) -> tuple[str, str, str, list[str]]:
@@ -91,6 +91,8 @@ def csv_headers(spark: SparkSession, paths: Sequence[str], naive: bool = False)
         line = (row[0] if row else "").removeprefix("\ufeff")
         if naive:
             names = [t for t in (x.strip().strip('"').strip() for x in line.split(",")) if t]
+        elif line.count('"') % 2:
+            names = csv_strings(spark, path, multiline=True).columns
         else:
             names = next(csv.reader([line]), [])
         file_name = path.rstrip("/").rsplit("/", 1)[-1]

@@ -52,9 +52,8 @@ def _cell_sql(name: str, j: int) -> str:
 
 
 @lru_cache(maxsize=4)
-def _bronze_path(application: str, sf_dir: str) -> str:
+def _bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """Bronze is loaded once per session, as a job would, and read by all five builds."""
-    spark = SparkSession.getActiveSession()
     cells = [f"{_cell_sql(name, j)} AS {name}" for j, name in enumerate(s.REGISTRY_COLUMNS)]
     spark_sql = [c.replace("AS VARCHAR", "AS STRING").replace("strftime(o_orderdate, '%Y-%m-%d')", "date_format(o_orderdate, 'yyyy-MM-dd')") for c in cells]
     path = scratch(spark, "bronze")
@@ -67,7 +66,7 @@ def _bronze_path(application: str, sf_dir: str) -> str:
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return BatchTable(spark, _bronze_path(spark.sparkContext.applicationId, sf_dir)).read(_STAMP.batch_id)
+    return BatchTable(spark, _bronze_path(spark, sf_dir)).read(_STAMP.batch_id)
 
 
 def _bronze_sql(names: list[str]) -> str:

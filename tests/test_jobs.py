@@ -86,6 +86,15 @@ def test_failures_are_audited_and_change_nothing(spark, tmp_path):
     assert sorted(states) == [("1", "FAILED"), ("2", "FAILED"), ("3", "COMPLETED")]
 
 
+def test_first_file_without_records(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), buckets=2)
+    assert jobs.registry_job(lake, registry_file(tmp_path / "a.csv", []), s.REGISTRY, AT)["status"] == "no_data"
+    landing = program_landing(tmp_path / "in", "R_MMIS_A,2\nR_MMIS_B,0\n")
+    (tmp_path / "in" / "R_MMIS_B.csv").write_text("id\n")
+    rule = [Rule("r", "G", 0, "R_MMIS_B", expression="id > '0'")]
+    assert jobs.program_job(lake, landing, PROGRAM, AT, rules=rule)["rows"] == {"R_MMIS_A": 2, "R_MMIS_B": 0}
+
+
 def test_code_set_job(spark, tmp_path):
     lake = jobs.Lake(spark, str(tmp_path / "lake"), buckets=2)
     path = tmp_path / "nucc_taxonomy_251.csv"

@@ -69,6 +69,8 @@ def test_headers(spark, tmp_path):
     paths = [str(one), str(tmp_path / "none.csv")]
     parsed = {r["object_name"]: r["actual"] for r in delimited.csv_headers(spark, paths).collect()}
     assert parsed == {"one": ["a, b", " c ", "", "d"], "none": []}
+    (tmp_path / "tall.csv").write_text('"a\nb",c\n1,2\n')
+    assert delimited.csv_headers(spark, [str(tmp_path / "tall.csv")]).first()["actual"] == ["a\nb", "c"]
     naive = {r["file_name"]: r["actual"] for r in delimited.csv_headers(spark, paths, naive=True).collect()}
     assert naive == {"one.csv": ["a", "b", "c", "d"], "none.csv": []}
 
