@@ -168,7 +168,7 @@ def _load_wide(lake: Lake, path: str, names: Sequence[str], table: str, stamp: B
 
 def _side_by_side(work: Callable, items: Sequence) -> list:
     """Independent tables of one batch, submitted together so that small ones do not leave the cluster idle."""
-    with ThreadPool(len(items)) as pool:
+    with ThreadPool(max(1, min(len(items), 16))) as pool:
         return pool.map(work, items, chunksize=1)
 
 
@@ -253,13 +253,14 @@ def program_job(
             require_passed(check_schemas(headers, registry), "Schema validation", "object_name")
         multiline = {r["TABLE_NAME"]: r["multiline"] for r in rows}
         filled = {r["TABLE_NAME"]: r["actual_rows"] for r in rows}
-        tables = {}
-        for file_name, path in sources.items():
-            name = file_name[: -len(".csv")]
-            data = csv_strings(spark, path, multiline.get(name, True))
-            loaded = stamp.put_on_with_id(data)
+
+        def load_one(item: tuple[str, str]) -> tuple[str, DataFrame]:
+            name, path = item[0][: -len(".csv")], item[1]
+            loaded = stamp.put_on_with_id(csv_strings(spark, path, multiline.get(name, True)))
             lake.bronze(name).replace(loaded)
-            tables[name] = lake.bronze(name).read(stamp.batch_id) if filled.get(name) else loaded
+            return name, lake.bronze(name).read(stamp.batch_id) if filled.get(name) else loaded
+
+        tables = dict(_side_by_side(load_one, list(sources.items())))
         apply_rules(lake, tables, rules, config, stamp)
         return {"status": "completed", "batch_id": stamp.batch_id, "rows": filled}
 

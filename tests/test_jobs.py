@@ -272,6 +272,25 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert got.where(F.col("META_SOURCE_FILE").endswith("late.csv")).count() == 1
 
 
+def test_interrupted_ingest_is_repeated_without_copies(spark, tmp_path):
+    landing, bronze, memory = tmp_path / "in", str(tmp_path / "bronze"), tmp_path / "memory"
+    landing.mkdir()
+    (landing / "a.csv").write_text("K\n1\n2\n")
+
+    def run():
+        stream = new_files(spark, str(landing), ["id"])
+        return ingest_and_wait(stream, bronze, str(memory), BatchStamp("P", "S", 1, AT))
+
+    assert run() == 2
+    # as if the process had died after writing but before the micro-batch was marked done
+    for mark in (memory / "commits").glob("*"):
+        mark.unlink()
+    for mark in (memory / "commits").glob(".*"):
+        mark.unlink()
+    assert run() == 2
+    assert sorted(r["id"] for r in spark.read.parquet(bronze).collect()) == ["1", "2"]
+
+
 def test_consumed_files_are_archived_later(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
