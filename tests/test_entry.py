@@ -3,13 +3,16 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from carestrata.verification import catalogue
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 50
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLE)
+    assert set(catalogue.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(catalogue.QUERIES) >= 50
 
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="needs the given tables")
