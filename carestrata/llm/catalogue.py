@@ -2,6 +2,7 @@
 
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.quality import op5_quality_classifier
+from carestrata.llm.simhash import op8_simhash_near_dedup
 
-QUERIES = {q.__name__: q for q in (op5_quality_classifier, op10_line_dedup)}
+QUERIES = {q.__name__: q for q in (op5_quality_classifier, op8_simhash_near_dedup, op10_line_dedup)}
 ORACLE = {"op10_line_dedup": OP10_SQL}
