@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestrata.llm.decontaminate import decontaminated
 from carestrata.llm.line_dedup import dedup_lines
+from carestrata.llm.mixing import mixed
 from carestrata.llm.quality import judge
+from carestrata.llm.simhash import without_near_duplicates
 from carestrata.llm.store import kept, table
 
 
@@ -26,6 +29,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return counted(left, docs)
 
 
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: shingles of four words, at most four bits apart."""
+    return without_near_duplicates(docs, shingle=4, radius=4)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source at its target weight, in a global random order."""
+    return mixed(docs)
+
+
 def counted(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of `docs`, with the length of the changed text where there is such a column."""
     if "n_chars" in docs.columns:
@@ -36,6 +54,9 @@ def counted(rows: DataFrame, docs: DataFrame) -> DataFrame:
 STAGES = [
     ("quality classifier", accept_quality),
     ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", one_of_near_duplicates),
+    ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed_sources),
 ]
 
 ORACLE_SQL = None  # the classifier's weights have no SQL form
