@@ -4,11 +4,13 @@ from carestrata.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
 from carestrata.llm.quality import op5_quality_classifier
+from carestrata.llm.secrets import OP3_SQL, op3_secret_scans
 from carestrata.llm.simhash import op8_simhash_near_dedup
 
 QUERIES = {
     q.__name__: q
     for q in (
+        op3_secret_scans,
         op5_quality_classifier,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
@@ -17,6 +19,7 @@ QUERIES = {
     )
 }
 ORACLE = {
+    "op3_secret_scans": OP3_SQL,
     "op7_benchmark_decontamination": OP7_SQL,
     "op9_mixing_sources": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
