@@ -1,6 +1,7 @@
 """The queries of this package and their SQL twins."""
 
 from carestrata.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
+from carestrata.llm.hosts import OP4_SQL, op4_url_filters
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
 from carestrata.llm.quality import op5_quality_classifier
@@ -11,6 +12,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op3_secret_scans,
+        op4_url_filters,
         op5_quality_classifier,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
@@ -20,6 +22,7 @@ QUERIES = {
 }
 ORACLE = {
     "op3_secret_scans": OP3_SQL,
+    "op4_url_filters": OP4_SQL,
     "op7_benchmark_decontamination": OP7_SQL,
     "op9_mixing_sources": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
