@@ -7,10 +7,12 @@ from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
 from carestrata.llm.quality import op5_quality_classifier
 from carestrata.llm.secrets import OP3_SQL, op3_secret_scans
 from carestrata.llm.simhash import op8_simhash_near_dedup
+from carestrata.llm.syncmers import op2_document_fingerprints
 
 QUERIES = {
     q.__name__: q
     for q in (
+        op2_document_fingerprints,
         op3_secret_scans,
         op4_url_filters,
         op5_quality_classifier,
