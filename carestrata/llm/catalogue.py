@@ -8,6 +8,7 @@ from carestrata.llm.quality import op5_quality_classifier
 from carestrata.llm.secrets import OP3_SQL, op3_secret_scans
 from carestrata.llm.simhash import op8_simhash_near_dedup
 from carestrata.llm.syncmers import op2_document_fingerprints
+from carestrata.llm.token_counts import op6_token_counts
 
 QUERIES = {
     q.__name__: q
@@ -16,6 +17,7 @@ QUERIES = {
         op3_secret_scans,
         op4_url_filters,
         op5_quality_classifier,
+        op6_token_counts,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_mixing_sources,
