@@ -4,6 +4,7 @@ from carestrata.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from carestrata.llm.hosts import OP4_SQL, op4_url_filters
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
+from carestrata.llm.passages import op1_substring_dedup
 from carestrata.llm.quality import op5_quality_classifier
 from carestrata.llm.secrets import OP3_SQL, op3_secret_scans
 from carestrata.llm.simhash import op8_simhash_near_dedup
@@ -13,6 +14,7 @@ from carestrata.llm.token_counts import op6_token_counts
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_substring_dedup,
         op2_document_fingerprints,
         op3_secret_scans,
         op4_url_filters,
