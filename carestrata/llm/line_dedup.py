@@ -7,8 +7,8 @@ equal lines are matches, and overlapping matches extend each other both ways to
 the place with the least (doc_id, position) stays and all later ones are deleted, within a document too.
 
 The order of documents is (doc_id, hash of the text), null ids first. Lines are compared without outer spaces; blank
-lines count as one word. Rows with the same id and text are one document and are treated alike. A null text is empty
-and has one blank line. A document of fewer words than a window never loses a line. All work is on line rows and on
+lines count as one word. Rows with the same id and text are one document and are treated alike. A null text has one
+blank line and stays null. A document of fewer words than a window never loses a line. All work is on line rows and on
 windows, never on pairs of documents: a line that a third of the corpus shares costs one row for each place it stands.
 """
 
@@ -101,7 +101,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     tos = F.concat(F.transform("runs", lambda r: r["first"]), F.array(F.size("parts")))
     pieces = F.transform(F.arrays_zip(froms.alias("a"), tos.alias("b")), lambda g: F.slice("parts", g["a"] + 1, g["b"] - g["a"]))
     gone = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
-    text = F.when(F.col("runs").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(pieces), "\n"))
+    text = F.when(F.col("runs").isNull() | F.col("row.text").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(pieces), "\n"))
     done = joined.select("row", "runs", parts.alias("parts")).select(
         "row", text.alias("text"), F.size("parts").alias("n_lines"), F.coalesce(gone, F.lit(0)).alias("n_deleted")
     )
