@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# fixed values: the registry's mark of an open end, and the text for a missing description
 OPEN_END_DATE = "2299-12-31"
 MISSING_DESCRIPTION = "DESCRIPTION NOT AVAILABLE"
 
@@ -88,5 +89,5 @@ def age_group(age: Column) -> Column:
 
 
 def tolerant_number(text: Column) -> Column:
-    """Whole number, rounding a fractional text; NULL when the text is no number."""
-    return text.try_cast("decimal(38,0)").cast("bigint")
+    """Whole number, rounding a fractional text; NULL when the text is no number or has no room in a long."""
+    return text.try_cast("decimal(38,0)").try_cast("bigint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,17 +46,6 @@ def audit_row(
     return spark.createDataFrame([(str(batch_id), program, subject, status, at, by)], AUDIT_SCHEMA)
 
 
-def monitor_outcome(result: dict) -> dict:
-    """Bring the two shapes a monitor reports in to `complete, found_total, expected_total`."""
-    if {"complete", "found_total", "expected_total"} <= result.keys():
-        return result
-    if {"status", "file_ready"} <= result.keys():
-        ready = result["status"] == "success" and bool(result["file_ready"])
-        found = len(result.get("extracted_files") or []) if ready else 0
-        return {"complete": ready, "found_total": found, "expected_total": 1}
-    return result
-
-
 def run_if_completed(upstream: dict, step: Callable[[], dict]) -> dict:
     """Run a step after a completed one; otherwise report it as skipped."""
     if upstream.get("status") != "completed":
@@ -64,10 +53,6 @@ def run_if_completed(upstream: dict, step: Callable[[], dict]) -> dict:
     return step()
 
 
-def may_start(result: dict, at_least: bool = False) -> bool:
-    """A batch starts on a complete set with the expected number of files (or at least that many)."""
-    seen = monitor_outcome(result)
-    found, expected = seen.get("found_total", 0), seen.get("expected_total", 0)
-    if at_least:
-        return found >= expected
-    return bool(seen.get("complete", False)) and found == expected
+def may_start(state: Mapping, at_least: bool = False) -> bool:
+    """Whether a batch may start, from a `set_completeness` row: the set is complete, or `at_least` has enough files."""
+    return bool(state["enough"] if at_least else state["complete"] and state["found_total"] == state["expected_total"])

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.filenames import file_type, size_text, transaction_id
 from carestrata.operators.ordinals import number_rows
-from carestrata.operators.skew import salted_join
 
+# fixed values: columns of the lineage table
 LINEAGE_COLUMNS = [
     "ID_TRANSACTION",
     "CHILD_ID_TRANSACTION",
@@ -60,9 +60,10 @@ def lineage_rows(
     )
     base = F.substring_index("member", "/", -1)
     owner = parents.select("path", "ID_TRANSACTION", F.col("modified").alias("DATE_INBOUND"))
-    # one archive may hold most of all members, so they are spread by their ordinal
+    # one archive may hold most of all members: nothing above the join needs them together, so its partition can be split
     child_rows = (
-        salted_join(members.where(~F.col("member").endswith("/")), owner, ["path"], F.col("ordinal"))
+        members.where(~F.col("member").endswith("/"))
+        .join(owner, "path")
         .select(
             "ID_TRANSACTION",
             F.col("ordinal").cast("string").alias("CHILD_ID_TRANSACTION"),

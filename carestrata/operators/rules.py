@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException, ParseException, PySparkException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,7 @@ def _failing(df: DataFrame, rule: Rule) -> Column | None:
             bad = ~F.coalesce(F.expr(rule.expression), F.lit(False))
         else:
             return None
-        df.select(bad)
+        df.agg(F.count_if(bad))  # resolved where it will stand: an aggregate in it is a syntax failure of this rule alone
         return bad
     except (AnalysisException, ParseException):
         return None
@@ -84,6 +84,26 @@ def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows))).toDF(*RESULT_COLUMNS)
 
 
+def _each_if_one_fails(df: DataFrame, rules: list[Rule]) -> list[DataFrame]:
+    """Results of one table's row rules. They share one pass; only if that fails on the data (a value that can't be
+    cast, a division by zero) is each rule run by itself, and the ones that fail are syntax failures."""
+
+    def ran(some: list[Rule]) -> DataFrame:
+        done = _row_rules(df, some)
+        return df.sparkSession.createDataFrame(done.collect(), done.schema)  # one row a rule
+
+    try:
+        return [ran(rules)]
+    except PySparkException:
+        out = []
+        for rule in rules:
+            try:
+                out.append(ran([rule]))
+            except PySparkException:
+                out.append(_row_rules(df, [replace(rule, kind="unresolved")]).withColumn("kind", F.lit(rule.kind)))
+        return out
+
+
 def _duplicate_rule(df: DataFrame, rule: Rule) -> DataFrame:
     """Rows beyond the first of each key. Counts per key are combined before the exchange."""
     unresolved = not rule.keys or any(k not in df.columns for k in rule.keys)
@@ -103,12 +123,15 @@ def run_rules(
     chosen = [r for r in rules if rule_group in (None, r.rule_group) and rule_id in (None, r.rule_id)]
     if not chosen:
         raise ValueError(f"no rule for group {rule_group!r}, id {rule_id!r}")
+    missing = sorted({r.table_name for r in chosen} - tables.keys())
+    if missing:
+        raise KeyError(f"rules ask for tables that are not there: {', '.join(missing)}")
     parts = []
     for name in dict.fromkeys(r.table_name for r in chosen):
         own = [r for r in chosen if r.table_name == name]
         by_row = [r for r in own if r.kind != "duplicate"]
         if by_row:
-            parts.append(_row_rules(tables[name], by_row))
+            parts += _each_if_one_fails(tables[name], by_row)
         parts += [_duplicate_rule(tables[name], r) for r in own if r.kind == "duplicate"]
     return reduce(DataFrame.unionByName, parts)
 
@@ -184,7 +207,3 @@ def route_alerts(log: DataFrame) -> DataFrame:
     )
     rows = log.select("RULE_GROUP", "ID_BATCH", F.explode(F.array_compact(alerts)).alias("a"))
     return rows.select("RULE_GROUP", "ID_BATCH", "a.*", severity_label(F.col("a.trigger_type")).alias("severity"))
-
-
-def log_results(spark: SparkSession, log: DataFrame, table: str) -> None:
-    log.write.mode("append").saveAsTable(table)

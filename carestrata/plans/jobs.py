@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from carestrata.operators.audit import AUDIT_SCHEMA, audit_row, may_start, next_
 from carestrata.operators.fileset import set_completeness
 from carestrata.operators.lineage import LINEAGE_COLUMNS, lineage_rows
 from carestrata.operators.merge import BatchStamp
-from carestrata.operators.predicates import file_matches
+from carestrata.operators.predicates import all_present, file_matches
 from carestrata.operators.rules import Rule, latest_result, route_alerts, run_log, run_rules
 from carestrata.operators.validate import (
     check_against_metadata,
@@ -139,8 +140,9 @@ def record_lineage(lake: Lake, folder: str, config: ProgramConfig, stamp: BatchS
 def apply_rules(
     lake: Lake, tables: dict[str, DataFrame], rules: Sequence[Rule], config: ProgramConfig, stamp: BatchStamp
 ) -> DataFrame | None:
-    """Run the configured rules, keep the run log, return the alert rows; a stopping alert fails the job."""
-    mine = [r for r in rules if r.rule_group == config.rule_group and r.table_name in tables]
+    """Run the configured rules, keep the run log, return the alert rows; a stopping alert fails the job, and so does a
+    rule for a table the job does not have."""
+    mine = [r for r in rules if r.rule_group == config.rule_group]
     if not mine:
         return None
     day = stamp.as_of.date().isoformat()
@@ -161,8 +163,9 @@ def _load_wide(lake: Lake, path: str, names: Sequence[str], table: str, stamp: B
     seen = profile.first()
     rows = csv_positional(lake.spark, path, names, bool(seen["multiline"]))
     if not seen["n"]:
+        lake.bronze(table).drop_batch(stamp.batch_id)
         return None
-    lake.bronze(table).replace(stamp.put_on_with_id(rows))
+    lake.bronze(table).replace(stamp.put_on_with_id(rows), stamp.batch_id)
     return lake.bronze(table).read(stamp.batch_id)
 
 
@@ -175,13 +178,24 @@ def _side_by_side(work: Callable, items: Sequence) -> list:
 def _build_silver(lake: Lake, names: Sequence[str], bronze: DataFrame, stamp: BatchStamp) -> None:
     """All silver tables of a batch, or none of them."""
     try:
-        _side_by_side(lambda name: lake.silver(name).replace(silver.build(name, bronze, stamp)), names)
+        _side_by_side(lambda name: lake.silver(name).replace(silver.build(name, bronze, stamp), stamp.batch_id), names)
     except Exception:
         for name in names:
             lake.silver(name).drop_batch(stamp.batch_id)
         raise
 
 
+def _layers(
+    lake: Lake, config: ProgramConfig, bronze: DataFrame, targets: Iterable[TargetTable], stamp: BatchStamp
+) -> dict[str, DataFrame]:
+    """What rules may name: the bronze table, each silver table's batch and each gold table (`GOLD_<name>`)."""
+    tables = {config.bronze_table: bronze}
+    for target in targets:
+        tables[target.name] = lake.silver(target.name).read(stamp.batch_id)
+        tables[f"GOLD_{target.name}"] = lake.gold(target).current()
+    return tables
+
+
 def registry_job(
     lake: Lake, path: str, config: ProgramConfig, at: datetime, rules: Sequence[Rule] = (), names: Sequence[str] = REGISTRY_COLUMNS
 ) -> dict:
@@ -196,7 +210,7 @@ def registry_job(
             return upsert(lake.gold(target), lake.silver(target.name).read(stamp.batch_id), stamp)
 
         gold = dict(zip(PROVIDER_TABLES, _side_by_side(merge, list(PROVIDER_TABLES.values())), strict=True))
-        apply_rules(lake, {config.bronze_table: bronze}, rules, config, stamp)
+        apply_rules(lake, _layers(lake, config, bronze, PROVIDER_TABLES.values(), stamp), rules, config, stamp)
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": gold}
 
 
@@ -210,8 +224,8 @@ def code_set_job(
             return {"status": "no_data", "batch_id": stamp.batch_id}
         _build_silver(lake, [CODE_SET_TABLE.name], bronze, stamp)
         batch = lake.silver(CODE_SET_TABLE.name).read(stamp.batch_id)
-        counts = upsert(lake.gold(CODE_SET_TABLE), batch, stamp, sep="|", null_keys="insert")
-        apply_rules(lake, {config.bronze_table: bronze}, rules, config, stamp)
+        counts = upsert(lake.gold(CODE_SET_TABLE), batch, stamp, sep="|", null_keys="drop")
+        apply_rules(lake, _layers(lake, config, bronze, [CODE_SET_TABLE], stamp), rules, config, stamp)
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": {CODE_SET_TABLE.name: counts}}
 
 
@@ -227,17 +241,19 @@ def program_job(
     """Landed program files -> lineage -> extraction -> control counts and schemas -> one bronze table per file -> rules."""
     spark = lake.spark
     landed = file_inventory(spark, landing).withColumn("clean_name", clean_file_name(F.col("name")))
+    landed = landed.where(file_matches(config.criteria, F.col("name")))
     require_complete(landed, config, at_least)
     with audited_batch(lake, config, at) as stamp:
         record_lineage(lake, landing, config, stamp)
         load = f"{lake.root}/load/{config.subject}/batch={stamp.batch_id}"
-        extract_archives(spark, landing, load)
-        sources = _load_sources(spark, landed, load, config)
+        extract_archives(spark, landing, load, config.criteria)
+        sources = _load_sources(spark, landed, load)
         if config.control_file:
             control = csv_by_name(spark, sources.pop(config.control_file), ["TABLE_NAME", "ROW_COUNT"], case_sensitive=True)
             lake.control.append(stamp.put_on(control.withColumn("ROW_COUNT", F.col("ROW_COUNT").cast("bigint"))))
         # the profile is one small row per file
-        profile = csv_profile(spark, list(sources.values()))
+        files = [path for paths in sources.values() for path in paths]
+        profile = csv_profile(spark, files)
         table = F.regexp_replace(clean_file_name(F.col("file_name")), r"(?i)\.csv\z", "")
         counts = profile.groupBy(table.alias("TABLE_NAME")).agg(
             F.sum("actual_rows").alias("actual_rows"), F.max("multiline").alias("multiline")
@@ -247,36 +263,52 @@ def program_job(
         expected = control_rows(lake.control.read(), stamp.batch_id, stamp.program, stamp.subject)
         require_passed(check_row_counts(expected, counts), "Row count validation", "table_name")
         if registry is not None:
-            headers = csv_headers(spark, list(sources.values()))
-            named = spark.createDataFrame([(p, n[: -len(".csv")]) for n, p in sources.items()], "path string, table string")
-            headers = headers.join(named, "path").select(F.col("table").alias("object_name"), "actual")
+            headers = csv_headers(spark, files)
+            named = [(p, n[: -len(".csv")]) for n, paths in sources.items() for p in paths]
+            headers = headers.join(spark.createDataFrame(named, "path string, table string"), "path")
+            headers = headers.select(F.col("table").alias("object_name"), "actual").distinct()
             require_passed(check_schemas(headers, registry), "Schema validation", "object_name")
         multiline = {r["TABLE_NAME"]: r["multiline"] for r in rows}
         filled = {r["TABLE_NAME"]: r["actual_rows"] for r in rows}
 
-        def load_one(item: tuple[str, str]) -> tuple[str, DataFrame]:
-            name, path = item[0][: -len(".csv")], item[1]
-            loaded = stamp.put_on_with_id(csv_strings(spark, path, multiline.get(name, True)))
-            lake.bronze(name).replace(loaded)
+        def load_one(item: tuple[str, list[str]]) -> tuple[str, DataFrame]:
+            name, paths = item[0][: -len(".csv")], item[1]
+            parts = [csv_strings(spark, p, multiline.get(name, True)) for p in paths]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            loaded = stamp.put_on_with_id(rows)
+            lake.bronze(name).replace(loaded, stamp.batch_id)
             return name, lake.bronze(name).read(stamp.batch_id) if filled.get(name) else loaded
 
-        tables = dict(_side_by_side(load_one, list(sources.items())))
+        try:
+            tables = dict(_side_by_side(load_one, list(sources.items())))
+        except Exception:
+            for name in sources:
+                lake.bronze(name[: -len(".csv")]).drop_batch(stamp.batch_id)
+            raise
         apply_rules(lake, tables, rules, config, stamp)
         return {"status": "completed", "batch_id": stamp.batch_id, "rows": filled}
 
 
-def _load_sources(spark: SparkSession, landed: DataFrame, load: str, config: ProgramConfig) -> dict[str, str]:
-    """Cleaned file name -> path, over landed CSV files and extracted members; a set has a handful of files."""
+def _load_sources(spark: SparkSession, landed: DataFrame, load: str) -> dict[str, list[str]]:
+    """Cleaned file name -> all paths that go by it, over landed CSV files and extracted members, one path a member; a
+    set has a handful of files."""
     csv = F.lower("clean_name").endswith(".csv")
-    plain = {r["clean_name"]: r["path"] for r in landed.where(csv).select("clean_name", "path").collect()}
+    found = [(r["clean_name"], r["path"]) for r in landed.where(csv).select("clean_name", "path").collect()]
     member = F.regexp_extract("path", r"/file_name=([^/]+)/", 1)
-    inside = file_inventory(spark, load, "*.txt").select(F.url_decode(member).alias("n")).distinct()
-    unzipped = {r["n"]: f"{load}/file_name={r['n']}" for r in inside.where(F.lower("n").endswith(".csv")).collect()}
-    return {**plain, **unzipped}
+    folder = F.regexp_extract("path", r"/(file_name=[^/]+/member=[^/]+)/", 1)
+    inside = file_inventory(spark, load, "*.txt").select(F.url_decode(member).alias("n"), folder.alias("f")).distinct()
+    found += [(r["n"], f"{load}/{r['f']}") for r in inside.where(F.lower("n").endswith(".csv")).collect()]
+    sources: dict[str, list[str]] = {}
+    for name, path in sorted(found):
+        sources.setdefault(name, []).append(path)
+    return sources
 
 
 def claims_job(spark: SparkSession, files: Sequence[str], metadata: str, parquet: str, database: str = "default") -> dict:
     """Claims files -> Parquet copies -> all-text tables, for the files whose header matches the description file."""
+    names = [p.rstrip("/").rsplit("/", 1)[-1] for p in files]
+    if len(set(names)) < len(names):
+        raise ValueError(f"two files have one name: {sorted(n for n in set(names) if names.count(n) > 1)}")
     csv_to_parquet(spark, files, parquet)
     checked = check_against_metadata(csv_headers(spark, files, naive=True), metadata_map(spark, metadata))
     outcome = {r["file_name"]: (r["status"], r["actual"]) for r in checked.collect()}
@@ -294,7 +326,7 @@ def claims_job(spark: SparkSession, files: Sequence[str], metadata: str, parquet
 
 def rating_job(spark: SparkSession, source: str, target: str, at: datetime) -> DataFrame:
     """Rated rows with their category, replacing the target table."""
-    rated = spark.table(source).where(F.col("RATING").isNotNull() & F.col("STATE").isNotNull())
+    rated = spark.table(source).where(all_present("RATING", "STATE"))
     report = rated.select(
         "STATE",
         "COFFEE_SHOP",

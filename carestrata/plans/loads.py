@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from carestrata.operators.merge import BatchStamp
-from carestrata.plans.tables import table_exists, truncate_load
+from carestrata.plans.tables import drop_if_exists, table_exists, truncate_load
 from carestrata.sources.columnar import file_tables, fold_names, parquet_into, with_provenance
-from carestrata.sources.delimited import csv_inferred
+from carestrata.sources.delimited import csv_inferred, csv_rejects
 
 
 def load_csv(spark: SparkSession, path: str, table: str, mode: str = "replace") -> int:
-    """Typed load of a CSV file; mode "replace" or "append". Returns the table's row count."""
-    return _write(spark, csv_inferred(spark, path), table, mode)
+    """Typed load of a CSV file; mode "replace" or "append". Returns the table's row count.
+
+    Records that do not fit are kept as text in `<table>_REJECTS`, which is there only if there are any.
+    """
+    count = _write(spark, csv_inferred(spark, path), table, mode)
+    rejects = csv_rejects(spark, path)
+    if not rejects.isEmpty():
+        _write(spark, rejects, f"{table}_REJECTS", mode)
+    elif mode == "replace":
+        drop_if_exists(spark, f"{table}_REJECTS")
+    return count
 
 
 def load_parquet(spark: SparkSession, path: str, table: str, mode: str = "append") -> int:
@@ -33,8 +43,8 @@ def load_each(
     """Every Parquet file whose name has the prefix, appended to the table of its own name."""
     wanted = {t: p for t, p in file_tables(paths).items() if t.startswith(prefix)}
     counts = {}
-    for table, path in wanted.items():
-        rows = fold_names(spark.read.parquet(path))
+    for table, files in wanted.items():
+        rows = _together([fold_names(spark.read.parquet(path)) for path in files])
         counts[table] = _write(spark, stamp.put_on(rows) if stamp else rows, f"{database}.{table}", "append")
     return counts
 
@@ -44,12 +54,17 @@ def create_each(
 ) -> dict[str, int]:
     """Every Parquet file as a new table `<stem><suffix>`, with the file and time each row came from."""
     counts = {}
-    for table, path in file_tables(paths, suffix).items():
-        rows = with_provenance(spark.read.parquet(path), loaded_at)
+    for table, files in file_tables(paths, suffix).items():
+        rows = _together([with_provenance(spark.read.parquet(path), loaded_at) for path in files])
         counts[table] = _write(spark, rows, f"{database}.{table}", "replace")
     return counts
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """Files of one table name, by column name."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def _write(spark: SparkSession, rows: DataFrame, table: str, mode: str) -> int:
     if mode not in ("replace", "append"):
         raise ValueError("mode is 'replace' or 'append'")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +10,8 @@ from carestrata.plans.tables import create_or_replace_as
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*\Z")
 _MARK = re.compile(r"'\{(\w+)\}'|\{\{\s*(\w+)\s*\}\}|\{(\w+)\}")
-_PIECE = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|[^'\"`;/-]+|.", re.DOTALL)
+_PIECE = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|[^'\"`;/-]+|.", re.DOTALL)
+_LEADING = re.compile(r"\A(?:\s+|--[^\n]*(?:\n|\Z)|/\*.*?\*/)+", re.DOTALL)
 _REPLACE_AS = re.compile(r"\s*CREATE\s+OR\s+REPLACE\s+TABLE\s+(\S+)\s+AS\s+(.*)\Z", re.IGNORECASE | re.DOTALL)
 
 
@@ -60,7 +60,7 @@ def run_sql(
     bound, args = bind(text, objects or {}, values or {})
     for statement in statements(bound):
         own = {k: v for k, v in args.items() if re.search(rf":{k}\b", statement)}
-        replace = _REPLACE_AS.match(statement)
+        replace = _REPLACE_AS.match(_LEADING.sub("", statement))
         if replace:
             create_or_replace_as(spark.sql(replace[2], args=own), replace[1].replace("`", ""))
             last = spark.table(replace[1].replace("`", ""))
@@ -70,4 +70,4 @@ def run_sql(
 
 
 def run_sql_file(spark: SparkSession, path: str, objects: dict[str, str], values: dict[str, object] | None = None):
-    return run_sql(spark, Path(path).read_text(encoding="utf-8"), objects, values)
+    return run_sql(spark, spark.read.text(path, wholetext=True).first()[0], objects, values)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -57,8 +57,14 @@ class BatchTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def replace(self, df: DataFrame) -> None:
-        """Write the batches found in `df`, replacing them if they were there: running a batch again leaves one copy."""
+    def replace(self, df: DataFrame, batch_id: int | None = None) -> None:
+        """Write the batches found in `df`, replacing them if they were there: running a batch again leaves one copy.
+
+        With `batch_id`, that batch is replaced even if `df` has no row of it.
+        """
+        if batch_id is not None and df.isEmpty():
+            self.drop_batch(batch_id)
+            return
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BATCH).parquet(self.path)
 
@@ -124,7 +130,7 @@ class GoldTable:
         self.spark, self.target, self.buckets = spark, target, buckets
         self.path = f"{root}/{target.name}"
         self._log = f"{self.path}/_published"
-        self._prefix = f"gold_{zlib.crc32(self.path.encode()):08x}_{target.name.lower()}"
+        self._prefix = f"gold_{hashlib.sha256(self.path.encode()).hexdigest()[:24]}_{target.name.lower()}"
         types = {f.name: f.dataType.simpleString() for f in META_SCHEMA}
         self.ddl = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in target.columns)
         self.schema = T.StructType.fromDDL(self.ddl)

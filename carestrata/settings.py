@@ -214,6 +214,7 @@ class ProgramConfig:
     bronze_table: str | None = None
 
 
+# fixed values: file prefixes, counts, rule ids and control files of the four programs
 RECIPIENT = ProgramConfig(
     "MEDICAID",
     "RECIPIENT",

@@ -33,11 +33,11 @@ def with_provenance(df: DataFrame, loaded_at: datetime) -> DataFrame:
     return df.withColumns({"_source_file": F.col("_metadata.file_path"), "_loaded_at": F.lit(loaded_at)})
 
 
-def file_tables(paths: Sequence[str], suffix: str = "") -> dict[str, str]:
-    """Table name -> file. A file becomes the table named by its stem, with `suffix` unless it already ends so."""
-    out = {}
+def file_tables(paths: Sequence[str], suffix: str = "") -> dict[str, list[str]]:
+    """Table name -> its files. A file becomes the table named by its stem, with `suffix` unless it already ends so."""
+    out: dict[str, list[str]] = {}
     for path in paths:
         base = path.rstrip("/").rsplit("/", 1)[-1]
         stem = base[: -len(".parquet")] if base.lower().endswith(".parquet") else base
-        out[stem if stem.endswith(suffix) else stem + suffix] = path
+        out.setdefault(stem if stem.endswith(suffix) else stem + suffix, []).append(path)
     return out

@@ -29,7 +29,24 @@ def _reader(spark: SparkSession, multiline: bool):
 
 
 def csv_strings(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
-    return _reader(spark, multiline).csv(path)
+    return _without_blank_lines(_reader(spark, multiline).csv(path), multiline)
+
+
+def _without_blank_lines(rows: DataFrame, multiline: bool) -> DataFrame:
+    """The multi-line reader gives a line of white space as a row; the other one and the record count leave it out."""
+    if not multiline or not rows.columns:
+        return rows
+    first, *others = [F.col(f"`{c}`") for c in rows.columns]
+    blank = first.cast("string").rlike(r"\A[\x00-\x20]+\z")
+    for column in others:
+        blank = blank & column.isNull()
+    return rows.where(~F.coalesce(blank, F.lit(False)))
+
+
+def needs_multiline(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted line break makes a file unfit for reading split by split."""
+    row = csv_profile(spark, path).select(F.max("multiline").alias("m")).first()
+    return bool(row and row["m"])
 
 
 def bind_by_name(df: DataFrame, target: Sequence[str] | T.StructType, case_sensitive: bool = False) -> DataFrame:
@@ -57,12 +74,35 @@ def csv_positional(spark: SparkSession, path: str, names: Sequence[str], multili
     if width != len(names):
         raise HeaderMismatch(f"{path} has {width} columns, the mapping {len(names)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return _reader(spark, multiline).schema(schema).csv(path)
+    return _without_blank_lines(_reader(spark, multiline).schema(schema).csv(path), multiline)
+
+
+REJECTED = "_REJECTED"
+
+
+def csv_checked(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """Types inferred from the data, and `_REJECTED`: the raw record where it does not fit (too short, too long).
+
+    Every record is a row whatever columns are read later, so accepted and rejected rows add up to the record count.
+    """
+    multiline = needs_multiline(spark, path) if multiline is None else multiline
+    schema = _reader(spark, multiline).option("inferSchema", "true").csv(path).schema
+    reader = _reader(spark, multiline).schema(schema.add(REJECTED, "string"))
+    rows = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, columnPruning="false").csv(path)
+    # always true, but it reads every column: Spark refuses to judge a record by its raw text alone
+    parsed = F.hash(*[F.col(f"`{f.name}`") for f in schema if f.name != REJECTED]) >= F.lit(-(2**31))
+    return rows.where(parsed & (F.col(REJECTED).isNull() | ~F.col(REJECTED).rlike(r"\A[\x00-\x20]*\z")))
+
+
+def csv_inferred(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """The rows of `csv_checked` that fit."""
+    return csv_checked(spark, path, multiline).where(F.col(REJECTED).isNull()).drop(REJECTED)
 
 
-def csv_inferred(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Types inferred from the data; rows that do not fit are skipped."""
-    return _reader(spark, multiline).option("inferSchema", "true").option("mode", "DROPMALFORMED").csv(path)
+def csv_rejects(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """The raw records that do not fit, with the file they came from."""
+    rows = csv_checked(spark, path, multiline).select("*", F.col("_metadata.file_path").alias("_FILE"))
+    return rows.where(F.col(REJECTED).isNotNull()).select("_FILE", REJECTED)
 
 
 def csv_to_parquet(spark: SparkSession, files: Sequence[str], target: str, multiline: bool = False) -> list[str]:
@@ -70,13 +110,14 @@ def csv_to_parquet(spark: SparkSession, files: Sequence[str], target: str, multi
     written = []
     for path in files:
         stem = re.sub(r"(?i)\.csv$", "", path.rstrip("/").rsplit("/", 1)[-1])
-        csv_strings(spark, path, multiline).write.mode("overwrite").parquet(f"{target}/{stem}.parquet")
+        wide = multiline or needs_multiline(spark, path)
+        csv_strings(spark, path, wide).write.mode("overwrite").parquet(f"{target}/{stem}.parquet")
         written.append(f"{target}/{stem}.parquet")
     return written
 
 
 def add_column_csv(spark: SparkSession, source: str, target: str, name: str, value: Column) -> None:
-    csv_inferred(spark, source).withColumn(name, value).write.mode("overwrite").option("header", "true").csv(target)
+    csv_strings(spark, source, needs_multiline(spark, source)).withColumn(name, value).write.mode("overwrite").option("header", "true").csv(target)
 
 
 def csv_headers(spark: SparkSession, paths: Sequence[str], naive: bool = False) -> DataFrame:
@@ -163,6 +204,7 @@ def _states(e0: np.ndarray, e1: np.ndarray, start: bool) -> np.ndarray:
     return base ^ (since % 2 == 1)
 
 
+_BLANK = r"\A[\x00-\x20]*\z"  # what the split-by-split reader takes for no record
 _SPLIT_SCHEMA = (
     "path string, block bigint, lines bigint, end0 boolean, records0 bigint, end1 boolean, records1 bigint"
 )
@@ -177,7 +219,7 @@ def _summarise(sep: str):
             value = batch.column("value")
             e0 = ~pc.match_substring_regex(value, closed).to_numpy(zero_copy_only=False)
             e1 = ~pc.match_substring_regex(value, closing).to_numpy(zero_copy_only=False)
-            blank = pc.equal(value, "").to_numpy(zero_copy_only=False)
+            blank = pc.match_substring_regex(value, _BLANK).to_numpy(zero_copy_only=False)
             path, block = batch.column("path").to_numpy(zero_copy_only=False), batch.column("block").to_numpy()
             turn = np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1
             for lo, hi in zip([0, *turn], [*turn, len(block)], strict=True):

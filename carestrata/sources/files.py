@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import zipfile
 from collections.abc import Iterator
@@ -15,9 +16,13 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.filenames import clean_file_name
 from carestrata.functions.releases import DATA_FILE_STEM, data_file_name
+from carestrata.operators.predicates import file_matches
+from carestrata.settings import FileCriteria
 
 MEMBER_SCHEMA = "path string, ordinal int, member string, size bigint"
 LINE_SCHEMA = "path string, ordinal int, member string, line_no bigint, value string"
+#: Members with other endings (documents, images) are listed but never inflated.
+TEXT_ENDINGS = (".csv", ".txt", ".tsv", ".dat")
 BYTES_PER_BATCH = 4 * 1024 * 1024
 
 
@@ -56,15 +61,25 @@ def archive_members(spark: SparkSession, folder: str) -> DataFrame:
     return list_members(_archives(spark, folder))
 
 
+def _decoded(line: bytes) -> str:
+    """UTF-8, or where a line is not, one character for each byte. Line ends inside quoted values stay as they are."""
+    try:
+        return line.decode()
+    except UnicodeDecodeError:
+        return line.decode("latin-1")
+
+
 def _lines_of(archive: zipfile.ZipFile, path: str) -> Iterator[pa.RecordBatch]:
     for ordinal, info in enumerate(archive.infolist(), 1):
-        if info.is_dir():
+        if not info.filename.lower().endswith(TEXT_ENDINGS):
             continue
-        with archive.open(info) as raw, io.TextIOWrapper(raw, "utf-8-sig", newline="\n") as text:
+        with archive.open(info) as raw:
             number = 0
-            while lines := text.readlines(BYTES_PER_BATCH):
+            while lines := raw.readlines(BYTES_PER_BATCH):
                 n = len(lines)
-                value = [line.removesuffix("\n").removesuffix("\r") for line in lines]
+                if not number:
+                    lines[0] = lines[0].removeprefix(codecs.BOM_UTF8)
+                value = [_decoded(line.removesuffix(b"\n")) for line in lines]
                 columns = [
                     pa.repeat(pa.scalar(path, pa.string()), n),
                     pa.repeat(pa.scalar(ordinal, pa.int32()), n),
@@ -99,13 +114,17 @@ def member_lines(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_read_lines, LINE_SCHEMA)
 
 
-def extract_archives(spark: SparkSession, folder: str, target: str) -> None:
+def extract_archives(spark: SparkSession, folder: str, target: str, criteria: FileCriteria | None = None) -> None:
     """Write each text member to `target/file_name=<cleaned name>/member=<id>/`, its lines in order, in one file.
 
     Members whose cleaned names are equal stay apart, each with its own header. Directory entries are skipped.
-    Members are written by the task that inflates them, so nothing is exchanged.
+    Members are written by the task that inflates them, so nothing is exchanged. With `criteria`, only archives whose
+    name fits are opened. Nothing of an earlier extraction to the same folder is left.
     """
-    lines = member_lines(_archives(spark, folder))
+    archives = _archives(spark, folder)
+    if criteria is not None:
+        archives = archives.where(file_matches(criteria, F.substring_index("path", "/", -1)))
+    lines = member_lines(archives)
     named = lines.select(
         clean_file_name(F.substring_index("member", "/", -1)).alias("file_name"),
         F.concat_ws("-", F.md5("path"), "ordinal").alias("member"),
@@ -113,7 +132,7 @@ def extract_archives(spark: SparkSession, folder: str, target: str) -> None:
         "value",
     )
     ordered = named.sortWithinPartitions("file_name", "member", "line_no").drop("line_no")
-    ordered.write.mode("overwrite").partitionBy("file_name", "member").text(target)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_name", "member").text(target)
 
 
 def first_member(members: DataFrame, stem: str) -> DataFrame:

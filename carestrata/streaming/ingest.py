@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,12 +46,22 @@ def new_files(
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str, stamp: BatchStamp) -> StreamingQuery:
-    """Append what is new to a bronze table and stop. A micro-batch that is run again replaces its own partition."""
+    """Append what is new to a bronze table and stop. A micro-batch that is run again replaces its own partition.
 
+    The partition is named by the query and the micro-batch. A query is known by its checkpoint, so another checkpoint,
+    or a new one after a loss, never writes over what is there.
+    """
+    return _ingest(stream, target, checkpoint, stamp, [])
+
+
+def _ingest(stream: DataFrame, target: str, checkpoint: str, stamp: BatchStamp, done: list[str]) -> StreamingQuery:
     def write(rows: DataFrame, epoch: int) -> None:
-        stamped = stamp.put_on(rows).withColumn(INGEST_ID, F.lit(epoch).cast("bigint"))
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        part = f"{query_id}-{epoch}"
+        stamped = stamp.put_on(rows).withColumn(INGEST_ID, F.lit(part))
         writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("META_BATCH_ID", INGEST_ID).parquet(target)
+        done.append(part)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return query.trigger(availableNow=True).start()
@@ -58,8 +69,15 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, stamp: BatchStamp) -
 
 def ingest_and_wait(stream: DataFrame, target: str, checkpoint: str, stamp: BatchStamp) -> int:
     """Run to the end of what is there; returns the number of rows taken."""
-    query = ingest(stream, target, checkpoint, stamp)
+    done: list[str] = []
+    query = _ingest(stream, target, checkpoint, stamp, done)
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    if not done:
+        return 0
+    try:
+        written = stream.sparkSession.read.parquet(target)
+    except AnalysisException:
+        return 0
+    return written.where(F.col(INGEST_ID).isin(done)).count()

@@ -2,6 +2,7 @@ import random
 import re
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,12 +87,13 @@ def test_sets_fire_once_per_count(spark):
 
 
 def test_may_start():
-    assert audit.may_start({"complete": True, "found_total": 2, "expected_total": 2})
-    assert not audit.may_start({"complete": True, "found_total": 3, "expected_total": 2})
-    assert audit.may_start({"complete": False, "found_total": 3, "expected_total": 2}, at_least=True)
-    assert audit.may_start({"status": "success", "file_ready": True, "extracted_files": ["x"]})
-    assert not audit.may_start({"status": "error", "file_ready": True, "extracted_files": ["x"]})
-    assert not audit.may_start({})
+    def state(complete, found, expected):
+        return {"complete": complete, "found_total": found, "expected_total": expected, "enough": found >= expected}
+
+    assert audit.may_start(state(True, 2, 2))
+    assert not audit.may_start(state(True, 3, 2))
+    assert audit.may_start(state(False, 3, 2), at_least=True)
+    assert not audit.may_start(state(False, 1, 2), at_least=True)
 
 
 def test_step_gate():
@@ -180,11 +182,11 @@ def test_alert_routing(spark, counts, alerts, code):
     assert (parsed["status_code"], parsed["batch_info"]["batch_id"]) == (code, "1")
 
 
-@pytest.mark.parametrize("n, splits", [(0, 4), (1, 4), (500, 1), (500, 16), (500, 600)])
-def test_row_numbers_have_no_gaps(spark, n, splits):
+@pytest.mark.parametrize("n, per_range", [(0, 4), (1, 4), (500, 1), (500, 16), (500, 600)])
+def test_row_numbers_have_no_gaps(spark, n, per_range):
     names = [f"dir/{i:04d}" if i % 3 else f"z{i}" for i in range(n)]
     df = spark.createDataFrame([(x,) for x in names], "p string")
-    got = {r["p"]: r["n"] for r in ordinals.number_rows(df, "p", "n", splits).collect()}
+    got = {r["p"]: r["n"] for r in ordinals.number_rows(df, "p", "n", per_range).collect()}
     assert got == {x: i for i, x in enumerate(sorted(names), 1)}
 
 
@@ -204,3 +206,11 @@ def test_lineage(spark):
     assert got == {("P_S_2024-01-01_4_1", None): ("a.csv", "CSV", "UNKNOWN", "/l/a.csv"),
                    ("P_S_2024-01-01_4_2", None): ("b.zip", "ZIP", "10B", "/l/b.zip"),
                    ("P_S_2024-01-01_4_2", "2"): ("x.TXT", "TEXT", "5B", "/l/b.zip/x.TXT")}
+
+
+def test_ranges_are_even(spark):
+    df = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("p"))
+    cuts = ordinals.cut_points(df, "p", 1000)
+    values = sorted(r["p"] for r in df.collect())
+    sizes = np.diff(np.searchsorted(values, ["", *cuts, "g"]))
+    assert len(sizes) == 20 and sizes.max() / sizes.mean() < 1.5

@@ -163,13 +163,13 @@ def test_line_batches(monkeypatch):
     monkeypatch.setattr(files, "BYTES_PER_BATCH", 300)
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
-        z.writestr("a", "".join(f"line {i}\n" for i in range(1000)))
-        z.writestr("b", "x\r\ny")
+        z.writestr("a.txt", "".join(f"line {i}\n" for i in range(1000)))
+        z.writestr("b.csv", "x\r\ny")
     batch = pa.RecordBatch.from_pydict({"path": ["p"], "content": [buffer.getvalue()]})
     out = list(files._read_lines(iter([batch])))
     rows = [r for b in out for r in b.to_pylist()]
     assert len(out) > 10 and [r["line_no"] for r in rows] == [*range(1000), 0, 1]
-    assert [r["value"] for r in rows] == [*(f"line {i}" for i in range(1000)), "x", "y"]
+    assert [r["value"] for r in rows] == [*(f"line {i}" for i in range(1000)), "x\r", "y"]
 
 
 def test_releases_not_loaded(spark):
@@ -217,7 +217,7 @@ def test_parquet_loads(spark, tmp_path):
     assert (stamped["name"], stamped["other"], stamped["META_BATCH_ID"]) == ("x", None, 1)
     seen = columnar.with_provenance(spark.read.parquet(path), datetime(2024, 1, 1)).first()
     assert "p.parquet" in seen["_source_file"] and seen["_loaded_at"] == datetime(2024, 1, 1)
-    assert columnar.file_tables(["/a/x.parquet", "/a/y_T.PARQUET"], "_T") == {"x_T": "/a/x.parquet", "y_T": "/a/y_T.PARQUET"}
+    assert columnar.file_tables(["/a/x.parquet", "/a/y_T.PARQUET"], "_T") == {"x_T": ["/a/x.parquet"], "y_T": ["/a/y_T.PARQUET"]}
 
 
 def test_bytes_survive_zip(spark):
