@@ -466,7 +466,7 @@ def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @verify("""
     SELECT CAST(doc_id AS VARCHAR) AS path, CAST(n - 1 AS BIGINT) AS line_no,
-           md5(CASE WHEN ends_with(line, chr(13)) THEN left(line, length(line) - 1) ELSE line END) AS line_md5
+           md5(line) AS line_md5
     FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n, len(l) AS total FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
     WHERE NOT (n = total AND line = '')
 """)
