@@ -33,14 +33,14 @@ def worded(rows: DataFrame, id_name: str, id_as: str, copy_as: str) -> DataFrame
         rows.select(F.col(id_name).alias(id_as), text.alias("text"))
         .select(id_as, F.xxhash64("text").alias(copy_as), plain.alias("plain"))
         .select(id_as, copy_as, F.when(F.col("plain") == "", F.array().cast("array<string>")).otherwise(F.split("plain", " ")).alias("words"))
-        .where(F.size("words") > 0)
     )
 
 
 def shingles(rows: DataFrame, k: int, as_words: bool = False) -> DataFrame:
     """One row a shingle, repeats included: all columns but `words`, `total` (their number) and `h` or `shingle`."""
     n = F.size("words")
-    placed = rows.withColumn("total", F.greatest(n - (k - 1), F.lit(1))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("total") - 1)))
+    total = F.greatest(n - (k - 1), F.lit(1))
+    placed = rows.select("*", total.alias("total"), F.explode(F.when(n > 0, F.sequence(F.lit(0), total - 1))).alias("i"))
     parts = [F.get("words", F.col("i") + j) for j in range(k)]
     if as_words:
         value = F.concat_ws(" ", *parts).alias("shingle")
@@ -91,8 +91,9 @@ def contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: fl
     sizes = theirs.groupBy("item_id", "item_copy").agg(F.count("*").alias("n_item"))
     theirs = theirs.join(sizes.toDF("id", "c", "n_item"), F.col("item_id").eqNullSafe(F.col("id")) & (F.col("item_copy") == F.col("c")))
     theirs = kept(theirs.select("item_id", "item_copy", "n_item", "shingle"), "bench-shingles")
-    shared = shingles(doc_words.join(hits, same, "left_semi"), k, as_words=True).select("doc_id", "copy", "shingle").join(theirs, "shingle")
-    counted = shared.distinct().groupBy("doc_id", "copy", "item_id", "item_copy").agg(
+    # distinct before the join, so that nothing above it needs a shingle's rows together and a hot one can be split
+    ours = shingles(doc_words.join(hits, same, "left_semi"), k, as_words=True).select("doc_id", "copy", "shingle").distinct()
+    counted = ours.join(theirs, "shingle").groupBy("doc_id", "copy", "item_id", "item_copy").agg(
         F.count("*").alias("n_shared"), F.first("n_item").alias("n_item")
     )
     return (
