@@ -48,6 +48,7 @@ from carestrata.sources.delimited import (
     csv_strings,
     csv_to_parquet,
     metadata_map,
+    profiled_headers,
 )
 from carestrata.sources.files import archive_members, extract_archives, file_inventory
 
@@ -254,6 +255,8 @@ def program_job(
         # the profile is one small row per file
         files = [path for paths in sources.values() for path in paths]
         profile = csv_profile(spark, files)
+        seen = profile.collect()
+        profile = spark.createDataFrame(seen, profile.schema)
         table = F.regexp_replace(clean_file_name(F.col("file_name")), r"(?i)\.csv\z", "")
         counts = profile.groupBy(table.alias("TABLE_NAME")).agg(
             F.sum("actual_rows").alias("actual_rows"), F.max("multiline").alias("multiline")
@@ -263,10 +266,8 @@ def program_job(
         expected = control_rows(lake.control.read(), stamp.batch_id, stamp.program, stamp.subject)
         require_passed(check_row_counts(expected, counts), "Row count validation", "table_name")
         if registry is not None:
-            headers = csv_headers(spark, files)
-            named = [(p, n[: -len(".csv")]) for n, paths in sources.items() for p in paths]
-            headers = headers.join(spark.createDataFrame(named, "path string, table string"), "path")
-            headers = headers.select(F.col("table").alias("object_name"), "actual").distinct()
+            headers = profiled_headers(profile.withColumn("TABLE_NAME", table))
+            headers = headers.select(F.col("TABLE_NAME").alias("object_name"), "actual").distinct()
             require_passed(check_schemas(headers, registry), "Schema validation", "object_name")
         multiline = {r["TABLE_NAME"]: r["multiline"] for r in rows}
         filled = {r["TABLE_NAME"]: r["actual_rows"] for r in rows}

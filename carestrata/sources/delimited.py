@@ -206,7 +206,7 @@ def _states(e0: np.ndarray, e1: np.ndarray, start: bool) -> np.ndarray:
 
 _BLANK = r"\A[\x00-\x20]*\z"  # what the split-by-split reader takes for no record
 _SPLIT_SCHEMA = (
-    "path string, block bigint, lines bigint, end0 boolean, records0 bigint, end1 boolean, records1 bigint"
+    "path string, block bigint, lines bigint, end0 boolean, records0 bigint, end1 boolean, records1 bigint, header string"
 )
 
 
@@ -225,7 +225,12 @@ def _summarise(sep: str):
             for lo, hi in zip([0, *turn], [*turn, len(block)], strict=True):
                 if lo == hi:
                     continue
-                entry = seen.setdefault((path[lo], int(block[lo])), [0, False, 0, True, 0])
+                entry = seen.setdefault((path[lo], int(block[lo])), [0, False, 0, True, 0, None])
+                if not block[lo] and entry[5] is None and (~blank[lo:hi]).any():
+                    top = lo + int(np.argmin(blank[lo:hi]))
+                    open_after = _states(e0[top:hi], e1[top:hi], False)
+                    last = top + (int(np.argmin(open_after)) if not open_after.all() else len(open_after) - 1)
+                    entry[5] = "\n".join(value[top : last + 1].to_pylist()).removeprefix("\ufeff")
                 entry[0] += int((~blank[lo:hi]).sum())
                 for k in (1, 3):
                     after = _states(e0[lo:hi], e1[lo:hi], entry[k])
@@ -233,8 +238,8 @@ def _summarise(sep: str):
                     entry[k + 1] += int((~after & ~(blank[lo:hi] & ~before)).sum())
                     entry[k] = bool(after[-1])
         rows = [(*key, *entry) for key, entry in seen.items()]
-        names = ["path", "block", "lines", "end0", "records0", "end1", "records1"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64()]
+        names = ["path", "block", "lines", "end0", "records0", "end1", "records1", "header"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.string()]
         cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -242,11 +247,11 @@ def _summarise(sep: str):
 
 
 def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
-    """`path, file_name, TABLE_NAME, actual_rows, lines, multiline` per CSV file.
+    """`path, file_name, TABLE_NAME, actual_rows, lines, multiline, header` per CSV file.
 
     Counts logical records (a quoted line break does not end one, blank lines are none) without the header, in
     parallel over the splits of each file. `multiline` tells whether a file needs the single-task reader. Files of
-    an extracted archive go by the member's name.
+    an extracted archive go by the member's name. `header` is the first record as text.
     """
     text = spark.read.option("recursiveFileLookup", "true").text(paths).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
@@ -261,6 +266,7 @@ def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
 
     per_file = splits.groupBy("path").agg(
         F.sum("lines").alias("lines"),
+        F.max("header").alias("header"),
         F.aggregate(
             F.sort_array(F.collect_list(F.struct("block", "end0", "records0", "end1", "records1"))), start, chain
         ).alias("all"),
@@ -276,4 +282,16 @@ def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
         F.greatest(records - 1, F.lit(0)).alias("actual_rows"),
         "lines",
         (F.col("lines") != records).alias("multiline"),
+        "header",
     )
+
+
+def profiled_headers(profile: DataFrame) -> DataFrame:
+    """`path, TABLE_NAME, actual` with the column names of each file of a `csv_profile`, read with its one pass."""
+
+    @F.arrow_udf("array<string>")
+    def names(headers: pa.Array) -> pa.Array:
+        return pa.array([next(csv.reader([h], strict=False), []) if h else [] for h in headers.to_pylist()], pa.list_(pa.string()))
+
+    return profile.select("path", "TABLE_NAME", names("header").alias("actual"))
+

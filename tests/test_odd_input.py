@@ -144,3 +144,12 @@ def test_wide_bronze_is_read_in_batches(spark, tmp_path):
     with redirect_stdout(shown):
         spark.read.parquet(str(tmp_path / "w")).select(F.md5(F.concat_ws("", *wide.columns))).explain("formatted")
     assert "Batched: true" in shown.getvalue()
+
+
+def test_every_file_has_its_header_from_the_counting_pass(spark, tmp_path):
+    texts = {"a": 'x,"y z"\n1,2\n', "b": '"p\nq",r\n1,2\n', "c": "", "d": "﻿h\n", "e": " \n\nk,l\n1,2\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    profile = delimited.csv_profile(spark, str(tmp_path))
+    got = {r["TABLE_NAME"]: r["actual"] for r in delimited.profiled_headers(profile).collect()}
+    assert got == {"a": ["x", "y z"], "b": ["p\nq", "r"], "d": ["h"], "e": ["k", "l"]}
