@@ -73,8 +73,9 @@ def mixed(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda j: uniform(F.lit(seed), F.col("key"), j.cast("string"))
     )
     times = F.aggregate(part, F.lit(0), lambda n, u: n + F.size(F.filter("steps", lambda c: c <= u)))
-    counted = rows.select("row", "key", "rate", times.alias("times")).where("times > 0")
-    copies = counted.select("row", "key", "rate", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    counted = rows.select("row", "key", "rate", times.alias("times"))
+    numbers = F.when(F.col("times") > 0, F.sequence(F.lit(1), F.col("times")))
+    copies = counted.select("row", "key", "rate", F.explode(numbers).alias("copy"))
     order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "key", F.col("copy").cast("string")))
     dealt = copies.select("row", "rate", "copy", order.alias("shuffle_key")).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
     others = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("rate", "copy", "shuffle_key")]
