@@ -81,7 +81,8 @@ def merge_changed(
     """Next state of `gold`: unmatched source rows inserted, matched rows whose content differs updated, rest kept.
 
     strategy "shuffle": one full outer join; with gold bucketed by its keys only the batch is exchanged.
-    strategy "broadcast": gold is never exchanged; for batches whose size was checked (see `fits_broadcast`).
+    strategy "broadcast": gold is never exchanged; a batch whose measured size is over the limit (see `fits_broadcast`)
+    is merged as by "shuffle".
     NULL keys match nothing. They are kept out of the join, where they would all meet in one task, and are
     inserted (or dropped with null_keys="drop"). Sources that filter them anyway say null_keys="absent", which
     saves the extra read of gold for them.
@@ -96,6 +97,8 @@ def merge_changed(
     src = src.select(*[F.col(c).alias(f"s_{c}") for c in (*keys, *business)], F.lit(True).alias("s_row"))
     old = gold.select(*columns).where(keyed).withColumn("g_row", F.lit(True))
 
+    if strategy == "broadcast" and not fits_broadcast(rows, [*keys, *business]):
+        strategy = "shuffle"
     if strategy == "shuffle":
         joined = old.join(src, _match(old, src, keys), "full_outer")
         merged = _next_state(joined, meta, keys, business, sep)

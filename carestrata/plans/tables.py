@@ -162,6 +162,26 @@ class GoldTable:
     def current(self) -> DataFrame:
         return self.at(self.head())
 
+    def rebucket(self, buckets: int, batch_id: int, at: datetime) -> Head:
+        """Publish the same rows in another number of buckets, for a table that has outgrown its first one."""
+        base = self.head()
+        rows = self.at(base).repartition(buckets, *self.target.keys)
+        return self.publish(rows, Head(base.version, base.path, buckets), batch_id, at)
+
+    def expire(self, keep: int = 2) -> list[int]:
+        """Remove all versions but the last `keep`, of which the newest is the current one. Returns their numbers."""
+        if keep < 1:
+            raise ValueError("the current version stays")
+        known = [(r["version"], r["path"]) for r in self.log().orderBy("version").collect()]
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        gone = []
+        for version, path in known[:-keep]:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            drop_if_exists(self.spark, f"{self._prefix}_v{version}")
+            if folder.getFileSystem(conf).delete(folder, True):
+                gone.append(version)
+        return gone
+
     def publish(self, df: DataFrame, base: Head, batch_id: int, at: datetime) -> Head:
         """Write the version after `base` and make it current."""
         new = Head(base.version + 1, f"{self.path}/v={base.version + 1}", base.buckets)

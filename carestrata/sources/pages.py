@@ -44,10 +44,12 @@ def registry_releases(links: DataFrame) -> DataFrame:
     name = last_segment(F.col("href"))
     kind = release_kind(F.col("href"))
     score = F.when(kind == "weekly", weekly_score(name)).otherwise(monthly_score(name))
-    return links.select("*", name.alias("name"), kind.alias("kind"), score.alias("score")).where(
-        F.col("kind").isNotNull() & F.col("score").isNotNull()
-    ).select(
-        "*",
+    # an array of one release or none, so that a filter on its fields does not make them a second time
+    found = F.array(F.struct(name.alias("name"), kind.alias("kind"), score.alias("score")))
+    found = F.filter(found, lambda r: r["kind"].isNotNull() & r["score"].isNotNull())
+    return links.select("*", F.explode(found).alias("_r")).select(
+        *links.columns,
+        "_r.*",
         absolute_url(F.col("href"), REGISTRY_SITE, REGISTRY_FOLDER).alias("url"),
         release_info(F.col("name")).alias("info"),
     )

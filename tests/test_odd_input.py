@@ -153,3 +153,18 @@ def test_every_file_has_its_header_from_the_counting_pass(spark, tmp_path):
     profile = delimited.csv_profile(spark, str(tmp_path))
     got = {r["TABLE_NAME"]: r["actual"] for r in delimited.profiled_headers(profile).collect()}
     assert got == {"a": ["x", "y z"], "b": ["p\nq", "r"], "d": ["h"], "e": ["k", "l"]}
+
+
+def test_gold_outgrows_its_buckets(spark, tmp_path):
+    target = s.TargetTable("T_GROWS", ("k",), ("v",))
+    gold = tables.GoldTable(spark, str(tmp_path), target, 2)
+    from carestrata.plans.gold import upsert
+
+    upsert(gold, spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string"), BatchStamp("P", "S", 1, AT))
+    gold.rebucket(5, 1, AT)
+    upsert(gold, spark.createDataFrame([("2", "c"), ("3", "d")], "k string, v string"), BatchStamp("P", "S", 2, AT))
+    assert gold.head().buckets == 5 and gold.head().version == 3
+    assert gold.expire(keep=1) == [1, 2] and gold.expire(keep=1) == []
+    assert sorted((r["k"], r["v"]) for r in gold.current().collect()) == [("1", "a"), ("2", "c"), ("3", "d")]
+    with pytest.raises(ValueError):
+        gold.expire(keep=0)
