@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.cleanse import rating_category
 from carestrata.functions.filenames import clean_file_name
+from carestrata.functions.releases import monthly_score, weekly_score
 from carestrata.operators.audit import AUDIT_SCHEMA, audit_row, may_start, next_batch_id
 from carestrata.operators.fileset import set_completeness
 from carestrata.operators.lineage import LINEAGE_COLUMNS, lineage_rows
@@ -50,7 +52,14 @@ from carestrata.sources.delimited import (
     metadata_map,
     profiled_headers,
 )
-from carestrata.sources.files import archive_members, extract_archives, file_inventory
+from carestrata.sources.files import (
+    archive_members,
+    extract_archives,
+    file_inventory,
+    first_member,
+    not_present,
+    put_away,
+)
 
 _LINEAGE_TYPES = {"DATE_INBOUND": "timestamp", "ID_BATCH": "bigint"}
 LINEAGE_DDL = ", ".join(f"{c} {_LINEAGE_TYPES.get(c, 'string')}" for c in LINEAGE_COLUMNS)
@@ -129,11 +138,12 @@ def require_complete(files: DataFrame, config: ProgramConfig, at_least: bool = F
     return state
 
 
-def record_lineage(lake: Lake, folder: str, config: ProgramConfig, stamp: BatchStamp) -> None:
-    files = file_inventory(lake.spark, folder)
-    files = files.where(file_matches(config.criteria, F.col("name")))
-    owner = F.substring_index("path", "/", -1)
-    members = archive_members(lake.spark, folder).where(file_matches(config.criteria, owner))
+def record_lineage(lake: Lake, folder: str, config: ProgramConfig, stamp: BatchStamp, any_name: bool = False) -> None:
+    """Lineage of the files below a folder that fit the program's criteria, or of all with `any_name`."""
+    files, members = file_inventory(lake.spark, folder), archive_members(lake.spark, folder)
+    if not any_name:
+        files = files.where(file_matches(config.criteria, F.col("name")))
+        members = members.where(file_matches(config.criteria, F.substring_index("path", "/", -1)))
     day = stamp.as_of.date().isoformat()
     lake.lineage.append(lineage_rows(files, members, stamp.program, stamp.subject, stamp.batch_id, day))
 
@@ -230,6 +240,43 @@ def code_set_job(
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": {CODE_SET_TABLE.name: counts}}
 
 
+def release_job(
+    lake: Lake,
+    landing: str,
+    config: ProgramConfig,
+    at: datetime,
+    job: Callable[..., dict],
+    stem: str,
+    archive: str | None = None,
+    **options,
+) -> dict:
+    """The newest landed release archive that no batch has taken -> its data file -> `job` -> archive put away.
+
+    `job` is `registry_job` or `code_set_job`; `stem` starts the data file's name. Releases are ranked by the period or
+    month in their names, and an archive counts as taken once a completed job has written its lineage.
+    """
+    spark = lake.spark
+    taken = lake.lineage.read().where(F.col("SUBJECT_AREA") == config.subject).select(F.col("FILE_NAME").alias("name"))
+    fresh = not_present(file_inventory(spark, landing, "*.[zZ][iI][pP]"), taken)
+    score = F.coalesce(weekly_score(F.col("name")), monthly_score(F.col("name")), F.lit(0).cast("bigint"))
+    best = fresh.agg(F.max_by(F.struct("path", "name"), F.struct(score, "name")).alias("b")).first()["b"]
+    if best is None:
+        return {"status": "no_new_release"}
+    member = first_member(archive_members(spark, best["path"]), stem).first()
+    if member is None:
+        raise NotReady(f"{config.subject}: {best['name']} has no {stem} data file")
+    load = f"{lake.root}/load/{config.subject}/release={best['name']}"
+    extract_archives(spark, best["path"], load, wanted=f"^{re.escape(member['member'])}$")
+    name = F.element_at(F.split("path", "/file_name="), -1)
+    files = file_inventory(spark, load, "*.txt").select(F.url_decode(F.substring_index(name, "/", 1)).alias("name"), "path")
+    require_complete(files, config)
+    done = job(lake, files.first()["path"], config, at, **options)
+    record_lineage(lake, best["path"], config, BatchStamp(config.program, config.subject, done["batch_id"], at), any_name=True)
+    if archive:
+        done["archived"] = put_away(spark, best["path"], archive)
+    return {**done, "release": best["name"]}
+
+
 def program_job(
     lake: Lake,
     landing: str,

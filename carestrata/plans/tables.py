@@ -63,7 +63,9 @@ class BatchTable:
         With `batch_id`, that batch is replaced even if `df` has no row of it.
         """
         if batch_id is not None and df.isEmpty():
-            self.drop_batch(batch_id)
+            # one file without rows, so that a table that has had no row yet can be read
+            none = df.drop(BATCH).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            none.parquet(f"{self.path}/{BATCH}={batch_id}")
             return
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BATCH).parquet(self.path)

@@ -37,9 +37,9 @@ def _without_blank_lines(rows: DataFrame, multiline: bool) -> DataFrame:
     if not multiline or not rows.columns:
         return rows
     first, *others = [F.col(f"`{c}`") for c in rows.columns]
-    blank = first.cast("string").rlike(r"\A[\x00-\x20]+\z")
-    for column in others:
-        blank = blank & column.isNull()
+    blank = first.rlike(r"\A[\x00-\x20]+\z")
+    if others:
+        blank = blank & F.coalesce(*others).isNull()
     return rows.where(~F.coalesce(blank, F.lit(False)))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import codecs
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -69,9 +71,9 @@ def _decoded(line: bytes) -> str:
         return line.decode("latin-1")
 
 
-def _lines_of(archive: zipfile.ZipFile, path: str) -> Iterator[pa.RecordBatch]:
+def _lines_of(archive: zipfile.ZipFile, path: str, wanted: str) -> Iterator[pa.RecordBatch]:
     for ordinal, info in enumerate(archive.infolist(), 1):
-        if not info.filename.lower().endswith(TEXT_ENDINGS):
+        if not info.filename.lower().endswith(TEXT_ENDINGS) or not re.search(wanted, info.filename):
             continue
         with archive.open(info) as raw:
             number = 0
@@ -91,14 +93,14 @@ def _lines_of(archive: zipfile.ZipFile, path: str) -> Iterator[pa.RecordBatch]:
                 number += n
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_lines(batches: Iterator[pa.RecordBatch], wanted: str = "") -> Iterator[pa.RecordBatch]:
     """Lines of small members share a batch, large members come in several."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
             with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                for lines in _lines_of(archive, path):
+                for lines in _lines_of(archive, path, wanted):
                     held.append(lines)
                     size += lines.nbytes
                     if size >= BYTES_PER_BATCH:
@@ -108,23 +110,26 @@ def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def member_lines(archives: DataFrame) -> DataFrame:
-    """Text lines of all members of archives given as `path, content`, inflated as a stream: a task holds one
-    archive and one batch of lines."""
-    return archives.select("path", "content").mapInArrow(_read_lines, LINE_SCHEMA)
+def member_lines(archives: DataFrame, wanted: str = "") -> DataFrame:
+    """Text lines of the members of archives given as `path, content` whose name matches `wanted`, inflated as a
+    stream: a task holds one archive and one batch of lines."""
+    return archives.select("path", "content").mapInArrow(partial(_read_lines, wanted=wanted), LINE_SCHEMA)
 
 
-def extract_archives(spark: SparkSession, folder: str, target: str, criteria: FileCriteria | None = None) -> None:
+def extract_archives(
+    spark: SparkSession, folder: str, target: str, criteria: FileCriteria | None = None, wanted: str = ""
+) -> None:
     """Write each text member to `target/file_name=<cleaned name>/member=<id>/`, its lines in order, in one file.
 
     Members whose cleaned names are equal stay apart, each with its own header. Directory entries are skipped.
     Members are written by the task that inflates them, so nothing is exchanged. With `criteria`, only archives whose
-    name fits are opened. Nothing of an earlier extraction to the same folder is left.
+    name fits are opened, and of them only members that match `wanted` are inflated. Nothing of an earlier extraction to
+    the same folder is left.
     """
     archives = _archives(spark, folder)
     if criteria is not None:
         archives = archives.where(file_matches(criteria, F.substring_index("path", "/", -1)))
-    lines = member_lines(archives)
+    lines = member_lines(archives, wanted)
     named = lines.select(
         clean_file_name(F.substring_index("member", "/", -1)).alias("file_name"),
         F.concat_ws("-", F.md5("path"), "ordinal").alias("member"),
@@ -164,3 +169,15 @@ def not_loaded(releases: DataFrame, files: DataFrame, as_of: datetime) -> DataFr
 def not_present(files: DataFrame, there: DataFrame) -> DataFrame:
     """Files whose name is not at the destination yet."""
     return files.join(there.select("name").distinct(), "name", "left_anti")
+
+
+def put_away(spark: SparkSession, path: str, folder: str) -> str:
+    """Move a consumed file into a folder of its file system; returns where it is now."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(folder, source.getName())
+    system = source.getFileSystem(conf)
+    system.mkdirs(target.getParent())
+    if system.exists(target) or not system.rename(source, target):
+        raise OSError(f"{path} could not be moved to {folder}")
+    return target.toString()

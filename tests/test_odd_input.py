@@ -168,3 +168,26 @@ def test_gold_outgrows_its_buckets(spark, tmp_path):
     assert sorted((r["k"], r["v"]) for r in gold.current().collect()) == [("1", "a"), ("2", "c"), ("3", "d")]
     with pytest.raises(ValueError):
         gold.expire(keep=0)
+
+
+def test_release_from_archive_to_gold(spark, tmp_path):
+    folder, away = tmp_path / "in", tmp_path / "away"
+    folder.mkdir()
+    header = ",".join(f'"{c.title()}"' for c in s.REGISTRY_COLUMNS)
+    for release, npi in (("X_Dissemination_070725_071325_Weekly_V2.zip", "1"), ("X_Dissemination_June_2025_V2.zip", "2")):
+        row = ",".join([npi, "1", *[""] * 328])
+        with zipfile.ZipFile(folder / release, "w") as z:
+            z.writestr("readme.pdf", bytes(range(256)))
+            z.writestr("npidata_pfile_20250707-20250713_fileheader.csv", header + "\n")
+            z.writestr("othername_pfile_20250707-20250713.csv", "a\n1\n")
+            z.writestr("npidata_pfile_20250707-20250713.csv", f"{header}\r\n{row}\r\n")
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), buckets=2)
+    rules = [Rule("r", s.REGISTRY.rule_group, 1, "GOLD_PROVIDER_NPI", expression="NPI <> '9'")]
+    seen = []
+    for _ in range(3):
+        done = jobs.release_job(lake, str(folder), s.REGISTRY, AT, jobs.registry_job, "npidata_pfile", str(away), rules=rules)
+        seen.append((done["status"], done.get("release", "")[:19]))
+    assert seen == [("completed", "X_Dissemination_070"), ("completed", "X_Dissemination_Jun"), ("no_new_release", "")]
+    assert sorted(r["NPI"] for r in lake.gold(s.PROVIDER_TABLES["PROVIDER_NPI"]).current().collect()) == ["1", "2"]
+    assert lake.run_log.read().count() == 2 and len(list(away.glob("*.zip"))) == 2
+    assert lake.lineage.read().where("CHILD_ID_TRANSACTION is not null").count() == 8
