@@ -1,5 +1,6 @@
 """The queries of this package and their SQL twins."""
 
+from carestrata.llm.alignment import op13_cross_tokenizer_alignment
 from carestrata.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from carestrata.llm.hosts import OP4_SQL, op4_url_filters
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_mixing_sources,
         op10_line_dedup,
+        op13_cross_tokenizer_alignment,
     )
 }
 ORACLE = {
