@@ -6,6 +6,7 @@ from carestrata.llm.hosts import OP4_SQL, op4_url_filters
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
 from carestrata.llm.passages import op1_substring_dedup
+from carestrata.llm.prefixes import OP12_SQL, op12_conversation_prefix_trie
 from carestrata.llm.quality import op5_quality_classifier
 from carestrata.llm.secrets import OP3_SQL, op3_secret_scans
 from carestrata.llm.simhash import op8_simhash_near_dedup
@@ -25,6 +26,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_mixing_sources,
         op10_line_dedup,
+        op12_conversation_prefix_trie,
         op13_cross_tokenizer_alignment,
     )
 }
@@ -34,4 +36,5 @@ ORACLE = {
     "op7_benchmark_decontamination": OP7_SQL,
     "op9_mixing_sources": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_conversation_prefix_trie": OP12_SQL,
 }
