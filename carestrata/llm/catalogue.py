@@ -5,6 +5,7 @@ from carestrata.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from carestrata.llm.hosts import OP4_SQL, op4_url_filters
 from carestrata.llm.line_dedup import OP10_SQL, op10_line_dedup
 from carestrata.llm.mixing import OP9_SQL, op9_mixing_sources
+from carestrata.llm.pages import op11_html_extraction
 from carestrata.llm.passages import op1_substring_dedup
 from carestrata.llm.prefixes import OP12_SQL, op12_conversation_prefix_trie
 from carestrata.llm.quality import op5_quality_classifier
@@ -26,6 +27,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_mixing_sources,
         op10_line_dedup,
+        op11_html_extraction,
         op12_conversation_prefix_trie,
         op13_cross_tokenizer_alignment,
     )
