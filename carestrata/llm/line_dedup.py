@@ -1,20 +1,26 @@
 """Line dedup: winnowing over line hashes, and deletion of runs of lines that stand earlier in the corpus.
 
-A window is the fewest lines from some line on that hold `min_words` words; its least line hash is its fingerprint.
-Any run of lines with that many words holds a whole window, so two places that share such a run share a fingerprint:
-none can be missed. Positions of fingerprints that occur twice are joined with the windows around them; windows of
-equal lines are matches, and overlapping matches extend each other both ways to the whole repeated run. Of each run,
-the place with the least (doc_id, position) stays and all later ones are deleted, within a document too.
+A run of lines is repeated if the same lines stand at an earlier place and hold `min_words` words or more; all lines of
+the longest such runs go, of which each line therefore stands earlier, next to the same neighbours.
+
+Windows are the fewest lines that hold `min_words` words, from some line on or up to some line. A window's least line
+hash is its fingerprint. Any repeated run holds a whole window, so its places share a fingerprint: none can be missed.
+Positions of fingerprints that occur twice are joined with the windows around them; windows of equal lines match.
+Matches extend each other both ways to the whole run: a run's windows from each line on reach its begin, its windows up
+to each line reach its end, and together they cover every line of it, a last line of one word too. Of equal places, the
+one with the least (doc_id, position) stays and all later ones are deleted, within a document too.
 
 The order of documents is (doc_id, hash of the text), null ids first. Lines are compared without outer spaces; blank
 lines count as one word. Rows with the same id and text are one document and are treated alike. A null text has one
-blank line and stays null. A document of fewer words than a window never loses a line. All work is on line rows and on
-windows, never on pairs of documents: a line that a third of the corpus shares costs one row for each place it stands.
+blank line and stays null. A document of fewer words than a window never loses a line; a text of any length is cut into
+lines, of which a window holds at most `min_words`. An empty table gives no rows. Other columns stay, whatever their
+names, but for `n_lines` and `n_deleted`, which are replaced. All work is on line rows and on windows, never on pairs of
+documents: a line that a third of the corpus shares costs one row for each place it stands.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from carestrata.llm.store import kept, table, text_or_empty
@@ -42,31 +48,39 @@ def windows_of(lines: DataFrame, min_words: int) -> DataFrame:
     """One row a window: its first and last line, the fingerprint's hash and position, and a 128-bit digest of its lines."""
     doc = Window.partitionBy("doc_id", "copy")
     once = lines.repartition("doc_id", "copy").dropDuplicates(["doc_id", "copy", "pos"])
-    placed = once.withColumn("before", F.sum("words").over(doc.orderBy("pos")) - F.col("words")).withColumn(
-        "total", F.sum("words").over(doc)
-    )
-    span = doc.orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
-    return (
-        placed.select(
-            "doc_id",
-            "copy",
-            "pos",
+    placed = once.withColumn("upto", F.sum("words").over(doc.orderBy("pos")))
+    placed = placed.withColumn("before", F.col("upto") - F.col("words")).withColumn("total", F.sum("words").over(doc))
+
+    def content(span: WindowSpec) -> Column:
+        return F.struct(
+            F.min("pos").over(span).alias("pos"),
             F.max("pos").over(span).alias("last"),
+            F.min("before").over(span).alias("before"),
             F.min(F.struct("h", "pos")).over(span).alias("mark"),
             F.collect_list("h").over(span).alias("hs"),
             F.collect_list("h2").over(span).alias("h2s"),
-            (F.col("before") + min_words <= F.col("total")).alias("whole"),
-        )
-        .where("whole")
-        .select(
-            "doc_id",
-            "copy",
-            "pos",
-            "last",
-            F.col("mark.h").alias("mark"),
-            F.col("mark.pos").alias("mark_pos"),
-            F.struct(F.xxhash64("hs").alias("a"), F.xxhash64("h2s").alias("b")).alias("digest"),
         )
+
+    onward = content(doc.orderBy("before").rangeBetween(Window.currentRow, min_words - 1))
+    upward = content(doc.orderBy("upto").rangeBetween(1 - min_words, Window.currentRow))
+    both = placed.select(
+        "doc_id",
+        "copy",
+        F.when(F.col("before") + min_words <= F.col("total"), onward).alias("onward"),
+        F.when(F.col("upto") >= min_words, upward).alias("upward"),
+        F.col("before").alias("here"),
+    )
+    # a window up to a line that needs all of its lines is also one from its first line on
+    further = F.when(F.col("here") - F.col("upward.before") >= min_words, F.col("upward"))
+    rows = both.select("doc_id", "copy", F.explode(F.filter(F.array("onward", further), lambda w: w.isNotNull())).alias("w"))
+    return rows.select(
+        "doc_id",
+        "copy",
+        "w.pos",
+        "w.last",
+        F.col("w.mark.h").alias("mark"),
+        F.col("w.mark.pos").alias("mark_pos"),
+        F.struct(F.xxhash64("w.hs").alias("a"), F.xxhash64("w.h2s").alias("b")).alias("digest"),
     )
 
 
@@ -82,9 +96,9 @@ def repeated_runs(windows: DataFrame) -> DataFrame:
     later = around.join(firsts, "digest").where(~at.eqNullSafe(F.col("earliest"))).select("doc_id", "copy", "pos", "last")
 
     doc = Window.partitionBy("doc_id", "copy")
-    reach = F.max("last").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.max("last").over(doc.orderBy("pos", "last").rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.col("pos") <= reach + 1, 0).otherwise(1)
-    numbered = later.withColumn("begins", begins).withColumn("run", F.sum("begins").over(doc.orderBy("pos")))
+    numbered = later.withColumn("begins", begins).withColumn("run", F.sum("begins").over(doc.orderBy("pos", "last")))
     runs = numbered.groupBy("doc_id", "copy", "run").agg(F.min("pos").alias("first"), F.max("last").alias("last"))
     return runs.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
@@ -120,20 +134,13 @@ WITH lines AS (
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents),
 counted AS (
-  SELECT doc_id, pos, line, trim(line) AS t, len(trim(line)) - len(replace(trim(line), ' ', '')) + 1 AS words FROM lines),
-placed AS (
-  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS before,
-         sum(words) OVER (PARTITION BY doc_id) AS total
-  FROM counted),
-spans AS (
-  SELECT doc_id, pos, max(pos) OVER span AS last, list(t) OVER span AS content, before + {MIN_WORDS} <= total AS whole
-  FROM placed
-  WINDOW span AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND {MIN_WORDS - 1} FOLLOWING)),
-firsts AS (SELECT content, min((doc_id, pos)) AS earliest FROM spans WHERE whole GROUP BY content),
-gone AS (
-  SELECT DISTINCT s.doc_id, unnest(range(s.pos, s.last + 1)) AS pos
-  FROM spans s JOIN firsts f ON s.content = f.content
-  WHERE s.whole AND (s.doc_id, s.pos) > f.earliest)
+  SELECT doc_id, pos, trim(line) AS t, len(trim(line)) - len(replace(trim(line), ' ', '')) + 1 AS words FROM lines),
+pairs AS (
+  SELECT b.doc_id, b.pos, b.words, a.doc_id AS earlier, b.pos - a.pos AS shift
+  FROM counted a JOIN counted b ON a.t = b.t AND (a.doc_id, a.pos) < (b.doc_id, b.pos)),
+runs AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, earlier, shift ORDER BY pos) AS run FROM pairs),
+weighed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, earlier, shift, run) AS total FROM runs),
+gone AS (SELECT DISTINCT doc_id, pos FROM weighed WHERE total >= {MIN_WORDS})
 SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text,
        CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.pos) AS INTEGER) AS n_deleted
 FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos
