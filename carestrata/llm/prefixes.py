@@ -176,8 +176,8 @@ def prefix_trie(conversations: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def op12_conversation_prefix_trie(spark, sf_dir: str) -> DataFrame:
-    turns = kept(rebuilt(turns_of(table(spark, sf_dir, "conversations"))), "rebuilt-turns")
-    return trie_of(turns).drop("k1", "k2")
+    turns = kept(turns_of(table(spark, sf_dir, "conversations")), "placed-turns")
+    return trie_of(kept(rebuilt(turns), "rebuilt-turns")).drop("k1", "k2")
 
 
 OP12_SQL = """
