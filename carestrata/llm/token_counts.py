@@ -2,17 +2,21 @@
 
 The vocabulary's pieces and scores come from a tokenizer file. An Aho-Corasick automaton lists all pieces that end at
 each character; dynamic programming keeps the best score and its number of pieces for every end. The rules are those of
-the unigram tokenizer: spaces become U+2581 with one put in front, and a word begins at each of these; a later piece
+the unigram tokenizer: spaces become U+2581, and one is put in front unless there is one; a later piece
 start wins only with a strictly greater score; a character that is no piece scores the least score less 10; with byte
 pieces in the vocabulary it counts as its UTF-8 bytes, without them a run of such characters is one unknown piece.
 
-A word's count doesn't depend on its neighbours, so a task remembers counts of short words it has met (at most
-`REMEMBERED`, then it starts anew). Line ends cut words as well where no piece holds one. Cases: a null or empty text
-has no pieces and score 0; a word of any length is worked on whole; repeated rows count alike.
+Texts are cut in front of a run of spaces, and at line ends, where no piece can go over the cut; where the vocabulary has
+such a piece, they aren't. A segment's count doesn't depend on its neighbours, so a task remembers counts of short ones
+it has met (at most `REMEMBERED`, then it starts anew). Cases: a null or empty text has no pieces and score 0; a segment
+of any length is worked on whole; repeated rows count alike; an empty table gives no rows; other columns stay, whatever
+their names, but for the two new ones, which are replaced. Scores of the given vocabulary are whole numbers, so that no
+tie depends on rounding.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -25,6 +29,7 @@ from carestrata.llm.store import table, text_or_empty
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, NEWLINE = "▁", "\n"
+SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 PENALTY, REMEMBERED, SHORT = 10.0, 400_000, 64
 
 
@@ -49,22 +54,22 @@ def read_vocabulary(path: str = VOCABULARY) -> Vocabulary:
     return Vocabulary(pieces, least - PENALTY, sum(map(model.is_byte, ids)) == 256)
 
 
-class Words(dict):
-    """Number of pieces of each word met; `scores` has their scores. `head` stands before every word."""
+class Segments(dict):
+    """Number of pieces of each segment met; `scores` has their scores."""
 
-    def __init__(self, counter: Counter, head: str) -> None:
-        self.counter, self.head, self.scores = counter, head, {}
+    def __init__(self, counter: Counter) -> None:
+        self.counter, self.scores = counter, {}
 
-    def __missing__(self, word: str) -> int:
-        count, self.scores[word] = self.counter.best(self.head + word)
-        self[word] = count
+    def __missing__(self, segment: str) -> int:
+        count, self.scores[segment] = self.counter.best(segment)
+        self[segment] = count
         return count
 
-    def total(self, words: list[str]) -> tuple[int, float]:
-        found = sum(map(self.__getitem__, words)), sum(map(self.scores.__getitem__, words))
-        if max(map(len, words), default=0) > SHORT:
-            for word in {w for w in words if len(w) > SHORT}:
-                del self[word], self.scores[word]
+    def total(self, segments: list[str]) -> tuple[int, float]:
+        found = sum(map(self.__getitem__, segments)), sum(map(self.scores.__getitem__, segments))
+        if max(map(len, segments), default=0) > SHORT:
+            for segment in {s for s in segments if len(s) > SHORT}:
+                del self[segment], self.scores[segment]
         if len(self) > REMEMBERED:
             self.clear()
             self.scores.clear()
@@ -77,11 +82,15 @@ class Counter:
     automaton: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
 
     def __post_init__(self) -> None:
+        pieces = [p for p, _ in self.vocabulary.pieces]
         for piece, score in self.vocabulary.pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.words, self.bare = Words(self, SPACE), Words(self, "")
-        self.by_line = self.vocabulary.bytes_too and not any(NEWLINE in p for p, _ in self.vocabulary.pieces)
+        self.segments = Segments(self)
+        # a run of unknown characters may go over any place
+        apart = self.vocabulary.bytes_too
+        self.by_line = apart and not any(NEWLINE in p for p in pieces)
+        self.by_space = (apart or SPACE in pieces) and not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
     def best(self, segment: str) -> tuple[int, float]:
         """Number of pieces and score of the best cut of one segment."""
@@ -111,17 +120,14 @@ class Counter:
     def text(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
-        lines = text.replace(SPACE, " ").split(NEWLINE) if self.by_line else [text.replace(SPACE, " ")]
+        text = text.replace(" ", SPACE)
+        text = text if text[0] == SPACE else SPACE + text
+        lines = text.split(NEWLINE) if self.by_line else [text]
         count, score = len(lines) - 1, self.vocabulary.unknown * (len(lines) - 1)
-        for i, line in enumerate(lines):
-            words = line.split(" ")
-            if i:
-                n, s = self.bare.total(words[:1])
-                count, score, words = count + n, score + s, words[1:]
-            elif len(words) > 1 and not words[0]:
-                words = words[1:]  # a space in front is the one that would be put there
-            n, s = self.words.total(words)
-            count, score = count + n, score + s
+        for line in lines:
+            if line:
+                n, s = self.segments.total(SEGMENT.findall(line) if self.by_space else [line])
+                count, score = count + n, score + s
         return count, score
 
 

@@ -9,7 +9,7 @@ from carestrata.llm import token_counts as m
 
 def reference(pieces, byte_fallback=False):
     t = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=byte_fallback))
-    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement=m.SPACE, prepend_scheme="always", split=True)
+    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement=m.SPACE, prepend_scheme="always", split=False)
     return t
 
 
@@ -21,7 +21,7 @@ def test_counts_with_many_ties(seed):
     theirs = reference(pieces)
     mine = m.Counter(m.Vocabulary(tuple(pieces[1:]), min(s for _, s in pieces) - m.PENALTY, False))
     for _ in range(40):
-        text = "".join(r.choice("abcd \n") for _ in range(r.randint(0, 14)))
+        text = "".join(r.choice("abcd  \n") for _ in range(r.randint(0, 14)))
         assert mine.text(text)[0] == len(theirs.encode(text, add_special_tokens=False).ids), text
 
 
@@ -49,6 +49,7 @@ def test_given_vocabulary(docs, prose):
     model = sentencepiece.SentencePieceProcessor(model_file=m.VOCABULARY)
     theirs = reference([(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())], True)
     texts = [" ".join(prose(i, 50)) for i in range(20)]
+    texts += ["def f():\n        return 1", "a" + " " * 16 + "b", " " * 40, "x\n\n    y\n  ", "  a   b    c     d "]
     texts += [None, "", " ", "\n", "\n a", "  two  spaces ", "漢字 \U0001f600\U0001f600 x▁y", "\ttab\r\n", "z" * 5000, texts[0]]
     found = m.token_counts(docs(list(enumerate(texts))), m.read_vocabulary())
     assert found.columns == [c for c in docs([]).columns if c != "score"] + ["n_tokens", "score"]
@@ -61,5 +62,11 @@ def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(m, "REMEMBERED", 3)
     counter = m.Counter(m.Vocabulary((("a", -1.0), ("▁", -1.0)), -20.0, False))
     assert counter.text("a aa aaa aaaa aaaaa")[0] == 20
-    assert not counter.words and not counter.words.scores
-    assert counter.text("a" * 100)[0] == 101 and not counter.words
+    assert not counter.segments and not counter.segments.scores
+    assert counter.text("a" * 100)[0] == 101 and not counter.segments
+
+
+@pytest.mark.skipif(not Path(m.VOCABULARY).exists(), reason="needs the vocabulary file")
+def test_pieces_of_several_spaces():
+    counter = m.counter_of(m.read_vocabulary())
+    assert counter.text("def f():\n        return 1")[0] == 9 and counter.text("a" + " " * 16 + "b")[0] == 3
