@@ -9,7 +9,8 @@ of searching everything.
 Spans are leftmost non-overlapping matches of a rule, in code points, end exclusive; matches shorter than the rule asks
 are dropped after matching. They're found by splitting a text at the matches and adding up lengths, so all is done by
 built-in functions. Null and empty texts have no span. Rows are independent of each other and keep their order of
-columns; repeated rows get the same spans, null ids are left as they are. An existing output column is replaced.
+columns; repeated rows get the same spans, null ids are left as they are. An existing output column is replaced. A text
+of any length, with any number of spans, is searched whole, in time in proportion. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ def postings(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(key, rules): the numbers of the rules whose trigram query a text fulfils, as bits."""
+    """(key, rules): the numbers of the rules whose trigram query a text fulfils."""
     asked = [
         (i, c, gram, len(clause))
         for i, r in enumerate(rules)
@@ -72,7 +73,7 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     ]
     clauses = index.sparkSession.createDataFrame(asked, "rule int, clause int, gram string, needed int")
     full = index.join(F.broadcast(clauses), "gram").groupBy("key", "rule", "clause").agg(F.count("*").alias("n"), F.first("needed").alias("needed"))
-    return full.where(F.col("n") == F.col("needed")).groupBy("key").agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("rules"))
+    return full.where(F.col("n") == F.col("needed")).groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
@@ -85,20 +86,37 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     )
     none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["before"])
+    found = F.filter(found, lambda x: x["match"].isNotNull())
+
+    def span(x: Column, at: Column) -> Column:
+        start = at + F.length(x["before"])
         end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        spans = F.when(F.length(x["value"]) >= rule.least, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    walked = F.aggregate(
-        F.filter(found, lambda x: x["match"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        add,
-        lambda state: state["spans"],
-    )
-    return F.when(F.rlike(text, F.lit(least_form(rule))), walked).otherwise(none)
+        kept = F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+        return F.when(F.length(x["value"]) >= rule.least, kept)
+
+    # an array of one array, so that the matches are found once
+    sizes = lambda xs: F.transform(xs, lambda x: F.length(x["before"]) + F.length(x["match"]))
+    spans = F.transform(F.array(found), lambda xs: F.zip_with(xs, sums_before(sizes(xs)), span))
+    return F.when(F.rlike(text, F.lit(least_form(rule))), F.filter(F.get(spans, 0), lambda s: s.isNotNull())).otherwise(none)
+
+
+def sums_before(values: Column, block: int = 256) -> Column:
+    """For each of an array's numbers the sum of those before it.
+
+    Appending copies an array, so sums are made in blocks of `block` numbers, and over the blocks' totals: a text of very
+    many spans takes time in proportion to their number.
+    """
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
+
+    def running(xs: Column) -> Column:
+        return F.aggregate(xs, empty, lambda s, x: F.struct((s["at"] + x).alias("at"), F.array_append(s["sums"], s["at"]).alias("sums")))
+
+    last = F.floor((F.size(values) - 1) / block).cast("int")
+    blocks = F.when(F.size(values) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * block + 1, block)))
+    parts = F.transform(F.array(F.transform(blocks, running)), lambda all: F.zip_with(
+        all, running(F.transform(all, lambda p: p["at"]))["sums"], lambda p, at: F.transform(p["sums"], lambda v: v + at)
+    ))
+    return F.coalesce(F.flatten(F.get(parts, 0)), F.array().cast("array<int>"))
 
 
 def least_form(rule: Rule) -> str:
@@ -127,7 +145,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     for i, rule in enumerate(rules):
         spans = spans_of(F.col("text"), rule, i)
         if trigram_query(rule.pattern) != ALWAYS:
-            spans = F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, spans)
+            spans = F.when(F.array_contains("rules", i), spans)
         parts.append(F.coalesce(spans, F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")))
     others = [F.col("row")[c].alias(c) for c in docs.columns if c != "found"]
     return rows.select(*others, F.sort_array(F.concat(*parts)).alias("found"))

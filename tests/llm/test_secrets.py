@@ -59,3 +59,15 @@ def test_queries_hold_for_every_match():
             if re.search(rule.pattern, text):
                 assert any(all(g in text.lower() for g in clause) for clause in trigram_query(rule.pattern))
     assert trigram_query(m.BASE[2].pattern) == ALWAYS
+
+
+def test_many_spans_in_one_text(docs):
+    text = "token=abcdef0123 " * 30_000 + "token=short9 " * 700
+    (row,) = m.scan(docs([(1, text)])).collect()
+    assert [tuple(x) for x in row.found] == spans(text) and len(row.found) == 30_700
+
+
+def test_more_rules_than_bits(docs):
+    rules = [m.Rule(f"kind{i}", f"key{i:02}[a-z]+", 0, 7) for i in range(70)]
+    (row,) = m.scan(docs([(1, "key00abc key63abc key69abcd key70abc")]), rules).collect()
+    assert [(x.kind, x.start) for x in row.found] == [("kind0", 0), ("kind63", 9), ("kind69", 18)]
