@@ -7,16 +7,21 @@ against them (a host that links to bad hosts is suspect), and a host is blocked
 Edges: a host links to the hosts that its pages' href and src attributes name, weighted by the number of such links,
 and a host and the domain directly above it are linked both ways with weight one if both have pages. A link to the own
 host is no edge. Seeds weigh as many pages as the rules decide, over all decided pages, so both scores share a unit.
-All hosts are scored in one join and one grouping a round, on edges summed beforehand, and each round is written to the
-shared folder. A host with a great share of the pages is one row of every such table.
+All hosts are scored in one join and one grouping a round, on edges summed beforehand. A round deals out no more than
+`DAMPING` of what the one before it did, so after `rounds_for(BOUND)` of them the changes of all scores together stay
+below `BOUND` on any graph, however long its paths; every few rounds are written to the shared folder. A host with a
+great share of the pages is one row of every such table.
 
 A URL is read as its rule says: host after the first "://" up to "/", "?", "#" or the end, A-Z lower-cased; path up to
 "?", "#" or the end. A null URL or one without "://" has neither, fits no rule and is allowed. A null html has no
-links. Repeated rows count as often as they occur. A host that no score reaches is allowed.
+links, and a very long one any number. Repeated rows count as often as they occur, null ids are kept. A host that no score reaches is
+allowed, and so is one whose scores are equal. An empty table gives no rows. Only page_id, url and html are read, so other
+columns may have any names.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -28,7 +33,16 @@ from carestrata.llm.store import kept, table
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
-DAMPING, ROUNDS, DIGITS = 0.85, 10, 9
+DAMPING, BOUND, DIGITS = 0.85, 1e-4, 9
+WRITE_EVERY = 8
+
+
+def rounds_for(bound: float, damping: float = DAMPING) -> int:
+    """Rounds after which less than `bound` of all score is still to be dealt out."""
+    return math.ceil(math.log(bound) / math.log(damping))
+
+
+ROUNDS = rounds_for(BOUND)
 
 
 @dataclass(frozen=True)
@@ -91,11 +105,13 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float) -> D
     """
     scores = seeds.select("kind", "host", F.col("seed").alias("score"))
     base = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
-    for _ in range(rounds):
+    for done in range(1, rounds + 1):
         came = edges.join(scores.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")
         )
-        scores = kept(base.union(came).groupBy("kind", "host").agg(F.sum("score").alias("score")), "host-scores")
+        scores = base.union(came).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        if done % WRITE_EVERY == 0 or done == rounds:
+            scores = kept(scores, "host-scores")
     return scores
 
 
@@ -147,17 +163,8 @@ def _case_sql(what: str) -> str:
 
 _A_TO_Z = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 _LINK_SQL = LINK.replace("'", "''")
-_ROUNDS_SQL = ",\n".join(
-    f"""s{i + 1} AS (
-  SELECT kind, host, sum(score) AS score FROM (
-    SELECT kind, host, seed * (1 - {DAMPING}) AS score FROM seeds
-    UNION ALL
-    SELECT kind, dst, score * share * {DAMPING} FROM shares JOIN s{i} ON shares.kind = s{i}.kind AND src = host)
-  GROUP BY ALL)""".replace("SELECT kind, dst,", f"SELECT s{i}.kind, dst,")
-    for i in range(ROUNDS)
-)
 OP4_SQL = f"""
-WITH parted AS (
+WITH RECURSIVE parted AS (
   SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '{URL}', 1), {_A_TO_Z}) AS host,
          regexp_extract(coalesce(url, ''), '{URL}', 2) AS path FROM pages),
 judged AS (SELECT *, {_case_sql("rule")} AS rule, {_case_sql("verdict")} AS said FROM parted),
@@ -177,12 +184,20 @@ edges AS (
   GROUP BY src, dst),
 ways AS (SELECT 'trust' AS kind, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
 shares AS (SELECT kind, src, dst, weight / sum(weight) OVER (PARTITION BY kind, src) AS share FROM ways),
-s0 AS (SELECT kind, host, seed AS score FROM seeds),
-{_ROUNDS_SQL},
+rounds AS (
+  SELECT 0 AS n, kind, host, seed AS score FROM seeds
+  UNION ALL
+  SELECT n, kind, host, sum(score) FROM (
+    SELECT r.n + 1 AS n, seeds.kind, seeds.host, seed * (1 - {DAMPING}) AS score
+    FROM seeds JOIN (SELECT DISTINCT n FROM rounds) r ON r.n < {ROUNDS}
+    UNION ALL
+    SELECT rounds.n + 1, rounds.kind, dst, score * share * {DAMPING}
+    FROM rounds JOIN shares ON shares.kind = rounds.kind AND src = host WHERE rounds.n < {ROUNDS})
+  GROUP BY ALL),
 scores AS (
   SELECT host, coalesce(sum(score) FILTER (WHERE kind = 'trust'), 0) AS trust,
          coalesce(sum(score) FILTER (WHERE kind = 'distrust'), 0) AS distrust
-  FROM s{ROUNDS} GROUP BY host)
+  FROM rounds WHERE n = {ROUNDS} GROUP BY host)
 SELECT page_id, j.host, path, rule,
        coalesce(said, CASE WHEN round(coalesce(distrust, 0) - 0.5 * (coalesce(trust, 0) + coalesce(distrust, 0)), {DIGITS}) > 0
                            THEN 'block' ELSE 'allow' END) AS verdict,

@@ -66,3 +66,20 @@ def test_scores_against_a_plain_loop(spark):
 
 def test_no_pages(spark):
     assert m.judge_urls(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_long_chains_ties_and_odd_pages(spark):
+    rows = [("http://bad.example.org/es/1", "")]
+    rows += [(f"http://h{i}.net/", f'<a href="http://h{i - 1}.net/">x</a>' if i else '<a href="http://bad.example.org/">x</a>') for i in range(40)]
+    rows += [("http://good.example.org/it/", '<a href="http://both.net/">x</a>'), ("http://both.net/", '<a href="http://bad.example.org/">y</a>' * 2)]
+    frame = spark.createDataFrame([(i, u, h, "x", 1) for i, (u, h) in enumerate(rows)] + [(None, "http://h3.net/", None, "x", 1), (1, *rows[1], "x", 1)], PAGES)
+    found = m.judge_urls(frame).collect()
+    assert len(found) == len(rows) + 2
+    assert all(r.verdict == "block" for r in found if r.host.startswith("h"))
+    assert m.ROUNDS == 57 and m.DAMPING**57 <= m.BOUND < m.DAMPING**56
+
+
+def test_equal_scores_are_allowed(spark):
+    rows = [("http://b.example.org/es/1", ""), ("http://g.example.org/it/1", '<a href="http://t.net/">x</a>'), ("http://t.net/", '<a href="http://b.example.org/">y</a>')]
+    r = judged(spark, rows)
+    assert r[2].trust == r[2].distrust > 0 and r[2].verdict == "allow"
