@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +36,38 @@ from carestrata.llm.store import kept, table
 
 FIRST, SECOND = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED, SHORT, BUCKET = 400_000, 64, 1 << 20
+REMEMBERED, SHORT, BUCKET, MANY = 300_000, 64, 1 << 20, 1 << 12
 CUT = re.compile(r"(?<=\S)(?= .)", re.S)
 #: Bytes that the byte-level alphabet shows as themselves; the others follow from 256 on, in order.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
 @dataclass(frozen=True)
-class Cut:
-    """Tokens of one text: ids, and (number of tokens, byte offset) of each place where spans end between characters."""
+class Tokens:
+    """Tokens of one text: ids, how many bytes each decodes to, and the places where spans end between characters, as
+    bytes, in order, with the number of tokens up to there."""
 
-    ids: list[int]
-    ends: dict[int, int]
+    ids: np.ndarray
+    sizes: np.ndarray
+    ends: np.ndarray
+    counts: np.ndarray
 
 
-class CharacterSpans:
+class Side:
+    """A tokenizer: `bytes` has what each id decodes to."""
+
+    bytes: list[bytes]
+    cuts_at_spaces: bool
+
+    def sized(self) -> None:
+        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
+        self.names = [str(i) for i in range(len(self.bytes))]
+
+    def spells(self, ids: np.ndarray, whole: bytes) -> bool:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == whole
+
+
+class CharacterSpans(Side):
     """A byte-level tokenizer of the `tokenizers` library, with character offsets."""
 
     def __init__(self, path: str) -> None:
@@ -66,19 +82,21 @@ class CharacterSpans:
         made = json.loads(self.tokenizer.to_str())
         how = made.get("pre_tokenizer") or {}
         self.cuts_at_spaces = how.get("type") == "ByteLevel" and how.get("use_regex", True) and not how.get("add_prefix_space") and not made.get("normalizer")
+        self.sized()
 
-    def cut(self, texts: list[str]) -> list[Cut]:
-        out = []
-        for text, found in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            offsets = found.offsets
-            at = range(len(text) + 1) if text.isascii() else [0, *accumulate(len(c.encode()) for c in text)]
-            # a character split over tokens is in the offsets of each, so that they overlap
-            ends = {at[e[1]]: i for i, (e, b) in enumerate(zip(offsets, [*offsets[1:], (len(text), 0)]), 1) if b[0] >= e[1]}
-            out.append(Cut(found.ids, ends))
-        return out
+    def tokens(self, text: str) -> Tokens:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        ids, offsets = np.array(found.ids, np.int64), np.array(found.offsets, np.int64).reshape(-1, 2)
+        # a character split over tokens is in the offsets of each, so that they overlap
+        clean = np.append(offsets[1:, 0] >= offsets[:-1, 1], True) if len(ids) else np.zeros(0, bool)
+        ends = offsets[clean, 1]
+        if not text.isascii():
+            points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            ends = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])[ends]
+        return Tokens(ids, self.sizes[ids], ends, np.flatnonzero(clean) + 1)
 
 
-class ByteSpans:
+class ByteSpans(Side):
     """A SentencePiece model, with the byte spans of its proto. It puts a space in front of each text by itself."""
 
     def __init__(self, path: str) -> None:
@@ -88,71 +106,89 @@ class ByteSpans:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.cuts_at_spaces = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        self.sized()
+
+    def tokens(self, text: str) -> Tokens:
+        pieces = self.model.encode(text[1:], return_type="proto").pieces
+        ids = np.array([p.id for p in pieces], np.int64)
+        # tokens for single bytes have empty spans, but for the last: the first end at a place is the real one
+        ends, place = np.unique(np.array([p.end for p in pieces], np.int64) + 1, return_index=True)
+        return Tokens(ids, self.sizes[ids], ends, place + 1)
 
-    def cut(self, texts: list[str]) -> list[Cut]:
-        out = []
-        for found in self.model.encode([t[1:] for t in texts], return_type="proto", num_threads=1):
-            pieces, ends = found.pieces, {}
-            ids = [p.id for p in pieces]
-            # tokens for single bytes have empty spans, but for the last: the first end at a place is the real one
-            for i, p in enumerate(pieces, 1):
-                ends.setdefault(p.end + 1, i)
-            out.append(Cut(ids, ends))
-        return out
-
-
-#: A group: its end in bytes, the first tokenizer's ids, the second one's.
-Group = tuple[int, list[int], list[int]]
-
-
-def groups(first: Cut, second: Cut, first_bytes: list[bytes], second_bytes: list[bytes], whole: bytes) -> list[Group] | None:
-    """Groups of one text; None if the tokens of either don't spell it."""
-    if b"".join(map(first_bytes.__getitem__, first.ids)) != whole or b"".join(map(second_bytes.__getitem__, second.ids)) != whole:
-        return None
-    out: list[Group] = []
-    begun = i = j = 0
-    coarse = sorted((end, n, second.ends[end]) for end, n in first.ends.items() if end in second.ends and end < len(whole))
-    for end, to_i, to_j in [*coarse, (len(whole), len(first.ids), len(second.ids))]:
-        ours, theirs = first.ids[i:to_i], second.ids[j:to_j]
-        if len(ours) == 1 or len(theirs) == 1:
-            out.append((end, ours, theirs))
-        else:
-            out += refined(begun, ours, theirs, first_bytes, second_bytes)
-        begun, i, j = end, to_i, to_j
-    return out
-
-
-def refined(begun: int, ours: list[int], theirs: list[int], first_bytes: list[bytes], second_bytes: list[bytes]) -> Iterator[Group]:
-    """Groups between two coarse cuts, by the lengths of the tokens' bytes."""
-    our_ends = list(accumulate(len(first_bytes[t]) for t in ours))
-    their_ends = {end: j for j, end in enumerate(accumulate(len(second_bytes[t]) for t in theirs), 1)}
-    i = j = 0
-    for n, end in enumerate(our_ends, 1):
-        if end in their_ends:
-            yield begun + end, ours[i:n], theirs[j : their_ends[end]]
-            i, j = n, their_ends[end]
-
-
-def links(found: list[Group]) -> dict[int, int]:
-    """How often each pair of ids is linked; the first id in the upper 32 bits."""
-    out: dict[int, int] = {}
-    for _, ours, theirs in found:
-        if len(ours) * len(theirs) == 1:
-            pair = ours[0] << 32 | theirs[0]
-            out[pair] = out.get(pair, 0) + 1
-        else:
-            tally = {b: theirs.count(b) for b in set(theirs)} if len(theirs) < 32 else counted(theirs)
-            for a, n in counted(ours).items():
-                for b, m in tally.items():
-                    out[a << 32 | b] = out.get(a << 32 | b, 0) + n * m
-    return out
-
-
-def counted(ids: list[int]) -> dict[int, int]:
-    out: dict[int, int] = {}
-    for x in ids:
-        out[x] = out.get(x, 0) + 1
-    return out
+
+@dataclass(frozen=True)
+class Groups:
+    """Groups of one text: their ends in bytes, the ids of both tokenizers, and where each group's ids begin in these."""
+
+    ends: np.ndarray
+    first: np.ndarray
+    first_at: np.ndarray
+    second: np.ndarray
+    second_at: np.ndarray
+
+    def lists(self) -> list[tuple[int, list[int], list[int]]]:
+        a, b = self.first.tolist(), self.second.tolist()
+        at = zip(self.ends.tolist(), self.first_at.tolist(), self.first_at[1:].tolist(), self.second_at.tolist(), self.second_at[1:].tolist())
+        return [(end, a[i:j], b[k:n]) for end, i, j, k, n in at]
+
+
+def grouped(a: Tokens, b: Tokens) -> Groups:
+    """Groups of two tokenizations that spell the same bytes."""
+    our_ends, their_ends = np.cumsum(a.sizes), np.cumsum(b.sizes)
+    coarse, i, j = np.intersect1d(a.ends, b.ends, assume_unique=True, return_indices=True)
+    i, j = a.counts[i], b.counts[j]
+    sure = (our_ends[i - 1] == coarse) & (their_ends[j - 1] == coarse)  # spans never overrule bytes
+    coarse, i, j = coarse[sure], i[sure], j[sure]
+    if not len(coarse) or coarse[-1] < our_ends[-1]:
+        coarse, i, j = np.append(coarse, our_ends[-1]), np.append(i, len(a.ids)), np.append(j, len(b.ids))
+    n, m = np.diff(i, prepend=0), np.diff(j, prepend=0)
+    open_still = (n > 1) & (m > 1)
+    # what several tokens of both cover may hold further cuts, which only their bytes show
+    fine = np.intersect1d(our_ends[np.repeat(open_still, n)], their_ends[np.repeat(open_still, m)], assume_unique=True)
+    ends = np.union1d(coarse, fine)
+    return Groups(ends, a.ids, heads(our_ends, ends), b.ids, heads(their_ends, ends))
+
+
+def heads(token_ends: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the tokens of each group begin, and where the last one's end."""
+    return np.append(0, np.searchsorted(token_ends, ends) + 1)
+
+
+def links(g: Groups) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked ids (the first one in the upper 32 bits), how often, and in which group; a pair may come several times."""
+    n, m = np.diff(g.first_at), np.diff(g.second_at)
+    many = n * m > MANY
+    group = np.repeat(np.arange(len(n)), n)
+    own = ~many[group]
+    ours, group = g.first[own], group[own]
+    each = m[group]
+    begin = np.cumsum(each) - each
+    place = np.repeat(g.second_at[group] - begin, each) + np.arange(each.sum())
+    pairs, times, groups = [np.repeat(ours, each) << 32 | g.second[place]], [np.ones(len(place), np.int64)], [np.repeat(group, each)]
+    for k in np.flatnonzero(many).tolist():  # a long stretch without a common cut: each pair of its distinct ids once
+        a, a_times = np.unique(g.first[g.first_at[k] : g.first_at[k + 1]], return_counts=True)
+        b, b_times = np.unique(g.second[g.second_at[k] : g.second_at[k + 1]], return_counts=True)
+        pairs.append((a[:, None] << 32 | b).ravel())
+        times.append((a_times[:, None] * b_times).ravel())
+        groups.append(np.full(len(a) * len(b), k))
+    return np.concatenate(pairs), np.concatenate(times), np.concatenate(groups)
+
+
+def written(g: Groups, first_names: list[str], second_names: list[str]) -> tuple[str, np.ndarray]:
+    """`a1,a2|b1;a3|b2;`, and where in it each group begins."""
+    n, m = np.diff(g.first_at), np.diff(g.second_at)
+    at = np.arange(n.sum() + m.sum())
+    group = np.repeat(np.arange(len(n)), n + m)
+    within = at - (g.first_at + g.second_at)[group]
+    ours = within < n[group]
+    marks = np.where(within == n[group] - 1, 1, np.where(within == (n + m)[group] - 1, 2, 0))
+    ids = np.empty(len(at), np.int64)
+    ids[ours], ids[~ours] = g.first, g.second
+    parts = [""] * (2 * len(at))
+    parts[1::2] = map(",|;".__getitem__, marks.tolist())
+    parts[0::2] = [first_names[i] if o else second_names[i] for i, o in zip(ids.tolist(), ours.tolist())]
+    sizes = np.cumsum(np.log10(np.maximum(ids, 1)).astype(np.int64) + 2)
+    return "".join(parts), np.append(0, sizes[g.first_at[1:] + g.second_at[1:] - 1])
 
 
 class Pool:
@@ -161,91 +197,128 @@ class Pool:
     def __init__(self) -> None:
         self.room, self.size = np.zeros(1024, np.int64), 0
 
-    def add(self, values: list[int]) -> None:
+    def add(self, values: np.ndarray) -> None:
         end = self.size + len(values)
         if end > len(self.room):
             self.room = np.concatenate([self.room[: self.size], np.zeros(end, np.int64)])
         self.room[self.size : end] = values
         self.size = end
 
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
 
 class Chunks(dict):
-    """Number of each chunk met; what is known of chunk i is at i in `sums` and `written`, its pairs from `begins[i]` on."""
+    """Number of each chunk met; what is known of chunk i is at i in `sums` and `texts`, its pairs from `begins[i]` on."""
 
     def __init__(self, first: CharacterSpans, second: ByteSpans) -> None:
         self.first, self.second = first, second
         self.cuts = first.cuts_at_spaces and second.cuts_at_spaces
-        self.keep(0)
-
-    def keep(self, n: int) -> None:
+        self.forget(np.zeros(0, np.int64))
+
+    def forget(self, but: np.ndarray) -> None:
+        """Forget all chunks but those of these numbers."""
+        keys, old = list(self), self.texts if but.size else []
+        sums, begins, pairs, times = (p.all() for p in (self.sums, self.begins, self.pairs, self.times)) if but.size else ([],) * 4
+        self.clear()
+        self.texts: list[str] = []
+        self.sums, self.begins, self.pairs, self.times, self.uses = Pool(), Pool(), Pool(), Pool(), Pool()
+        self.begins.add(np.zeros(1, np.int64))
+        if but.size:
+            for n, i in enumerate(but.tolist()):
+                self[keys[i]] = n
+                self.texts.append(old[i])
+            place, size = spread(begins, but)
+            self.sums.add(sums.reshape(-1, 4)[but].ravel())
+            self.begins.add(np.cumsum(size))
+            self.pairs.add(pairs[place])
+            self.times.add(times[place])
+            self.uses.add(np.zeros(len(but), np.int64))
+
+    def drop(self, n: int) -> None:
         """Forget all but the first n chunks."""
-        if not n:
-            self.clear()
-            self.order: list[str] = []
-            self.written: list[str] = []
-            self.sums, self.begins, self.pairs, self.times = Pool(), Pool(), Pool(), Pool()
-            self.begins.add([0])
-        for chunk in self.order[n:]:
-            del self[chunk]
-        del self.order[n:], self.written[n:]
-        self.sums.size, self.begins.size = 4 * n, n + 1
+        while len(self) > n:
+            self.popitem()
+        del self.texts[n:]
+        self.sums.size, self.begins.size, self.uses.size = 4 * n, n + 1, n
         self.pairs.size = self.times.size = int(self.begins.room[n])
 
     def parts(self, text: str) -> list[str]:
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def aligned(self, chunks: list[str]) -> Iterator[list[Group] | None]:
-        both = self.first, self.second
-        for chunk, a, b in zip(chunks, *(t.cut(chunks) for t in both)):
-            yield groups(a, b, self.first.bytes, self.second.bytes, chunk.encode())
+    def spelt(self, text: str) -> Groups | None:
+        """Groups of one text that begins with a space; None if the tokens of either don't spell it."""
+        whole = text.encode()
+        a, b = self.first.tokens(text), self.second.tokens(text)
+        return grouped(a, b) if self.first.spells(a.ids, whole) and self.second.spells(b.ids, whole) else None
 
     def learn(self, chunks: list[str]) -> None:
-        sums, begins, pairs, times, begun = [], [], [], [], self.pairs.size
-        for chunk, found in zip(chunks, self.aligned(chunks)):
-            self[chunk] = len(self.order)
-            self.order.append(chunk)
-            tally = links(found or [])
-            # tokens of either, groups, links; -1 if the bytes differ
-            if found is None:
-                sums += (-1, 0, 0, 0)
-                self.written.append("")
-            else:
-                sums += sum(len(g[1]) for g in found), sum(len(g[2]) for g in found), len(found), sum(tally.values())
-                self.written.append(";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for _, a, b in found]))
-            pairs += tally
-            times += tally.values()
-            begins.append(begun + len(pairs))
-        for pool, values in ((self.sums, sums), (self.begins, begins), (self.pairs, pairs), (self.times, times)):
-            pool.add(values)
+        """Chunks are run together and aligned as one text, as nothing joins over their bounds; if its bytes differ, by halves."""
+        if not chunks:
+            return
+        g = self.spelt("".join(chunks))
+        if g is None and len(chunks) > 1:
+            self.learn(chunks[: len(chunks) // 2])
+            self.learn(chunks[len(chunks) // 2 :])
+            return
+        self.update(zip(chunks, range(len(self), len(self) + len(chunks))))
+        self.uses.add(np.zeros(len(chunks), np.int64))
+        if g is None:
+            self.texts.append("")
+            self.sums.add(np.array([-1, 0, 0, 0]))
+            self.begins.add(self.begins.all()[-1:].copy())
+            return
+        size = np.array([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+        to = np.searchsorted(g.ends, np.cumsum(size)) + 1  # number of groups up to each chunk's end
+        text, at = written(g, self.first.names, self.second.names)
+        cut = np.append(0, at[to]).tolist()
+        self.texts += [text[i : j - 1] for i, j in zip(cut, cut[1:])]
+        pairs, times, group = links(g)
+        owner = np.searchsorted(to, group, "right")
+        order = np.lexsort((pairs, owner))
+        pairs, times, owner = pairs[order], times[order], owner[order]
+        fresh = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]) | (owner[1:] != owner[:-1])))
+        times, pairs, owner = np.add.reduceat(times, fresh), pairs[fresh], owner[fresh]
+        n_links = np.bincount(owner, weights=times, minlength=len(chunks)).astype(np.int64)
+        sums = [np.diff(x, prepend=0) for x in (g.first_at[to], g.second_at[to], to)]
+        self.sums.add(np.stack([*sums, n_links], axis=1).ravel())
+        self.begins.add(self.pairs.size + np.searchsorted(owner, np.arange(len(chunks)), "right"))
+        self.pairs.add(pairs)
+        self.times.add(times)
 
     def numbers(self, texts: list[str]) -> tuple[list[list[int]], int]:
         """Chunk numbers of each text, and how many chunks are worth keeping afterwards."""
         if len(self) > REMEMBERED:
-            self.keep(0)
+            often = np.flatnonzero(self.uses.all() > 2)
+            self.forget(often if len(often) <= REMEMBERED // 2 else often[:0])
         cut = [self.parts(t) if t else [] for t in texts]
         new = list(dict.fromkeys(c for parts in cut for c in parts if c not in self))
-        self.learn([c for c in new if len(c) <= SHORT])
-        short = len(self.order)
-        self.learn([c for c in new if len(c) > SHORT])
+        # one that ends in white space can't be followed by another
+        joint = [c for c in new if len(c) <= SHORT and self.cuts and not c[-1].isspace()]
+        for i in range(0, len(joint), 4096):
+            self.learn(joint[i : i + 4096])
+        short = len(self)
+        for c in new:
+            if c not in self:
+                self.learn([c])
         return [list(map(self.__getitem__, parts)) for parts in cut], short
 
 
+def spread(begins: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries of these runs, one run after the other, and the runs' sizes; run i is from begins[i] on."""
+    size = begins[which + 1] - begins[which]
+    return np.repeat(begins[which] - (np.cumsum(size) - size), size) + np.arange(size.sum()), size
+
+
 @lru_cache(maxsize=2)
 def chunks_of(first: str, second: str) -> Chunks:
     return Chunks(CharacterSpans(first), ByteSpans(second))
 
 
-def groups_of(text: str | None, chunks: Chunks) -> list[Group]:
-    """Groups of a whole text behind a space; none if the bytes differ."""
-    out: list[Group] = []
-    begun = 0
-    parts = chunks.parts(text) if text else []
-    for chunk, found in zip(parts, chunks.aligned(parts)):
-        if found is None:
-            return []
-        out += ((begun + end, a, b) for end, a, b in found)
-        begun += len(chunk.encode())
-    return out
+def groups_of(text: str | None, chunks: Chunks) -> list[tuple[int, list[int], list[int]]]:
+    """Groups of a whole text behind a space: end in bytes, ids of either; none if the bytes differ."""
+    found = chunks.spelt(" " + text) if text else None
+    return [] if found is None else found.lists()
 
 
 def alignments(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFrame:
@@ -295,23 +368,21 @@ def tallied(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Itera
             counts = np.array([len(x) for x in numbers])
             flat = np.fromiter((x for row in numbers for x in row), np.int64, counts.sum())
             owner = np.repeat(np.arange(len(texts)), counts)
-            sizes = chunks.sums.room[: chunks.sums.size].reshape(-1, 4)[flat]
+            chunks.uses.room[: chunks.uses.size] += np.bincount(flat, minlength=chunks.uses.size)
+            sizes = chunks.sums.all().reshape(-1, 4)[flat]
             bad = np.zeros(len(texts), bool)
             bad[owner[sizes[:, 0] < 0]] = True
             sums = np.zeros((len(texts), 4), np.int64)
             np.add.at(sums, owner, sizes)
             sums[bad] = 0
             digests = [
-                hashlib.sha256(";".join(map(chunks.written.__getitem__, x)).encode()).hexdigest() if x and not b else ""
+                hashlib.sha256(";".join(map(chunks.texts.__getitem__, x)).encode()).hexdigest() if x and not b else ""
                 for x, b in zip(numbers, bad.tolist())
             ]
             # pairs of all chunks of all good texts, with the row they belong to
-            begins = chunks.begins.room
             used = ~bad[owner]
-            flat, owner = flat[used], owner[used]
-            n = begins[flat + 1] - begins[flat]
-            source = np.repeat(begins[flat] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            pairs, times, rows = chunks.pairs.room[source], chunks.times.room[source], np.repeat(owner, n)
+            source, n = spread(chunks.begins.all(), flat[used])
+            pairs, times, rows = chunks.pairs.all()[source], chunks.times.all()[source], np.repeat(owner[used], n)
             order = np.lexsort((pairs, rows))
             pairs, times, rows = pairs[order], times[order], rows[order]
             fresh = np.ones(len(pairs), bool)
@@ -327,7 +398,7 @@ def tallied(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Itera
             )
             held.append(pairs)
             size += len(pairs)
-            chunks.keep(keep)
+            chunks.drop(keep)
             if size >= BUCKET:
                 yield closed()
                 bucket, size, held = bucket + 1, 0, []

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from carestrata.llm import alignment as m
@@ -75,7 +76,7 @@ def sample(prose):
     return rows + [(1, rows[1][1]), (None, "a null id"), (None, rows[160][1]), (309, "wide   gaps    and\n\n  lines " * 60)]
 
 
-def test_against_bytes_of_whole_texts(docs, prose, monkeypatch):
+def test_against_bytes_of_whole_texts(docs, prose):
     rows = sample(prose)
     frame = docs(rows)
     key = lambda x: (str(x["doc_id"]), x["n_a"], x["groups_sha256"])
@@ -84,32 +85,45 @@ def test_against_bytes_of_whole_texts(docs, prose, monkeypatch):
     assert m.link_counts(docs([])).count() == 0
 
 
-def test_small_buckets_and_a_short_memory(prose, monkeypatch):
-    monkeypatch.setattr(m, "BUCKET", 50)
-    monkeypatch.setattr(m, "REMEMBERED", 10)
-    monkeypatch.setattr(m, "SHORT", 6)
+def test_chunks_give_the_groups_of_whole_texts(prose, monkeypatch):
+    monkeypatch.setattr(m, "REMEMBERED", 100)
+    monkeypatch.setattr(m, "SHORT", 12)
+    chunks = m.Chunks(m.CharacterSpans(m.FIRST), m.ByteSpans(m.SECOND))
+    assert chunks.cuts
+    for _ in range(2):
+        for i, text in sample(prose):
+            numbers, keep = chunks.numbers([text or "", "of a text"])
+            chunks.uses.room[: chunks.uses.size] += 1 + (i or 0) % 3
+            found = m.groups_of(text, chunks)
+            bad = any(chunks.sums.room[4 * x] < 0 for x in numbers[0])
+            assert bad == (not found and bool(text))
+            assert bad or ";".join(chunks.texts[x] for x in numbers[0]) == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for _, a, b in found)
+            if not bad:
+                place, _ = m.spread(chunks.begins.all(), np.array(numbers[0], np.int64))
+                sums = chunks.sums.all().reshape(-1, 4)[numbers[0]].sum(axis=0) if numbers[0] else [0] * 4
+                assert list(sums[:3]) == [sum(len(g[1]) for g in found), sum(len(g[2]) for g in found), len(found)]
+                want = defaultdict(int)
+                for _, a, b in found:
+                    for x in a:
+                        for y in b:
+                            want[x << 32 | y] += 1
+                got = defaultdict(int)
+                for pair, n in zip(chunks.pairs.all()[place].tolist(), chunks.times.all()[place].tolist()):
+                    got[pair] += n
+                assert got == want and sums[3] == sum(want.values())
+            chunks.drop(keep)
+            assert len(chunks) == len(chunks.texts) == chunks.uses.size == keep
+
+
+def test_long_stretches_without_a_common_cut(monkeypatch):
     chunks = m.chunks_of(m.FIRST, m.SECOND)
-    chunks.keep(0)
-    for i, text in sample(prose):
-        numbers, keep = chunks.numbers([text or ""])
-        joined = ";".join(chunks.written[x] for x in numbers[0])
-        bad = any(chunks.sums.room[4 * x] < 0 for x in numbers[0])
-        found = m.groups_of(text, chunks)
-        assert bad == (not found and bool(text))
-        assert bad or joined == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for _, a, b in found)
-        chunks.keep(keep)
-    chunks.keep(0)
-
-
-def test_whole_texts_give_the_same_groups(prose):
-    chunks = m.chunks_of(m.FIRST, m.SECOND)
-    for _, text in sample(prose):
-        cut = m.groups_of(text, chunks)
-        chunks.cuts = False
-        try:
-            assert m.groups_of(text, chunks) == cut
-        finally:
-            chunks.cuts = True
+    g = chunks.spelt(" " + "zzé" * 40 + "漢字" * 10)
+    few = sorted(zip(*(x.tolist() for x in m.links(g))))
+    monkeypatch.setattr(m, "MANY", 1)
+    many = defaultdict(int)
+    for pair, n, group in few:
+        many[pair, group] += n
+    assert sorted((p, n, k) for (p, k), n in many.items()) == sorted(zip(*(x.tolist() for x in m.links(g))))
 
 
 def test_spans_are_returned(docs):
