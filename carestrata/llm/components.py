@@ -11,16 +11,20 @@ from carestrata.llm.store import kept
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for each node of `links` (a, b): nodes have one label just when links connect them.
 
-    Each round hangs every node below its least neighbour, shortens these paths, and replaces the ends of each link by
-    what they hang below; the links that are left join what is still apart. A node with very many links costs one
+    Each round hangs every node below the neighbour that a hash of the round puts first, shortens these paths, and
+    replaces the ends of each link by what they hang below; the links that are left join what is still apart. As the
+    order is another one each time, a share of the nodes goes in every round whatever their values and links: a chain of
+    any kind takes rounds as the logarithm of its length. A node with very many links costs one
     partly aggregated row a task, and every step is written to the shared folder, so a lost executor repeats one step.
     A link of a node to itself is no link; without links there are no rows.
     """
     links = between(links.select("a", "b"))
-    labels = None
+    labels, turn = None, 0
     while not links.isEmpty():
         ends = links.union(links.select("b", "a")).toDF("node", "other")
-        parents = kept(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("parent")), "cc-parents")
+        turn += 1
+        own, other = (F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("n")) for c in ("node", "other"))
+        parents = kept(ends.groupBy("node").agg(F.min(other).alias("first")).select("node", F.least(own, "first")["n"].alias("parent")), "cc-parents")
         parents = kept(shorter(parents), "cc-parents")
         labels = parents.toDF("node", "label") if labels is None else kept(moved(labels, "label", parents), "cc-labels")
         links = between(moved(moved(links, "a", parents), "b", parents))

@@ -112,23 +112,32 @@ def weights(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> np.ndarray:
-    """Weights from at most `p.sample` labelled rows of `docs`, the ones whose hashed ids are least."""
+    """Weights from at most `p.sample` labelled ids, the ones whose hashes are least.
+
+    An id with labels that differ isn't learnt from; of several texts with one id, the least is. So a fit is the same
+    each time.
+    """
     order = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .select("doc_id", F.col("quality").cast("double").alias("label"))
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("quality").cast("double").alias("label"), F.max("quality").cast("double").alias("other"))
+        .where("label = other")
+        .select("doc_id", "label")
         .orderBy(order)
         .limit(p.sample)
     )
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     turns = (
         rows.withColumn("epoch", F.explode(F.array(*[F.lit(i) for i in range(p.epochs)])))
         .repartition(p.shards, F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(p.shards)))
         .sortWithinPartitions("epoch", F.xxhash64("epoch", "doc_id"), F.xxhash64("text"))
         .select("label", "text")
     )
-    parts = turns.mapInArrow(trainer(p), "slot long, w double").groupBy("slot").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    parts = turns.mapInArrow(trainer(p), "slot long, w double").groupBy("slot").agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    # added in order: a sum of doubles in the order of arrival would differ from run to run
+    parts = parts.select("slot", F.aggregate("ws", F.lit(0.0), lambda a, x: a + x).alias("w"), F.size("ws").alias("n"))
     found = parts.toPandas()
     out = np.zeros((1 << p.bits) + 1)
     if len(found):

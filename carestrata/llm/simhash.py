@@ -152,22 +152,45 @@ def joining_links(tree_of: list[int], lookups: list[int], radius: int) -> Iterat
                 yield value, tree.values[n]
 
 
+GROUP = ["pair", "block", "sub", "part", "low", "high"]
+
+
+def bit_blocks(bits: list[int], n: int) -> list[int]:
+    """Masks of n blocks of about equal size of these bits, as signed longs."""
+    width = [len(bits) // n + (i < len(bits) % n) for i in range(n)]
+    masks = [sum(1 << b for b in bits[sum(width[:i]) : sum(width[: i + 1])]) for i in range(n)]
+    return [m - (m >> 63 << 64) for m in masks]
+
+
 def shards(prints: DataFrame, radius: int, shard_size: int) -> DataFrame:
-    """One row for each lookup group a fingerprint takes part in: (pair, block, low, high, looks_up, fp)."""
-    n = radius + 2
-    width = [64 // n + (i < 64 % n) for i in range(n)]
-    masks = [((1 << w) - 1) << sum(width[:i]) for i, w in enumerate(width)]
-    signed = [(a | b) - ((a | b) >> 63 << 64) for a, b in combinations(masks, 2)]
-    pairs = F.array(*[F.struct(F.lit(i).alias("pair"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(signed)])
+    """One row for each lookup group a fingerprint takes part in: GROUP, looks_up, fp.
+
+    Linked fingerprints agree in two of radius + 2 blocks of bits. Where more than `shard_size` agree in two, the other
+    bits are parted once more: links differ in at most `radius` of these, so they agree in one of radius + 1 blocks. What
+    is larger still is dealt into slices, each of which meets each other one.
+    """
+    masks = [a | b for a, b in combinations(bit_blocks(list(range(64)), radius + 2), 2)]
+    rest = [bit_blocks([b for b in range(64) if not m >> b & 1], radius + 1) for m in masks]
+    pairs = F.array(*[F.struct(F.lit(i).alias("pair"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(masks)])
     rows = prints.select("fp", F.explode(pairs).alias("shard")).select("fp", "shard.pair", "shard.block")
-    sizes = rows.groupBy("pair", "block").agg(F.count("*").alias("size")).where(F.col("size") > shard_size)
-    large = kept(sizes.select("pair", "block", F.ceil(F.col("size") / shard_size).cast("int").alias("slices")), "bk-large")
-    rows = rows.join(large, ["pair", "block"], "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    over = F.col("size") > shard_size
+    sizes = rows.groupBy("pair", "block").agg(F.count("*").alias("size")).where(over)
+    hot = kept(sizes.select("pair", "block", F.lit(True).alias("hot")), "bk-hot")
+    parts = F.transform(
+        F.get(F.array(*[F.array(*map(F.lit, ms)) for ms in rest]), F.col("pair")),
+        lambda m, i: F.struct(i.alias("sub"), F.col("fp").bitwiseAND(m).alias("part")),
+    )
+    whole = F.array(F.struct(F.lit(-1).alias("sub"), F.lit(0).cast("long").alias("part")))
+    rows = rows.join(hot, ["pair", "block"], "left").select("fp", "pair", "block", F.explode(F.when(F.col("hot"), parts).otherwise(whole)).alias("x"))
+    rows = rows.select("fp", "pair", "block", "x.sub", "x.part")
+    group = ["pair", "block", "sub", "part"]
+    sizes = rows.where("sub >= 0").groupBy(*group).agg(F.count("*").alias("size")).where(over)
+    large = kept(sizes.select(*group, F.ceil(F.col("size") / shard_size).cast("int").alias("slices")), "bk-large")
+    rows = rows.join(large, group, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     own = F.pmod(F.xxhash64(F.lit("slice"), "fp"), F.col("slices")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     return rows.select(
-        "pair",
-        "block",
+        *group,
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
         (F.col("own") > F.col("other")).alias("looks_up"),
@@ -202,7 +225,7 @@ def in_batches(pairs: Iterable[tuple[int, int]], size: int = 8192) -> Iterator[t
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int]]]:
     """Values to build the tree of and values to look up, for each group of at least two rows."""
-    names = ("pair", "block", "low", "high")
+    names = GROUP
     rest = None
     for batch in batches:
         part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*names, "looks_up", "fp")}
@@ -230,8 +253,7 @@ def cut_groups(part: dict, starts: np.ndarray, ends: np.ndarray) -> Iterator[tup
 
 def near_groups(prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
     """(fp, root) for each fingerprint of `prints` that has a link; connected ones share a root."""
-    group = ["pair", "block", "low", "high"]
-    dealt = shards(prints, radius, shard_size).repartition(*group).sortWithinPartitions(*group)
+    dealt = shards(prints, radius, shard_size).repartition(*GROUP).sortWithinPartitions(*GROUP)
     links = dealt.mapInArrow(shard_links(radius), "a long, b long")
     return components(links).toDF("fp", "root")
 

@@ -85,3 +85,31 @@ def test_ftrl_step_against_a_plain_loop():
             n[i] += g * g
     for i in range(size):
         assert abs(got.get(i, 0.0) - weight(i)) < 1e-9
+
+
+def test_clashing_labels_are_not_learnt(spark, docs, prose):
+    rows, labels = corpus(prose, 80)
+    clash = [(i, 1 - q, t) for i, q, t in labels[::3]]
+    ids = {i for i, _, _ in clash}
+    form = "doc_id long, quality int, toxic int"
+    a = m.fit(docs(rows), spark.createDataFrame(labels + clash + labels, form))
+    b = m.fit(docs(rows), spark.createDataFrame([x for x in labels if x[0] not in ids], form))
+    assert (a == b).all() and a.any()
+
+
+def test_sharded_fit_is_the_average_of_plain_fits(spark, docs, prose):
+    p = m.Ftrl(bits=8, epochs=1, shards=3)
+    rows, labels = corpus(prose, 40)
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    keys = docs(rows).selectExpr("doc_id", "pmod(hash(pmod(xxhash64('shard', doc_id), 3)), 3) AS shard", "xxhash64(0, doc_id) AS at", "text").collect()
+    label = {i: float(q) for i, q, _ in labels}
+    dealt = {}
+    for r in keys:
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            dealt.setdefault(r.shard, []).append((r.at, label[r.doc_id], r.text))
+    sums = np.zeros((1 << 8) + 1)
+    for part in dealt.values():
+        _, ys, texts = zip(*sorted(part))
+        (out,) = m.trainer(p)(iter([pa.RecordBatch.from_arrays([pa.array(ys), pa.array(texts)], ["label", "text"])]))
+        sums[out.column(0).to_numpy()] += out.column(1).to_numpy()
+    assert np.allclose(m.fit(docs(rows), frame, p), sums / len(dealt), atol=1e-9)

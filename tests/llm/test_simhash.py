@@ -107,3 +107,38 @@ def test_components(spark):
         for y in linked:
             assert (found[x] == found[y]) == (label[x] == label[y])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rounds_of_a_rising_chain(spark, monkeypatch):
+    from carestrata.llm import components as c
+
+    labels = []
+    monkeypatch.setattr(c, "kept", lambda df, label: labels.append(label) or m.kept(df, label))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    found = c.components(chain).collect()
+    assert len(found) == 201 and len({r.label for r in found}) == 1
+    assert labels.count("cc-links") - 1 <= 12
+
+
+@pytest.mark.parametrize("size", [2, 5, 64])
+def test_hot_shards_lose_no_link(spark, size):
+    r = random.Random(size)
+    high = r.getrandbits(40) << 24  # two blocks and more are the same in all
+    values = sorted({high | r.getrandbits(24) for _ in range(60)} | {high | 1 << i for i in range(24)} | {r.getrandbits(64) for _ in range(40)})
+    signed = [v - (v >> 63 << 64) for v in values]
+    found = {x.fp & (1 << 64) - 1: x.root for x in m.near_groups(spark.createDataFrame([(v,) for v in signed], "fp long"), 4, size).collect()}
+    root = {v: v for v in values}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    linked = set()
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= 4:
+                root[top(a)] = top(b)
+                linked |= {a, b}
+    assert set(found) == linked
+    assert all((found[a] == found[b]) == (top(a) == top(b)) for a in linked for b in linked)
