@@ -14,14 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write to the shared folder and read again.
 
     Cuts the lineage so that a lost executor costs nothing already done, keeps a costly input from being computed
-    twice, and gives the planner the true size, from which Spark alone decides whether a join may broadcast.
+    twice, and gives the planner the true size, from which Spark alone decides whether a join may broadcast. With
+    `release`, the driver collects its garbage: what the written plan shuffled is only deleted once its plan is.
     """
     path = f"{shared_dir(df.sparkSession)}/corpus/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
