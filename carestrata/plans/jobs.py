@@ -30,8 +30,8 @@ from carestrata.operators.validate import (
     require_passed,
 )
 from carestrata.plans import silver
-from carestrata.plans.gold import upsert
-from carestrata.plans.tables import DEFAULT_BUCKETS, BatchTable, GoldTable, LogTable, truncate_load
+from carestrata.plans.gold import staged_upsert
+from carestrata.plans.tables import DEFAULT_BUCKETS, BatchTable, GoldTable, LogTable, commit, truncate_load
 from carestrata.settings import (
     CODE_SET_COLUMNS,
     CODE_SET_TABLE,
@@ -196,48 +196,78 @@ def _build_silver(lake: Lake, names: Sequence[str], bronze: DataFrame, stamp: Ba
         raise
 
 
-def _layers(
-    lake: Lake, config: ProgramConfig, bronze: DataFrame, targets: Iterable[TargetTable], stamp: BatchStamp
-) -> dict[str, DataFrame]:
-    """What rules may name: the bronze table, each silver table's batch and each gold table (`GOLD_<name>`)."""
+def merge_checked(
+    lake: Lake,
+    config: ProgramConfig,
+    bronze: DataFrame,
+    targets: Sequence[TargetTable],
+    stamp: BatchStamp,
+    rules: Sequence[Rule],
+    also: Callable[[BatchStamp], None] | None,
+    **options,
+) -> dict[str, dict]:
+    """Write a new version of each gold table, check the rules on them, and only then make all of them current.
+
+    Rules may name the bronze table, each silver table's batch and each gold table as it will be (`GOLD_<name>`). A merge
+    or a stopping rule that fails leaves all gold tables as they were.
+    """
+
+    def merge(target: TargetTable) -> tuple:
+        return staged_upsert(lake.gold(target), lake.silver(target.name).read(stamp.batch_id), stamp, **options)
+
+    done = dict(zip([t.name for t in targets], _side_by_side(merge, targets), strict=True))
     tables = {config.bronze_table: bronze}
     for target in targets:
         tables[target.name] = lake.silver(target.name).read(stamp.batch_id)
-        tables[f"GOLD_{target.name}"] = lake.gold(target).current()
-    return tables
+        tables[f"GOLD_{target.name}"] = lake.gold(target).at(done[target.name][0])
+    apply_rules(lake, tables, rules, config, stamp)
+    if also:
+        also(stamp)
+    commit(lake.spark, f"{lake.root}/gold", {name: head for name, (head, _) in done.items()}, stamp.batch_id, stamp.as_of)
+    return {name: counts for name, (_, counts) in done.items()}
 
 
 def registry_job(
-    lake: Lake, path: str, config: ProgramConfig, at: datetime, rules: Sequence[Rule] = (), names: Sequence[str] = REGISTRY_COLUMNS
+    lake: Lake,
+    path: str,
+    config: ProgramConfig,
+    at: datetime,
+    rules: Sequence[Rule] = (),
+    names: Sequence[str] = REGISTRY_COLUMNS,
+    also: Callable[[BatchStamp], None] | None = None,
 ) -> dict:
-    """Provider registry file -> bronze -> five silver tables -> five gold tables -> rules."""
+    """Provider registry file -> bronze -> five silver tables -> five gold tables -> rules -> all current at once. `also` runs before that."""
     with audited_batch(lake, config, at) as stamp:
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
         if bronze is None:
+            if also:
+                also(stamp)
             return {"status": "no_data", "batch_id": stamp.batch_id}
         _build_silver(lake, list(PROVIDER_TABLES), bronze, stamp)
 
-        def merge(target: TargetTable) -> dict:
-            return upsert(lake.gold(target), lake.silver(target.name).read(stamp.batch_id), stamp)
-
-        gold = dict(zip(PROVIDER_TABLES, _side_by_side(merge, list(PROVIDER_TABLES.values())), strict=True))
-        apply_rules(lake, _layers(lake, config, bronze, PROVIDER_TABLES.values(), stamp), rules, config, stamp)
+        gold = merge_checked(lake, config, bronze, list(PROVIDER_TABLES.values()), stamp, rules, also)
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": gold}
 
 
 def code_set_job(
-    lake: Lake, path: str, config: ProgramConfig, at: datetime, rules: Sequence[Rule] = (), names: Sequence[str] = CODE_SET_COLUMNS
+    lake: Lake,
+    path: str,
+    config: ProgramConfig,
+    at: datetime,
+    rules: Sequence[Rule] = (),
+    names: Sequence[str] = CODE_SET_COLUMNS,
+    also: Callable[[BatchStamp], None] | None = None,
 ) -> dict:
     """Taxonomy code file -> bronze -> silver -> gold with pipe-separated fingerprints -> rules."""
     with audited_batch(lake, config, at) as stamp:
         bronze = _load_wide(lake, path, names, config.bronze_table, stamp)
         if bronze is None:
+            if also:
+                also(stamp)
             return {"status": "no_data", "batch_id": stamp.batch_id}
         _build_silver(lake, [CODE_SET_TABLE.name], bronze, stamp)
-        batch = lake.silver(CODE_SET_TABLE.name).read(stamp.batch_id)
-        counts = upsert(lake.gold(CODE_SET_TABLE), batch, stamp, sep="|", null_keys="drop")
-        apply_rules(lake, _layers(lake, config, bronze, [CODE_SET_TABLE], stamp), rules, config, stamp)
-        return {"status": "completed", "batch_id": stamp.batch_id, "gold": {CODE_SET_TABLE.name: counts}}
+        gold = merge_checked(lake, config, bronze, [CODE_SET_TABLE], stamp, rules, also, sep="|", null_keys="drop")
+        return {"status": "completed", "batch_id": stamp.batch_id, "gold": gold}
 
 
 def release_job(
@@ -253,10 +283,12 @@ def release_job(
     """The newest landed release archive that no batch has taken -> its data file -> `job` -> archive put away.
 
     `job` is `registry_job` or `code_set_job`; `stem` starts the data file's name. Releases are ranked by the period or
-    month in their names, and an archive counts as taken once a completed job has written its lineage.
+    month in their names, and an archive counts as taken if a completed batch has its lineage.
     """
     spark = lake.spark
-    taken = lake.lineage.read().where(F.col("SUBJECT_AREA") == config.subject).select(F.col("FILE_NAME").alias("name"))
+    whole = lake.audit.read().where(F.col("CODE_LOAD_STATUS") == "COMPLETED").select("PROGRAM_NAME", "SUBJECT_AREA", "ID_BATCH")
+    lineage = lake.lineage.read().where(F.col("SUBJECT_AREA") == config.subject).withColumn("ID_BATCH", F.col("ID_BATCH").cast("string"))
+    taken = lineage.join(whole, ["PROGRAM_NAME", "SUBJECT_AREA", "ID_BATCH"], "left_semi").select(F.col("FILE_NAME").alias("name"))
     fresh = not_present(file_inventory(spark, landing, "*.[zZ][iI][pP]"), taken)
     score = F.coalesce(weekly_score(F.col("name")), monthly_score(F.col("name")), F.lit(0).cast("bigint"))
     best = fresh.agg(F.max_by(F.struct("path", "name"), F.struct(score, "name")).alias("b")).first()["b"]
@@ -270,8 +302,7 @@ def release_job(
     name = F.element_at(F.split("path", "/file_name="), -1)
     files = file_inventory(spark, load, "*.txt").select(F.url_decode(F.substring_index(name, "/", 1)).alias("name"), "path")
     require_complete(files, config)
-    done = job(lake, files.first()["path"], config, at, **options)
-    record_lineage(lake, best["path"], config, BatchStamp(config.program, config.subject, done["batch_id"], at), any_name=True)
+    done = job(lake, files.first()["path"], config, at, also=lambda stamp: record_lineage(lake, best["path"], config, stamp, any_name=True), **options)
     if archive:
         done["archived"] = put_away(spark, best["path"], archive)
     return {**done, "release": best["name"]}

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,9 @@ from carestrata.settings import META_SCHEMA, TargetTable
 
 BATCH = "META_BATCH_ID"
 DEFAULT_BUCKETS = 512
-LOG_SCHEMA = "version bigint, path string, buckets int, batch_id bigint, published_at timestamp"
+LOG_SCHEMA = "table string, version bigint, path string, buckets int, batch_id bigint, published_at timestamp"
+MANIFEST_SCHEMA = "bucket int, path string, rows bigint"
+COMMITS, BUCKET = "_commits", "_bucket"
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -85,9 +87,7 @@ class BatchTable:
 
     def drop_batch(self, batch_id: int) -> bool:
         """Take a batch out again. Returns whether it was there."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        partition = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BATCH}={batch_id}")
-        return partition.getFileSystem(conf).delete(partition, True)
+        return delete(self.spark, f"{self.path}/{BATCH}={batch_id}")
 
     def exists(self) -> bool:
         try:
@@ -115,51 +115,90 @@ class LogTable:
 
 @dataclass(frozen=True)
 class Head:
+    """A version: its number, where its manifest is, and its number of buckets."""
+
     version: int
     path: str | None
     buckets: int
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder of any file system. Returns whether it was there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def commit(spark: SparkSession, root: str, heads: Mapping[str, Head], batch_id: int, at: datetime) -> None:
+    """Make versions of any number of gold tables current at once.
+
+    The lines are one file, which the writer renames into place when it is whole: readers see all or none of them.
+    """
+    rows = [(name, h.version, h.path, h.buckets, batch_id, at) for name, h in sorted(heads.items())]
+    if rows:
+        spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/{COMMITS}")
+
+
 class GoldTable:
     """Current state as published versions, bucketed and sorted by key.
 
-    A version is written to a folder of its own and becomes current when one line is added to the log, so readers
-    see either the old or the new state, a failed run leaves nothing to undo, and a repeated run overwrites only
-    its own unpublished folder. Buckets let the next merge join without exchanging or sorting gold.
+    A version is a manifest: for each bucket the folder that holds it, and its rows. A batch writes only the buckets that
+    its keys fall into, to a folder of the new version; the others are taken over by reference. The version becomes
+    current by its line in the commit log, alone or together with those of other tables, so readers see either the old
+    or the new state, a failed run leaves nothing to undo, and a repeated run overwrites only its own unpublished folder.
+    Buckets let the next merge join without exchanging gold.
     """
 
     def __init__(self, spark: SparkSession, root: str, target: TargetTable, buckets: int = DEFAULT_BUCKETS):
-        self.spark, self.target, self.buckets = spark, target, buckets
+        self.spark, self.root, self.target, self.buckets = spark, root, target, buckets
         self.path = f"{root}/{target.name}"
-        self._log = f"{self.path}/_published"
         self._prefix = f"gold_{hashlib.sha256(self.path.encode()).hexdigest()[:24]}_{target.name.lower()}"
         types = {f.name: f.dataType.simpleString() for f in META_SCHEMA}
         self.ddl = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in target.columns)
         self.schema = T.StructType.fromDDL(self.ddl)
 
     def log(self) -> DataFrame:
+        """Published versions of this table."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self._log)
+            lines = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/{COMMITS}")
         except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            lines = self.spark.createDataFrame([], LOG_SCHEMA)
+        return lines.where(F.col("table") == self.target.name)
 
     def head(self) -> Head:
         """The published version, read from the log once; version 0 before the first one."""
         row = self.log().orderBy(F.desc("version")).first()
         return Head(row["version"], row["path"], row["buckets"]) if row else Head(0, None, self.buckets)
 
-    def at(self, head: Head) -> DataFrame:
-        """Rows of a version. Version 0 is an empty relation, which the optimizer drops from joins."""
-        if head.path is None:
+    def manifest(self, head: Head) -> list[Row]:
+        """(bucket, path, rows) of a version's buckets that have rows: one small row a bucket."""
+        return self.spark.read.schema(MANIFEST_SCHEMA).json(head.path).orderBy("bucket").collect() if head.path else []
+
+    def bucket_of(self, buckets: int) -> Column:
+        """The bucket of a row; the same that Spark's own bucketing gives it."""
+        return F.pmod(F.hash(*self.target.keys), F.lit(buckets))
+
+    def touched(self, batch: DataFrame, head: Head) -> list[int]:
+        """Buckets that a batch's keys fall into; at most as many numbers as there are buckets."""
+        return sorted(r["b"] for r in batch.select(self.bucket_of(head.buckets).alias("b")).distinct().collect())
+
+    def at(self, head: Head, only: Collection[int] | None = None) -> DataFrame:
+        """Rows of a version, or of some of its buckets. No bucket is an empty relation, which the optimizer drops from joins."""
+        held = [r for r in self.manifest(head) if only is None or r["bucket"] in only]
+        if not held:
             typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
             return self.spark.range(1).where(F.lit(False)).select(*typed)
-        name, keys = f"{self._prefix}_v{head.version}", ", ".join(f"`{k}`" for k in self.target.keys)
-        location = head.path.replace("\\", "\\\\").replace("'", "\\'")
+        which = "" if only is None else "_" + hashlib.sha256(repr([r["bucket"] for r in held]).encode()).hexdigest()[:16]
+        name = f"{self._prefix}_v{head.version}{which}"
+        drop_if_exists(self.spark, name)
+        keys = ", ".join(f"`{k}`" for k in self.target.keys)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({self.ddl}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {head.buckets} BUCKETS LOCATION '{location}'"
+            f"CREATE TABLE {name} ({self.ddl}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {head.buckets} BUCKETS LOCATION '{_quoted(self.path)}/_none'"
         )
-        return self.spark.table(name)
+        for i in range(0, len(held), 1000):
+            parts = " ".join(f"PARTITION ({BUCKET} = {r['bucket']}) LOCATION '{_quoted(r['path'])}'" for r in held[i : i + 1000])
+            self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
+        return self.spark.table(name).select(*self.target.columns)
 
     def current(self) -> DataFrame:
         return self.at(self.head())
@@ -171,26 +210,51 @@ class GoldTable:
         return self.publish(rows, Head(base.version, base.path, buckets), batch_id, at)
 
     def expire(self, keep: int = 2) -> list[int]:
-        """Remove all versions but the last `keep`, of which the newest is the current one. Returns their numbers."""
+        """Remove all versions but the last `keep`, of which the newest is the current one. Returns their numbers.
+
+        A bucket's folder goes when no version that stays refers to it.
+        """
         if keep < 1:
             raise ValueError("the current version stays")
-        known = [(r["version"], r["path"]) for r in self.log().orderBy("version").collect()]
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        known = [Head(r["version"], r["path"], r["buckets"]) for r in self.log().orderBy("version").collect()]
+        used = {r["path"] for head in known[-keep:] for r in self.manifest(head)}
         gone = []
-        for version, path in known[:-keep]:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            drop_if_exists(self.spark, f"{self._prefix}_v{version}")
-            if folder.getFileSystem(conf).delete(folder, True):
-                gone.append(version)
+        for head in known[:-keep]:
+            if not _exists(self.spark, head.path):
+                continue
+            for path in {r["path"] for r in self.manifest(head)} - used:
+                delete(self.spark, path)
+            drop_if_exists(self.spark, f"{self._prefix}_v{head.version}")
+            delete(self.spark, head.path)  # last, so that a broken expiry is taken up again
+            gone.append(head.version)
         return gone
 
-    def publish(self, df: DataFrame, base: Head, batch_id: int, at: datetime) -> Head:
-        """Write the version after `base` and make it current."""
-        new = Head(base.version + 1, f"{self.path}/v={base.version + 1}", base.buckets)
-        name = f"{self._prefix}_v{new.version}"
+    def stage(self, df: DataFrame, base: Head, touched: Collection[int] | None = None) -> Head:
+        """Write the version after `base` without making it current: `df` has all rows of the `touched` buckets, or of all."""
+        new = Head(base.version + 1, f"{self.path}/_manifest/v={base.version + 1}", base.buckets)
+        folder, name = f"{self.path}/v={new.version}", f"{self._prefix}_staged{new.version}"
         drop_if_exists(self.spark, name)
-        writer = df.select(*self.target.columns).write.format("parquet").mode("overwrite").option("path", new.path)
+        delete(self.spark, folder)
+        rows = df.select(*self.target.columns, self.bucket_of(new.buckets).alias(BUCKET))
+        writer = rows.write.format("parquet").option("path", folder).partitionBy(BUCKET)
         writer.bucketBy(new.buckets, *self.target.keys).sortBy(*self.target.keys).saveAsTable(name)
-        entry = self.spark.createDataFrame([(new.version, new.path, new.buckets, batch_id, at)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(self._log)
+        written = self.spark.table(name).groupBy(BUCKET).agg(F.count("*").alias("n")).collect()
+        held = [] if touched is None else [tuple(r) for r in self.manifest(base) if r["bucket"] not in set(touched)]
+        held += [(r[BUCKET], f"{folder}/{BUCKET}={r[BUCKET]}", r["n"]) for r in written]
+        self.spark.createDataFrame(held, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(new.path)
+        return new
+
+    def publish(self, df: DataFrame, base: Head, batch_id: int, at: datetime, touched: Collection[int] | None = None) -> Head:
+        """Write the version after `base` and make it current."""
+        new = self.stage(df, base, touched)
+        commit(self.spark, self.root, {self.target.name: new}, batch_id, at)
         return new
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

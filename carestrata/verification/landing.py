@@ -26,10 +26,12 @@ from carestrata.operators.fileset import due_sets, matched_files, set_completene
 from carestrata.operators.lineage import lineage_rows
 from carestrata.operators.merge import BatchStamp
 from carestrata.operators.predicates import file_matches
+from carestrata.operators.rules import Rule
 from carestrata.plans.gold import upsert
+from carestrata.plans.jobs import Lake, RulesFailed, merge_checked
 from carestrata.plans.sqltext import run_sql
 from carestrata.plans.tables import BatchTable, GoldTable
-from carestrata.settings import Criterion, FileCriteria, TargetTable
+from carestrata.settings import Criterion, FileCriteria, ProgramConfig, TargetTable
 from carestrata.sources.columnar import parquet_into
 from carestrata.sources.delimited import csv_by_name, csv_inferred, csv_positional, csv_profile
 from carestrata.sources.files import first_member, list_members, member_lines, not_loaded, not_present
@@ -570,6 +572,65 @@ def gold_rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats_text(gold.current())
 
 
+_BATCH_SQL = """
+    r AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+                 CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice, o_orderpriority FROM orders),
+    g AS (SELECT * FROM r),
+    s AS (SELECT * REPLACE ('X' AS o_orderstatus) FROM r WHERE CAST(o_orderkey AS BIGINT) % 997 = 1)"""
+
+
+@verify(f"""WITH {_BATCH_SQL}, m AS ({_merge_sql(["o_orderkey"], list(_ORDER_TARGET.business))})
+            SELECT *, true AS only_hit_buckets, count(*) OVER () AS in_manifest FROM m""")
+def gold_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of a thousandth of the rows: it writes the buckets that it hits, all others are taken over by reference."""
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(
+        *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus")],
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"),
+        "o_orderpriority",
+    )
+    gold = GoldTable(spark, scratch(spark, "gold"), _ORDER_TARGET, 64)
+    small = rows.where(F.col("o_orderkey").cast("bigint") % 997 == 1).withColumn("o_orderstatus", F.lit("X"))
+    upsert(gold, rows, BatchStamp("ORDERS", "SALES", 1, datetime(2024, 1, 1)))
+    upsert(gold, small, BatchStamp("ORDERS", "SALES", 2, datetime(2024, 2, 1)))
+    head = gold.head()
+    held = gold.manifest(head)
+    written = {r["bucket"] for r in held if f"/v={head.version}/" in r["path"]}
+    told = {"only_hit_buckets": F.lit(written == set(gold.touched(small, head))), "in_manifest": F.lit(sum(r["rows"] for r in held)).cast("bigint")}
+    gold.expire(keep=1)
+    return _stats_text(gold.current()).withColumns(told)
+
+
+@verify("""
+    SELECT 'ORDERS' AS table_name, CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS v, CAST(CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 1 END AS BIGINT) AS META_BATCH_ID FROM orders
+    UNION ALL SELECT 'CUSTOMERS', CAST(c_custkey AS VARCHAR), c_mktsegment, 1 FROM customer
+""")
+def gold_batch_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches for two gold tables; the second one fails a stopping rule, so no row of it is in either table."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderstatus").alias("v"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("k"), F.col("c_mktsegment").alias("v"))
+    lake = Lake(spark, scratch(spark, "commit"), 4)
+    targets = [TargetTable("ORDERS", ("k",), ("v",)), TargetTable("CUSTOMERS", ("k",), ("v",))]
+    config = ProgramConfig("ORDERS", "SALES", FileCriteria(), rule_group="G", bronze_table="BRONZE")
+    rules = [Rule("segment", "G", 0, "GOLD_CUSTOMERS", "predicate", "v <> 'BROKEN'")]
+    batches = [
+        (orders.where("v <> 'P'"), customers),
+        (orders.withColumn("v", F.lit("BAD")), customers.withColumn("v", F.lit("BROKEN"))),
+        (orders.where("v = 'P'"), customers.limit(0)),
+    ]
+    for n, parts in enumerate(batches, 1):
+        stamp = BatchStamp("ORDERS", "SALES", n, datetime(2024, 1, n))
+        for target, rows in zip(targets, parts, strict=True):
+            lake.silver(target.name).replace(stamp.put_on(rows), n)
+        try:
+            merge_checked(lake, config, orders, targets, stamp, rules, None)
+        except RulesFailed:
+            if n != 2:
+                raise
+    found = [lake.gold(t).current().select(F.lit(t.name).alias("table_name"), "k", "v", "META_BATCH_ID") for t in targets]
+    return found[0].unionByName(found[1])
+
+
 @verify("""
     SELECT o_orderkey, year(o_orderdate) AS META_BATCH_ID, CASE WHEN year(o_orderdate) = 1998 THEN 'replaced' ELSE o_orderstatus END AS o_orderstatus
     FROM orders WHERE year(o_orderdate) <> 1998 OR o_orderstatus <> 'F'

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from carestrata.operators.history import track_history
 from carestrata.operators.merge import BatchStamp, fits_broadcast, merge_changed, merge_counts, reject_repeats
-from carestrata.plans.gold import upsert
-from carestrata.plans.tables import GoldTable
+from carestrata.plans.gold import staged_upsert, upsert
+from carestrata.plans.tables import GoldTable, Head, commit
 from carestrata.settings import TargetTable
 
 FIRST = BatchStamp("P", "S", 1, datetime(2024, 1, 1))
@@ -103,10 +103,40 @@ def test_gold_versions(spark, tmp_path):
     assert upsert(gold, second, SECOND) == {"inserted": 10, "updated": 10, "gold_total": 60}
     assert upsert(gold, second, BatchStamp("P", "S", 3, SECOND.as_of)) == {"inserted": 0, "updated": 0, "gold_total": 60}
     # one file per bucket, and earlier versions still readable
-    assert gold.head().version == 3 and len(list((tmp_path / "ITEMS" / "v=2").glob("*.parquet"))) == 3
+    assert gold.head().version == 3 and len(list((tmp_path / "ITEMS" / "v=2").rglob("*.parquet"))) == 3
     assert spark.read.parquet(str(tmp_path / "ITEMS" / "v=1")).count() == 50
 
 
+def test_small_batches_write_only_their_buckets(spark, tmp_path):
+    gold = GoldTable(spark, str(tmp_path), TARGET, buckets=40)
+    upsert(gold, spark.createDataFrame([(str(i), "a", None) for i in range(2000)], DDL), FIRST)
+    files = lambda v: {p.parent.name for p in (tmp_path / "ITEMS" / f"v={v}").rglob("*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "ITEMS" / "v=1").rglob("*.parquet")}
+    batch = spark.createDataFrame([("7", "b", None), ("1999", "a", None), ("new", "c", None)], DDL)
+    assert upsert(gold, batch, SECOND) == {"inserted": 1, "updated": 1, "gold_total": 2001}
+    hit = gold.touched(batch, gold.head())
+    assert 1 <= len(hit) <= 3 and files(2) == {f"_bucket={b}" for b in hit}
+    assert before == {p: p.stat().st_mtime_ns for p in before}
+    rows = gold.current()
+    assert rows.count() == 2001 and {r["k"]: r["a"] for r in rows.where("k in ('7', 'new', '8')").collect()} == {"7": "b", "8": "a", "new": "c"}
+    # the old version stays as it was; what the current one refers to is not expired
+    assert gold.at(Head(1, str(tmp_path / "ITEMS/_manifest/v=1"), 40)).where("k = '7'").first()["a"] == "a"
+    assert gold.expire(keep=1) == [1] and gold.current().count() == 2001
+    assert len(files(1)) == 40 - len(hit) and sum(r["rows"] for r in gold.manifest(gold.head())) == 2001
+    upsert(gold, batch.limit(0), BatchStamp("P", "S", 3, SECOND.as_of))
+    assert gold.current().count() == 2001 and files(3) == set()
+
+
+def test_commits_of_several_tables(spark, tmp_path):
+    one, two = (GoldTable(spark, str(tmp_path), TargetTable(n, ("k",), ("a", "b")), 2) for n in ("ONE", "TWO"))
+    rows = spark.createDataFrame([("x", "a", None)], DDL)
+    staged = {g.target.name: staged_upsert(g, rows, FIRST)[0] for g in (one, two)}
+    assert one.current().count() == 0 == two.head().version
+    commit(spark, str(tmp_path), staged, 1, FIRST.as_of)
+    assert one.current().count() == 1 == two.current().count() and two.head().version == 1
+    assert len(list((tmp_path / "_commits").glob("*.json"))) == 1
+
+
 def test_unpublished_version_is_ignored_and_replaced(spark, tmp_path):
     gold = GoldTable(spark, str(tmp_path), TARGET, buckets=2)
     upsert(gold, spark.createDataFrame([("x", "a", None)], DDL), FIRST)
