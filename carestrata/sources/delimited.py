@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -22,25 +23,57 @@ class HeaderMismatch(ValueError):
 
 
 def _reader(spark: SparkSession, multiline: bool):
-    """Quotes are escaped by doubling. A multi-line file is read by a single task, so ask `csv_profile` first.
-    Folders are read as they are: their names give no columns."""
+    """Quotes are escaped by doubling. Folders are read as they are: their names give no columns."""
     options = {"header": "true", "escape": '"', "multiLine": str(multiline).lower(), "recursiveFileLookup": "true"}
     return spark.read.options(**options)
 
 
+def _by_records(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> DataFrame:
+    """Columns of files with line breaks inside quotes: their records are found by many tasks, then parsed one by one."""
+    from carestrata.sources.records import csv_records
+
+    ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
+    records = csv_records(spark, path).where(~F.col("first"))
+    return records.select(F.from_csv("record", ddl, {"escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
+
+
+def csv_paths(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files below some paths; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("path")
+    return sorted(r["path"] for r in files.collect())
+
+
+def by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str], bool]]:
+    """(header, files, multiline) for each header that files below a path have; one pass over them if there are several."""
+    from carestrata.sources.records import decoded_path
+
+    profile = csv_profile(spark, path)
+    seen = profiled_headers(profile).join(profile.select("path", "multiline"), "path").collect()
+    groups: dict[tuple, list] = {}
+    for row in sorted(seen, key=lambda r: r["path"]):
+        group = groups.setdefault(tuple(row["actual"]), [[], False])
+        group[0].append(decoded_path(row["path"]))
+        group[1] = group[1] or row["multiline"]
+    return [(list(header), files, multiline) for header, (files, multiline) in groups.items()]
+
+
 def csv_strings(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
-    return _without_blank_lines(_reader(spark, multiline).csv(path), multiline)
+    """All columns as text. Files with different headers are each bound by their own names; a column that a file lacks is
+    NULL in its rows. A folder of several files takes a pass over them to read their headers."""
+    files = csv_paths(spark, path)
+    if len(files) > 1:
+        groups = by_header(spark, path)
+        if len(groups) > 1:
+            parts = [_strings(spark, own, wide) for _, own, wide in groups]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _strings(spark, path, multiline)
 
 
-def _without_blank_lines(rows: DataFrame, multiline: bool) -> DataFrame:
-    """The multi-line reader gives a line of white space as a row; the other one and the record count leave it out."""
-    if not multiline or not rows.columns:
-        return rows
-    first, *others = [F.col(f"`{c}`") for c in rows.columns]
-    blank = first.rlike(r"\A[\x00-\x20]+\z")
-    if others:
-        blank = blank & F.coalesce(*others).isNull()
-    return rows.where(~F.coalesce(blank, F.lit(False)))
+def _strings(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
+    rows = _reader(spark, multiline).csv(path)
+    # the multi-line reader leaves a carriage return at the header's end
+    names = [c.removesuffix("\r") for c in rows.columns]
+    return _by_records(spark, path, names) if multiline and names else rows
 
 
 def needs_multiline(spark: SparkSession, path: str) -> bool:
@@ -69,12 +102,16 @@ def csv_by_name(
 
 
 def csv_positional(spark: SparkSession, path: str, names: Sequence[str], multiline: bool = False) -> DataFrame:
-    """Bind columns by position. The file must be exactly as wide as the mapping."""
-    width = len(csv_strings(spark, path, multiline).columns)
+    """Bind columns by position. Each file must be exactly as wide as the mapping, and all must have one header."""
+    width = len(_reader(spark, multiline).csv(path).columns)
     if width != len(names):
         raise HeaderMismatch(f"{path} has {width} columns, the mapping {len(names)}")
+    if len(csv_paths(spark, path)) > 1 and len(headers := [h for h, _, _ in by_header(spark, path)]) > 1:
+        raise HeaderMismatch(f"{path} has files with different headers: {headers[:3]}")
+    if multiline:
+        return _by_records(spark, path, names)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return _without_blank_lines(_reader(spark, multiline).schema(schema).csv(path), multiline)
+    return _reader(spark, False).schema(schema).csv(path)
 
 
 REJECTED = "_REJECTED"
@@ -106,13 +143,20 @@ def csv_rejects(spark: SparkSession, path: str, multiline: bool | None = None) -
 
 
 def csv_to_parquet(spark: SparkSession, files: Sequence[str], target: str, multiline: bool = False) -> list[str]:
-    """Each file becomes `target/<stem>.parquet`, all columns text; one distributed job per file."""
-    written = []
-    for path in files:
-        stem = re.sub(r"(?i)\.csv$", "", path.rstrip("/").rsplit("/", 1)[-1])
+    """Each file becomes `target/<stem>.parquet`, all columns text; one distributed job per file.
+
+    Files of one name keep as many of their last folders as tell them apart: `a/x.csv` becomes `target/a/x.parquet`.
+    """
+    parts = [re.sub(r"(?i)\.csv$", "", path.rstrip("/")).split("/") for path in files]
+    if len(set(map(tuple, parts))) < len(parts):
+        raise ValueError(f"a file is named twice: {sorted(files)}")
+    depth = [1] * len(parts)
+    while len(set(stems := ["/".join(p[-d:]) for p, d in zip(parts, depth)])) < len(stems):
+        depth = [d + (stems.count(s) > 1) for d, s in zip(depth, stems)]
+    written = [f"{target}/{stem.lstrip('/')}.parquet" for stem in stems]
+    for path, out in zip(files, written):
         wide = multiline or needs_multiline(spark, path)
-        csv_strings(spark, path, wide).write.mode("overwrite").parquet(f"{target}/{stem}.parquet")
-        written.append(f"{target}/{stem}.parquet")
+        csv_strings(spark, path, wide).write.mode("overwrite").parquet(out)
     return written
 
 
@@ -186,7 +230,7 @@ def column_mapping(spark: SparkSession, path: str) -> list[tuple[str, str]]:
 # regular expressions, so every split of a file is summarised on its own and the summaries are then chained.
 
 
-def _quote_patterns(sep: str) -> tuple[str, str]:
+def quote_patterns(sep: str) -> tuple[str, str]:
     s = re.escape(sep)
     after = rf'(?:[^"{s}][^{s}]*)?'
     cell = rf'(?:"(?:[^"]|"")*"{after}|[^"{s}][^{s}]*|)'
@@ -195,7 +239,7 @@ def _quote_patterns(sep: str) -> tuple[str, str]:
     return closed, closing
 
 
-def _states(e0: np.ndarray, e1: np.ndarray, start: bool) -> np.ndarray:
+def states(e0: np.ndarray, e1: np.ndarray, start: bool) -> np.ndarray:
     """Inside-quotes flag after each line, from the flag before the first."""
     swaps = np.cumsum(e0 & ~e1)
     at = np.maximum.accumulate(np.where(e0 == e1, np.arange(len(e0)), -1))
@@ -204,14 +248,15 @@ def _states(e0: np.ndarray, e1: np.ndarray, start: bool) -> np.ndarray:
     return base ^ (since % 2 == 1)
 
 
-_BLANK = r"\A[\x00-\x20]*\z"  # what the split-by-split reader takes for no record
+BLANK = r"\A[\x00-\x20]*\z"  # what the split-by-split reader takes for no record
+_ENDS_SCHEMA = "path string, block bigint, end0 boolean, end1 boolean"
 _SPLIT_SCHEMA = (
     "path string, block bigint, lines bigint, end0 boolean, records0 bigint, end1 boolean, records1 bigint, header string"
 )
 
 
 def _summarise(sep: str):
-    closed, closing = _quote_patterns(sep)
+    closed, closing = quote_patterns(sep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list] = {}
@@ -219,7 +264,7 @@ def _summarise(sep: str):
             value = batch.column("value")
             e0 = ~pc.match_substring_regex(value, closed).to_numpy(zero_copy_only=False)
             e1 = ~pc.match_substring_regex(value, closing).to_numpy(zero_copy_only=False)
-            blank = pc.match_substring_regex(value, _BLANK).to_numpy(zero_copy_only=False)
+            blank = pc.match_substring_regex(value, BLANK).to_numpy(zero_copy_only=False)
             path, block = batch.column("path").to_numpy(zero_copy_only=False), batch.column("block").to_numpy()
             turn = np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1
             for lo, hi in zip([0, *turn], [*turn, len(block)], strict=True):
@@ -228,12 +273,12 @@ def _summarise(sep: str):
                 entry = seen.setdefault((path[lo], int(block[lo])), [0, False, 0, True, 0, None])
                 if not block[lo] and entry[5] is None and (~blank[lo:hi]).any():
                     top = lo + int(np.argmin(blank[lo:hi]))
-                    open_after = _states(e0[top:hi], e1[top:hi], False)
+                    open_after = states(e0[top:hi], e1[top:hi], False)
                     last = top + (int(np.argmin(open_after)) if not open_after.all() else len(open_after) - 1)
                     entry[5] = "\n".join(value[top : last + 1].to_pylist()).removeprefix("\ufeff")
                 entry[0] += int((~blank[lo:hi]).sum())
                 for k in (1, 3):
-                    after = _states(e0[lo:hi], e1[lo:hi], entry[k])
+                    after = states(e0[lo:hi], e1[lo:hi], entry[k])
                     before = np.concatenate(([entry[k]], after[:-1]))
                     entry[k + 1] += int((~after & ~(blank[lo:hi] & ~before)).sum())
                     entry[k] = bool(after[-1])
@@ -246,6 +291,30 @@ def _summarise(sep: str):
     return run
 
 
+def split_ends(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """`path, block, end0, end1` of each split of `lines` (value, path, block): whether it ends inside quotes, if it
+    begins outside and if it begins inside."""
+    closed, closing = quote_patterns(sep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list[bool]] = {}
+        for batch in batches:
+            value = batch.column("value")
+            e0 = ~pc.match_substring_regex(value, closed).to_numpy(zero_copy_only=False)
+            e1 = ~pc.match_substring_regex(value, closing).to_numpy(zero_copy_only=False)
+            path, block = batch.column("path").to_numpy(zero_copy_only=False), batch.column("block").to_numpy()
+            turn = np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1
+            for lo, hi in zip([0, *turn], [*turn, len(block)], strict=True):
+                if lo < hi:
+                    ends = seen.setdefault((path[lo], int(block[lo])), [False, True])
+                    ends[:] = [bool(states(e0[lo:hi], e1[lo:hi], end)[-1]) for end in ends]
+        columns = list(zip(*[(*k, *v) for k, v in seen.items()])) or [()] * 4
+        types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["path", "block", "end0", "end1"])
+
+    return lines.mapInArrow(run, _ENDS_SCHEMA)
+
+
 def csv_profile(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
     """`path, file_name, TABLE_NAME, actual_rows, lines, multiline, header` per CSV file.
 
