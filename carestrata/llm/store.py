@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,9 @@ def kept(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/corpus/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if release:
-        df.sparkSession.sparkContext._jvm.System.gc()
+        for _ in range(2):  # what the first one finds is let go of, and found again without its holder by the second
+            df.sparkSession.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
