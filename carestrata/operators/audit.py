@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,35 @@ def next_batch_id(audit: DataFrame, program: str, subject: str) -> int:
     return row["NEXT_ID_BATCH"] if row else 1
 
 
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there; of several that try at once, one gets True."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    try:
+        if system.getUri().getScheme() == "file":  # its create() looks first and writes later
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(place.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            system.create(place, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or system.exists(place):
+            return False
+        raise
+    return True
+
+
+def claim_batch_id(spark: SparkSession, folder: str, audit: DataFrame, program: str, subject: str) -> int:
+    """The next id of a program and subject that no other job has claimed, for this job alone.
+
+    A claim is a file of the id's name. An id whose job died before its first audit row stays claimed and is left out.
+    """
+    batch_id = next_batch_id(audit, program, subject)
+    while not create_once(spark, f"{folder}/{program}/{subject}/{batch_id}"):
+        batch_id += 1
+    return batch_id
+
+
 def audit_row(
     spark: SparkSession, batch_id: int, program: str, subject: str, status: str, at: datetime, by: str = "ETL"
 ) -> DataFrame:

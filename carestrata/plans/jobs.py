@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from carestrata.functions.cleanse import rating_category
 from carestrata.functions.filenames import clean_file_name
 from carestrata.functions.releases import monthly_score, weekly_score
-from carestrata.operators.audit import AUDIT_SCHEMA, audit_row, may_start, next_batch_id
+from carestrata.operators.audit import AUDIT_SCHEMA, audit_row, claim_batch_id, may_start
 from carestrata.operators.fileset import set_completeness
 from carestrata.operators.lineage import LINEAGE_COLUMNS, lineage_rows
 from carestrata.operators.merge import BatchStamp
@@ -56,6 +56,7 @@ from carestrata.sources.files import (
     archive_members,
     extract_archives,
     file_inventory,
+    finish_moves,
     first_member,
     not_present,
     put_away,
@@ -109,6 +110,10 @@ class Lake:
     def control(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/log/control", CONTROL_DDL)
 
+    @property
+    def moves(self) -> str:
+        return f"{self.root}/log/moves"
+
     @property
     def run_log(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/log/rules", RUN_LOG_DDL)
@@ -116,8 +121,10 @@ class Lake:
 
 @contextmanager
 def audited_batch(lake: Lake, config: ProgramConfig, at: datetime) -> Iterator[BatchStamp]:
-    """Opens a batch and closes it as COMPLETED or FAILED."""
-    batch_id = next_batch_id(lake.audit.read(), config.program, config.subject)
+    """Opens a batch under an id of its own and closes it as COMPLETED or FAILED. Moves that an earlier job left open are
+    finished first."""
+    finish_moves(lake.spark, lake.moves)
+    batch_id = claim_batch_id(lake.spark, f"{lake.root}/log/claims", lake.audit.read(), config.program, config.subject)
 
     def record(status: str) -> None:
         lake.audit.append(audit_row(lake.spark, batch_id, config.program, config.subject, status, at))
@@ -304,7 +311,7 @@ def release_job(
     require_complete(files, config)
     done = job(lake, files.first()["path"], config, at, also=lambda stamp: record_lineage(lake, best["path"], config, stamp, any_name=True), **options)
     if archive:
-        done["archived"] = put_away(spark, best["path"], archive)
+        done["archived"] = put_away(spark, best["path"], archive, lake.moves)
     return {**done, "release": best["name"]}
 
 
@@ -316,8 +323,12 @@ def program_job(
     registry: DataFrame | None = None,
     rules: Sequence[Rule] = (),
     at_least: bool = False,
+    archive: str | None = None,
 ) -> dict:
-    """Landed program files -> lineage -> extraction -> control counts and schemas -> one bronze table per file -> rules."""
+    """Landed program files -> lineage -> extraction -> control counts and schemas -> one bronze table per file -> rules.
+
+    With `archive`, the files of a completed batch are put away into a folder of that batch.
+    """
     spark = lake.spark
     landed = file_inventory(spark, landing).withColumn("clean_name", clean_file_name(F.col("name")))
     landed = landed.where(file_matches(config.criteria, F.col("name")))
@@ -365,7 +376,11 @@ def program_job(
                 lake.bronze(name[: -len(".csv")]).drop_batch(stamp.batch_id)
             raise
         apply_rules(lake, tables, rules, config, stamp)
-        return {"status": "completed", "batch_id": stamp.batch_id, "rows": filled}
+    done = {"status": "completed", "batch_id": stamp.batch_id, "rows": filled}
+    if archive:
+        paths = sorted(r["path"] for r in landed.select("path").collect())
+        done["archived"] = [put_away(spark, p, f"{archive}/batch={stamp.batch_id}", lake.moves) for p in paths]
+    return done
 
 
 def _load_sources(spark: SparkSession, landed: DataFrame, load: str) -> dict[str, list[str]]:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestrata.sources.archives import archive_directory, member_bytes
 from carestrata.sources.delimited import csv_by_name, csv_strings, csv_to_parquet
+from carestrata.sources.files import file_inventory
 from carestrata.verification.registry import scratch, table, verify
 
 
@@ -62,3 +67,26 @@ def csv_equal_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
         files.append(f"{path}/{status}/load.csv")
     parts = [spark.read.parquet(p).select(F.lit(p.split("/")[-2]).alias("folder"), "key") for p in csv_to_parquet(spark, files, out)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for doc_id, text in zip(rows["doc_id"], rows["text"]):
+            archive.writestr(f"{doc_id}{('.csv', '.psv', '', '.csv.gz')[doc_id % 4]}", text.encode())
+    return pd.DataFrame({"archive": rows["archive"][:1], "content": [buffer.getvalue()]})
+
+
+@verify("SELECT doc_id, md5(coalesce(text, '')) AS bytes_md5, true AS whole FROM documents")
+def archive_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in landed archives, as members of several endings or none: listed by directory, all bytes come back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("doc_id") / 50).alias("archive"))
+    path = scratch(spark, "archives")
+    packed = docs.groupBy("archive").applyInPandas(_pack, "archive long, content binary")
+    packed.select("archive", F.col("content").cast("string")).write.partitionBy("archive").text(path)
+    landed = sorted(r["path"] for r in file_inventory(spark, path).where("size > 0 and name like 'part-%'").collect())
+    rows = member_bytes(spark, archive_directory(spark, path, landed))
+    doc_id = F.regexp_extract("member", r"^(\d+)", 1).cast("bigint").alias("doc_id")
+    chunks = F.transform(F.sort_array(F.collect_list(F.struct("chunk", F.col("content").cast("string").alias("content")))), lambda c: c["content"])
+    last = F.bool_or(F.col("content").isNull() & F.col("problem").isNull()).alias("whole")
+    return rows.groupBy(doc_id).agg(F.md5(F.array_join(chunks, "").cast("binary")).alias("bytes_md5"), last)
