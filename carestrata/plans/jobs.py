@@ -293,9 +293,10 @@ def release_job(
     month in their names, and an archive counts as taken if a completed batch has its lineage.
     """
     spark = lake.spark
-    whole = lake.audit.read().where(F.col("CODE_LOAD_STATUS") == "COMPLETED").select("PROGRAM_NAME", "SUBJECT_AREA", "ID_BATCH")
+    mine = (F.col("PROGRAM_NAME") == config.program) & (F.col("CODE_LOAD_STATUS") == "COMPLETED")
+    whole = lake.audit.read().where(mine).select("SUBJECT_AREA", "ID_BATCH")
     lineage = lake.lineage.read().where(F.col("SUBJECT_AREA") == config.subject).withColumn("ID_BATCH", F.col("ID_BATCH").cast("string"))
-    taken = lineage.join(whole, ["PROGRAM_NAME", "SUBJECT_AREA", "ID_BATCH"], "left_semi").select(F.col("FILE_NAME").alias("name"))
+    taken = lineage.join(whole, ["SUBJECT_AREA", "ID_BATCH"], "left_semi").select(F.col("FILE_NAME").alias("name"))
     fresh = not_present(file_inventory(spark, landing, "*.[zZ][iI][pP]"), taken)
     score = F.coalesce(weekly_score(F.col("name")), monthly_score(F.col("name")), F.lit(0).cast("bigint"))
     best = fresh.agg(F.max_by(F.struct("path", "name"), F.struct(score, "name")).alias("b")).first()["b"]
