@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import time
+import uuid
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -53,31 +56,70 @@ def drop_if_exists(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
 
 
+class SchemaConflict(ValueError):
+    pass
+
+
 class BatchTable:
-    """Bronze or silver: append-only Parquet, one partition per batch."""
+    """Bronze or silver: append-only Parquet, one partition per batch.
+
+    Columns may come and go from batch to batch. Every write notes columns that are new in the table's schema log, and
+    reads take all columns ever noted, by name, so that no file needs to be opened to know them. A column keeps its type.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._schemas = f"{path}/_schemas"
 
     def replace(self, df: DataFrame, batch_id: int | None = None) -> None:
         """Write the batches found in `df`, replacing them if they were there: running a batch again leaves one copy.
 
-        With `batch_id`, that batch is replaced even if `df` has no row of it.
+        With `batch_id`, all rows are of that batch, which is replaced even if there is none. Then the batch's folder has
+        one file without rows at least, so that a table that has had no row yet can be read.
         """
-        if batch_id is not None and df.isEmpty():
-            # one file without rows, so that a table that has had no row yet can be read
-            none = df.drop(BATCH).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static")
-            none.parquet(f"{self.path}/{BATCH}={batch_id}")
+        self._note(df.schema)
+        if batch_id is not None:
+            writer = df.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.parquet(f"{self.path}/{BATCH}={batch_id}")
             return
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BATCH).parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
+        self._note(df.schema)
         df.write.mode("append").partitionBy(BATCH).parquet(self.path)
 
+    def schema(self) -> T.StructType | None:
+        """All columns of all batches in the order they came, without the batch; None for a table without a log."""
+        try:
+            lines = self.spark.read.text(self._schemas).collect()
+        except AnalysisException:
+            return None
+        noted = sorted((json.loads(r["value"]) for r in lines), key=lambda x: (x["at"], x["id"]))
+        fields: dict[str, T.StructField] = {}
+        for line in noted:
+            for f in T.StructType.fromJson(line["schema"]).fields:
+                fields.setdefault(f.name.lower(), f)
+        return T.StructType(list(fields.values()))
+
+    def _note(self, schema: T.StructType) -> None:
+        """Add the columns that are new to the log; fails on a column that comes with another type."""
+        known = {f.name.lower(): f for f in self.schema() or []}
+        own = [T.StructField(f.name, f.dataType) for f in schema if f.name != BATCH]
+        other = [f"{f.name}: {known[f.name.lower()].dataType.simpleString()}, now {f.dataType.simpleString()}" for f in own if f.name.lower() in known and known[f.name.lower()].dataType != f.dataType]
+        if other:
+            raise SchemaConflict(f"{self.path} has columns of other types: {', '.join(other)}")
+        if fresh := [f for f in own if f.name.lower() not in known]:
+            line = {"at": time.time_ns(), "id": uuid.uuid4().hex, "schema": T.StructType(fresh).jsonValue()}
+            self.spark.createDataFrame([(json.dumps(line),)], "value string").coalesce(1).write.mode("append").text(self._schemas)
+
     def read(self, batch_id: int | None = None) -> DataFrame:
         """All batches, or one of them; then only that batch's folder is listed."""
         reader = self.spark.read.option("basePath", self.path)
+        if schema := self.schema():
+            reader = reader.schema(schema.add(BATCH, T.LongType()))
+        else:
+            reader = reader.option("mergeSchema", "true")
         try:
             df = reader.parquet(self.path if batch_id is None else f"{self.path}/{BATCH}={batch_id}")
         except AnalysisException:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestrata.plans.tables import BatchTable
 from carestrata.sources.archives import archive_directory, member_bytes
 from carestrata.sources.delimited import csv_by_name, csv_strings, csv_to_parquet
 from carestrata.sources.files import file_inventory
@@ -90,3 +91,19 @@ def archive_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = F.transform(F.sort_array(F.collect_list(F.struct("chunk", F.col("content").cast("string").alias("content")))), lambda c: c["content"])
     last = F.bool_or(F.col("content").isNull() & F.col("problem").isNull()).alias("whole")
     return rows.groupBy(doc_id).agg(F.md5(F.array_join(chunks, "").cast("binary")).alias("bytes_md5"), last)
+
+
+@verify("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS text,
+           CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey AS VARCHAR) END AS more,
+           CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS BIGINT) AS META_BATCH_ID FROM orders
+""")
+def bronze_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: the second one brings a further column, the third one lacks two."""
+    orders = table(spark, sf_dir, "orders")
+    key, text, more = F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("text"), F.col("o_custkey").cast("string").alias("more")
+    bronze = BatchTable(spark, scratch(spark, "evolving"))
+    for n, (status, columns) in enumerate({"F": [key, text], "O": [more, key, text], "P": [key]}.items(), 1):
+        rows = orders.where(F.col("o_orderstatus") == status).select(*columns, F.lit(n).cast("bigint").alias("META_BATCH_ID"))
+        bronze.replace(rows, n)
+    return bronze.read().select("key", "text", "more", "META_BATCH_ID")

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from carestrata.operators import audit
+from carestrata.plans.tables import BatchTable, SchemaConflict
 from carestrata.sources import files
 
 AT = datetime(2024, 1, 1)
@@ -48,3 +49,19 @@ def test_a_file_that_is_nowhere_is_reported(spark, tmp_path):
     (tmp_path / "x.json").write_text(json.dumps({"source": str(tmp_path / "a"), "target": str(tmp_path / "b"), "size": 3}))
     with pytest.raises(OSError, match="neither"):
         files.finish_moves(spark, str(tmp_path))
+
+
+def test_columns_that_come_later(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"))
+    one = lambda n, **values: spark.createDataFrame([(*values.values(), n)], ", ".join(f"{k} string" for k in values) + ", META_BATCH_ID bigint")
+    table.replace(one(1, v="a"), 1)
+    table.replace(one(2, v="b", w="x"), 2)
+    table.replace(one(3, V="c"), 3)
+    rows = {r["META_BATCH_ID"]: (r["v"], r["w"]) for r in table.read().collect()}
+    assert rows == {1: ("a", None), 2: ("b", "x"), 3: ("c", None)}
+    assert table.read(1).columns == ["v", "w", "META_BATCH_ID"]
+    table.replace(one(2, v="b", w="x").limit(0), 2)
+    assert table.read(2).count() == 0 and table.read().count() == 2
+    with pytest.raises(SchemaConflict, match="w: string, now int"):
+        table.append(spark.createDataFrame([(1, 4)], "w int, META_BATCH_ID bigint"))
+    assert table.read().count() == 2
