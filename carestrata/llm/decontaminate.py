@@ -8,8 +8,9 @@ document only those hashes count that are no greater than the greatest sketch va
 enough for. Pairs that share a sketch value are candidates; their shingles are then compared as words, not as hashes.
 
 Words are runs of letters and digits in lower case. A text of one to four words is one shingle that equals only the
-same whole text. A text without words (null, empty, marks) has no shingle: such an item is in no document. Rows with
-the same id and text are one document, or one item. Null ids are ids like others. Extra columns are not read.
+same whole text. A text without words (null, empty, marks) has no shingle: such an item is in no document. A text of any
+length is searched whole. Rows with the same id and text are one document, or one item. Null ids are ids like others.
+Extra columns are not read, whatever their names. Without documents or without items there are no rows.
 All steps are joins and groupings on hashes; Spark broadcasts the sketches only if their written size is small enough.
 """
 

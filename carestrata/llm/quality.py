@@ -4,8 +4,10 @@ Training reads a bounded sample of labelled rows, dealt over a fixed number of s
 one task that updates its weights text by text; the shards' weights are averaged. Scoring is a sparse dot product of
 whole texts with the weights, which have at most 2**`bits` + 1 entries and so may be broadcast.
 
-Cases: a null or empty text has no features and gets the score of the bias; a null id or label is never trained on;
-repeated rows are scored alike; no training row gives weights of zero, so all scores are one half.
+Cases: a null or empty text has no features and gets the score of the bias; a null id or label is never trained on, nor
+an id with labels that differ; repeated rows are scored alike; a text of any length is scored whole; no training row gives
+weights of zero, so all scores are one half; an empty table gives no rows; other columns stay, whatever their names, but
+for `score` and `predicted`, which are replaced.
 """
 
 from __future__ import annotations

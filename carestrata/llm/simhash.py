@@ -6,13 +6,15 @@ most `radius` bits are linked. Equal texts share a fingerprint, and the search w
 Search. Cut 64 bits into radius + 2 blocks: two fingerprints within the radius agree in at least two whole blocks. So
 each fingerprint is sent once to the shard of every pair of blocks, and every link lies inside some shard. A shard's
 fingerprints become a BK-tree (children keyed by their Hamming distance to the parent), and each of its members is
-looked up following only edges within the radius. A shard of more than `shard_size` fingerprints is dealt into slices;
-the tree of each slice is then given to every other slice's lookups, so no task holds more than two slices. A shard
+looked up following only edges within the radius. A shard of more than `shard_size` fingerprints is parted once more:
+its other bits are cut into radius + 1 blocks, one of which agrees in every link. What is larger still is dealt into
+slices; the tree of each slice is then given to every other slice's lookups, so no task holds more than two slices. A shard
 emits the links that join its members, at most one a member, never all pairs: other links within it add no connection.
 
 Cases: a null or empty text, or one of white space, has fingerprint zero, which is linked like any other. Fewer words
-than a shingle make one shingle of all words. Repeated rows share everything. A null id never names a component; a
-component in which all ids are null has a null id.
+than a shingle make one shingle of all words. A text of any length counts whole. Repeated rows share everything. A null id
+never names a component; a component in which all ids are null has a null id. An empty table gives no rows. Only doc_id
+and text are read; the filter keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
