@@ -1,6 +1,12 @@
 """From raw documents to a training mix: each stage works on all rows that the one before it kept.
 
 Every stage takes (spark, docs, sf_dir); what it returns is written as Parquet and read again for the next.
+
+Cases, for all stages: a null text counts as an empty one and stays null where its document stays; a text of any length is
+worked on whole; null ids are documents like others; repeated rows are judged alike, and near-dedup leaves one of them;
+of equal documents the one of least id stays; an empty table, or a stage that keeps nothing, gives no rows; all stages but
+the last return the columns they got, further ones and whatever names they have included (`n_chars`, where there is one,
+follows the text). What the operators state for themselves holds too.
 """
 
 from __future__ import annotations
