@@ -31,6 +31,7 @@ from carestrata.operators.validate import (
 )
 from carestrata.plans import silver
 from carestrata.plans.gold import staged_upsert
+from carestrata.plans.history import StoredHistory
 from carestrata.plans.tables import DEFAULT_BUCKETS, BatchTable, GoldTable, LogTable, commit, truncate_load
 from carestrata.settings import (
     CODE_SET_COLUMNS,
@@ -98,6 +99,9 @@ class Lake:
     def gold(self, target: TargetTable) -> GoldTable:
         return GoldTable(self.spark, f"{self.root}/gold", target, self.buckets)
 
+    def history(self, target: TargetTable) -> StoredHistory:
+        return StoredHistory(self.spark, f"{self.root}/history", target, self.buckets)
+
     @property
     def audit(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/log/audit", AUDIT_SCHEMA)
@@ -277,6 +281,13 @@ def code_set_job(
         return {"status": "completed", "batch_id": stamp.batch_id, "gold": gold}
 
 
+def history_job(lake: Lake, source: DataFrame, target: TargetTable, config: ProgramConfig, day: str, at: datetime) -> dict:
+    """What a source tells of its day -> the stored history of a table. Batches may come late, and again."""
+    with audited_batch(lake, config, at) as stamp:
+        counts = lake.history(target).take(source, day, stamp)
+        return {"status": "completed" if counts["rows"] else "no_data", "batch_id": stamp.batch_id, "history": counts}
+
+
 def release_job(
     lake: Lake,
     landing: str,
