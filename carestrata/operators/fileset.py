@@ -13,7 +13,7 @@ from carestrata.operators.predicates import kind_matches
 from carestrata.settings import FileCriteria
 
 
-def _filtered(criteria: FileCriteria, name: Column) -> Column:
+def in_view(criteria: FileCriteria, name: Column) -> Column:
     """Extension (case-sensitive here) and exclusion decide which files are looked at at all."""
     tests = [F.lit(True)]
     if criteria.extension.patterns:
@@ -23,8 +23,8 @@ def _filtered(criteria: FileCriteria, name: Column) -> Column:
     return reduce(and_, tests)
 
 
-def _counted(criteria: FileCriteria, name: Column) -> dict[str, Column]:
-    seen = _filtered(criteria, name)
+def counted_criteria(criteria: FileCriteria, name: Column) -> dict[str, Column]:
+    seen = in_view(criteria, name)
     return {
         kind: seen & kind_matches(kind, name, c.patterns) if c.patterns else F.lit(False)
         for kind, c in criteria.counting().items()
@@ -39,8 +39,8 @@ def set_completeness(
     Every counting criterion must be met exactly, the extension count is a minimum. A file meeting two criteria
     counts twice. All counts come from one partially aggregated pass.
     """
-    counted = _counted(criteria, F.col(name))
-    seen = _filtered(criteria, F.col(name))
+    counted = counted_criteria(criteria, F.col(name))
+    seen = in_view(criteria, F.col(name))
     counts = files.groupBy(*by).agg(
         *[F.count_if(cond).alias(f"found_{kind}") for kind, cond in counted.items()],
         F.count_if(seen).alias("seen"),
@@ -71,7 +71,7 @@ def set_completeness(
 
 def matched_files(files: DataFrame, criteria: FileCriteria, name: str = "name") -> DataFrame:
     """Distinct files meeting at least one counting criterion."""
-    counted = list(_counted(criteria, F.col(name)).values())
+    counted = list(counted_criteria(criteria, F.col(name)).values())
     return files.where(reduce(or_, counted, F.lit(False))).select(name).distinct()
 
 

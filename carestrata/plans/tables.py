@@ -127,6 +127,19 @@ class BatchTable:
         df = df.withColumn(BATCH, F.col(BATCH).cast("bigint"))
         return df if batch_id is None else df.where(in_batch(batch_id))
 
+    def contents(self) -> dict[int, str]:
+        """Each batch with a digest of its files' names, which differ from write to write; folders are listed, no file read."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = {}
+        for folder in system.listStatus(place) if system.exists(place) else []:
+            name = folder.getPath().getName()
+            if name.startswith(f"{BATCH}=") and name.split("=", 1)[1].isdigit():
+                files = sorted(f.getPath().getName() for f in system.listStatus(folder.getPath()))
+                files = [f for f in files if not f.startswith(("_", "."))]
+                found[int(name.split("=", 1)[1])] = hashlib.sha256(json.dumps(files).encode()).hexdigest()[:32]
+        return found
+
     def drop_batch(self, batch_id: int) -> bool:
         """Take a batch out again. Returns whether it was there."""
         return delete(self.spark, f"{self.path}/{BATCH}={batch_id}")
