@@ -1,6 +1,7 @@
 """ZIP archives of any size: listed by their directories, members inflated side by side, all kept as bytes.
 
-A listing reads the end of each archive and nothing else. For the contents, archives are read split by split as raw bytes;
+A listing reads the end of each archive on the driver where it is larger than `WHOLE`, and the many small ones in tasks,
+a few at a time. For the contents, archives are read split by split as raw bytes;
 the bytes of each member go to one task in order, which inflates them as a stream. Archives are not held in one piece
 anywhere, so they may be larger than a binary value.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import codecs
 import io
+import re
 import struct
 import zipfile
 import zlib
@@ -19,8 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 20
+ROWS = 4096
+#: Archives up to this size are listed by tasks, which read all of them; of larger ones the driver reads the end alone.
+WHOLE = 4 << 20
 DIRECTORY = "path string, ordinal int, member string, size bigint, start bigint, end bigint, packed bigint, method int, crc bigint, flags int"
 CONTENT = "path string, ordinal int, member string, chunk int, content binary, problem string"
+#: Names with one of these are patterns to a file reader.
+GLOB = re.compile(r"[{}\[\]*?\\]")
 STORED, DEFLATED, ENCRYPTED, LOCAL = 0, 8, 1, b"PK\x03\x04"
 
 
@@ -59,9 +66,9 @@ class _Remote(io.RawIOBase):
         super().close()
 
 
-def directory(spark: SparkSession, path: str) -> list[tuple]:
+def _entries(path: str, file: io.IOBase) -> list[tuple]:
     """The rows of `DIRECTORY` of one archive; a member's bytes lie from `start` up to `end`, its own header included."""
-    with _Remote(spark, path) as remote, zipfile.ZipFile(remote) as archive:
+    with zipfile.ZipFile(file) as archive:
         infos, end = archive.infolist(), archive.start_dir
     starts = sorted(i.header_offset for i in infos) + [end]
     after = dict(zip(starts, starts[1:]))
@@ -71,12 +78,40 @@ def directory(spark: SparkSession, path: str) -> list[tuple]:
     ]
 
 
+def directory(spark: SparkSession, path: str) -> list[tuple]:
+    """The directory of one archive of any size, read by the driver."""
+    with _Remote(spark, path) as remote:
+        return _entries(path, remote)
+
+
+def _directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `DIRECTORY` from whole archives (path, content)."""
+    types = [pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.int32()]
+    names = [c.split()[0] for c in DIRECTORY.split(", ")]
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows = _entries(path, pa.BufferReader(content.as_buffer()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+
 def archive_directory(spark: SparkSession, folder: str, paths: list[str] | None = None) -> DataFrame:
-    """Directories of all ZIP archives below a folder, or of those named; no member is read."""
+    """Directories of all ZIP archives below a folder, or of those named; no member is inflated."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if paths is None:
-        reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.[zZ][iI][pP]")
-        paths = sorted(r["path"] for r in reader.load(folder).select("path").collect())
-    return spark.createDataFrame([row for path in paths for row in directory(spark, path)], DIRECTORY)
+        files = reader.option("pathGlobFilter", "*.[zZ][iI][pP]").load(folder)
+        paths = sorted(r["path"] for r in files.select("path").collect())
+    plain = [p for p in paths if not GLOB.search(p)]
+    files = reader.load(plain) if plain else reader.load(folder).where("false")
+    small = files.where(F.col("length") <= WHOLE)
+    in_tasks = {r["path"] for r in small.select("path").collect()} & set(plain)
+    rest = [row for path in paths if path not in in_tasks for row in directory(spark, path)]
+    found = spark.createDataFrame(rest, DIRECTORY)
+    if not in_tasks:
+        return found
+    if in_tasks != {r["path"] for r in files.select("path").collect()}:
+        named = spark.createDataFrame([(p,) for p in sorted(in_tasks)], "path string")
+        small = small.join(F.broadcast(named), "path", "left_semi")
+    return small.select("path", "content").mapInArrow(_directories, DIRECTORY).union(found)
 
 
 def _raw(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -120,8 +155,12 @@ def _pieces(members: DataFrame, spark: SparkSession) -> DataFrame:
     )
     based = raw.join(F.broadcast(bases), ["path", "block"]).select("path", "base", "value")
     chunks = based.mapInArrow(_joined, "path string, offset bigint, content binary")
-    names = {r["path"]: decoded_path(r["path"]) for r in bases.select("path").distinct().collect()}
-    as_given = spark.createDataFrame([(k, p) for k, v in names.items() for p in paths if v == p or v == decoded_path(p)], "path string, given string")
+    forms: dict[str, set[str]] = {}
+    for p in paths:
+        for form in (p, decoded_path(p)):
+            forms.setdefault(form, set()).add(p)
+    seen = sorted({r["path"] for r in bases.select("path").collect()})
+    as_given = spark.createDataFrame([(k, p) for k in seen for p in sorted(forms.get(decoded_path(k), ()))], "path string, given string")
     ranges = members.withColumnRenamed("path", "given").join(as_given, "given")
     length = F.octet_length("content")
     met = chunks.join(ranges, "path").where((F.col("start") < F.col("offset") + length) & (F.col("end") > F.col("offset")))
@@ -182,23 +221,33 @@ class _Member:
 def _inflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of `CONTENT`: the chunks of each member, and after them one without content that says whether it was whole."""
 
-    def row(key: tuple, n: int, content: bytes | None, problem: str | None) -> pa.RecordBatch:
-        types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*key, n, content, problem), types)], names)
-
     names = [c.split()[0] for c in CONTENT.split(", ")]
+    types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.string()]
+    held: list[tuple] = []
+    size = 0
+
+    def taken() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+        held.clear()
+        return batch
+
     key, member, n = None, None, 0
     for batch in batches:
         for path, ordinal, name, method, packed, crc, flags, _, content in zip(*(c.to_pylist() for c in batch.columns)):
             if key != (path, ordinal, name):
                 if member:
-                    yield row(key, n, None, member.verdict())
+                    held.append((*key, n, None, member.verdict()))
                 key, member, n = (path, ordinal, name), _Member(method, packed, crc, flags), 0
             for out in member.feed(content):
-                yield row(key, n, out, None)
-                n += 1
+                held.append((*key, n, out, None))
+                n, size = n + 1, size + len(out)
+                if size >= CHUNK or len(held) >= ROWS:
+                    yield taken()
+                    size = 0
     if member:
-        yield row(key, n, None, member.verdict())
+        held.append((*key, n, None, member.verdict()))
+    if held:
+        yield taken()
 
 
 def member_bytes(spark: SparkSession, members: DataFrame) -> DataFrame:

@@ -71,3 +71,22 @@ def test_extraction_keeps_other_members_as_bytes(spark, tmp_path):
     kept = spark.read.parquet(f"{out}.members").where("content IS NOT NULL").collect()
     assert {r["member"]: bytes(r["content"]) for r in kept} == {"B.psv": b"p\xff", "docs/C": b"c"}
     assert [r["value"] for r in spark.read.text(out).collect()] == ["k", "1"]
+
+
+def test_many_archives_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Small archives are no longer opened one by one on the driver; a large one still is, and so are odd names."""
+    for i in range(40):
+        packed(tmp_path / f"{i}.zip", [("A.csv", f"k\n{i}\n"), ("folder/", b"")])
+    packed(tmp_path / "large.zip", [("A.csv", os.urandom(9000))], zipfile.ZIP_STORED)
+    packed(tmp_path / "odd[1].zip", [("A.csv", "odd")])
+    monkeypatch.setattr(archives, "WHOLE", 8000)
+    by_driver, plain = [], archives.directory
+    monkeypatch.setattr(archives, "directory", lambda spark, path: by_driver.append(path.rsplit("/", 1)[-1]) or plain(spark, path))
+    listed = archives.archive_directory(spark, str(tmp_path))
+    assert sorted(by_driver) == ["large.zip", "odd[1].zip"]
+    paths = [r["path"] for r in listed.select("path").distinct().collect()]
+    assert len(paths) == 42 and listed.count() == 82
+    want = sorted(row for path in paths for row in plain(spark, path))
+    assert sorted(tuple(r) for r in listed.collect()) == want
+    some = sorted(paths)[:3]
+    assert sorted({r["path"] for r in archives.archive_directory(spark, str(tmp_path), some).collect()}) == some
