@@ -17,11 +17,13 @@ from carestrata.sources.files import file_inventory
 from carestrata.verification.registry import scratch, table, verify
 
 
-def _small_splits(spark: SparkSession, read, label: str) -> DataFrame:
-    """What `read` gives when files are cut every 64 kB, written, so that the session is as before afterwards."""
+def _small_splits(spark: SparkSession, folder: str, read, label: str) -> DataFrame:
+    """What `read` gives when files are cut into about 64 pieces, of 64 kB at least, written, so that the session is as before
+    afterwards."""
     key, path = "spark.sql.files.maxPartitionBytes", scratch(spark, label)
     before = spark.conf.get(key)
-    spark.conf.set(key, "64k")
+    size = file_inventory(spark, folder).agg(F.max("size").alias("n")).first()["n"] or 0
+    spark.conf.set(key, f"{max(64 << 10, size // 64)}b")
     try:
         read().write.parquet(path)
     finally:
@@ -39,7 +41,7 @@ def csv_parallel_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("key"), broken.alias("text"))
     path = scratch(spark, "one-file")
     rows.coalesce(1).write.options(header="true", escape='"').csv(path)
-    read = _small_splits(spark, lambda: csv_strings(spark, path, multiline=True).withColumn("task", F.spark_partition_id()), "parallel")
+    read = _small_splits(spark, path, lambda: csv_strings(spark, path, multiline=True).withColumn("task", F.spark_partition_id()), "parallel")
     tasks = read.agg(F.count_distinct("task").alias("n")).first()["n"]
     return read.select("key", "text", F.lit(tasks > 2).alias("many_tasks"))
 
