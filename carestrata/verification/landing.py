@@ -557,17 +557,23 @@ def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats_text(gold.current())
 
 
+def _buckets(rows: int) -> int:
+    """A bucket is one task's to sort, so there are more of them for more rows."""
+    return max(2, rows // 2_000_000)
+
+
 @verify(f"""WITH {_ORDERS_CTE}, m AS ({_merge_sql(["o_orderkey"], list(_ORDER_TARGET.business))})
             SELECT * REPLACE (CAST(o_orderkey AS VARCHAR) AS o_orderkey) FROM m""")
 def gold_rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `gold_publish`, with three times the buckets after the first batch and the old versions removed at the end."""
     first, second = _changed_orders(spark, sf_dir)
-    gold = GoldTable(spark, scratch(spark, "gold"), _ORDER_TARGET, 2)
+    buckets = _buckets(table(spark, sf_dir, "orders").count())
+    gold = GoldTable(spark, scratch(spark, "gold"), _ORDER_TARGET, buckets)
     for n, (batch, at) in enumerate(((first, datetime(2024, 1, 1)), (second, datetime(2024, 2, 1))), 1):
         rows = batch.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
         upsert(gold, rows, BatchStamp("ORDERS", "SALES", n, at))
         if n == 1:
-            gold.rebucket(6, n, at)
+            gold.rebucket(3 * buckets, n, at)
     gold.expire(keep=1)
     return _stats_text(gold.current())
 
