@@ -220,7 +220,10 @@ _ID_STEMS = ("ident", "kind", "state", "issuer")
 def unpivot_groups_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fifty groups of four columns per customer, back to one row per filled group."""
     slots = list(range(1, 51))
-    keyed = table(spark, sf_dir, "orders").withColumn("slot", 1 + F.col("o_orderkey") % 50)
+    orders = table(spark, sf_dir, "orders")
+    # by customer once, for both steps of the pivot; a task holds its customers' 200 columns
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), orders.count() // 500_000)
+    keyed = orders.withColumn("slot", 1 + F.col("o_orderkey") % 50).repartition(tasks, "o_custkey")
     wide = keyed.groupBy("o_custkey").pivot("slot", slots).agg(
         F.max("o_orderkey").cast("string").alias("ident"),
         F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("kind"),
