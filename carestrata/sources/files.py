@@ -14,7 +14,6 @@ from datetime import datetime
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,18 +42,21 @@ def file_inventory(spark: SparkSession, folder: str, glob: str | None = None) ->
     )
 
 
-def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One archive at a time, read where it lies in the batch."""
+    types = [pa.string(), pa.int32(), pa.string(), pa.int64()]
     for batch in batches:
         rows = []
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                 rows += [(path, i, m.filename, m.file_size) for i, m in enumerate(archive.infolist(), 1)]
-        yield pd.DataFrame(rows, columns=["path", "ordinal", "member", "size"])
+        columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate(types)]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "ordinal", "member", "size"])
 
 
 def list_members(archives: DataFrame) -> DataFrame:
     """Members of ZIP archives given as `path, content`."""
-    return archives.select("path", "content").mapInPandas(_list_members, MEMBER_SCHEMA)
+    return archives.select("path", "content").mapInArrow(_list_members, MEMBER_SCHEMA)
 
 
 def archive_members(spark: SparkSession, folder: str) -> DataFrame:
