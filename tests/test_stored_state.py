@@ -1,4 +1,6 @@
+from collections import Counter
 from datetime import datetime, timedelta
+from random import Random
 
 import pytest
 
@@ -6,6 +8,7 @@ from carestrata.operators.rules import Rule, run_rules
 from carestrata.plans.rule_state import RuleState
 from carestrata.plans.tables import BatchTable
 from carestrata.settings import Criterion, FileCriteria
+from carestrata.streaming import monitor
 from carestrata.streaming.monitor import watch_sets
 
 RULES = [
@@ -67,3 +70,29 @@ def test_sets_are_told_once_and_again_after_a_change(spark, tmp_path):
     assert wave(("x", "A3.csv", 2, 1), ("x", "B.csv", 3, 1)) == []
     assert wave(("x", "A3.csv", 4, -1), ("z", "A1.csv", 9, 1)) == [("None", "OVERDUE", 0), ("x", "COMPLETE", 2), ("y", "OVERDUE", 1)]
     assert wave(("y", "A2.csv", 9, 1)) == [("y", "COMPLETE", 2)]
+
+
+def test_shards_tell_what_single_sets_tell(spark, tmp_path, monkeypatch):
+    criteria = FileCriteria(prefix=Criterion(("A",), 2), extension=Criterion((".csv",), 2))
+    draw, ddl = Random(3), "s string, name string, at timestamp, change int"
+    waves = [
+        [(draw.choice([None, *"abcdefghijkl"]), draw.choice(["A1.csv", "A2.csv", "B.csv", "B", None]),
+          draw.choice([None, datetime(2024, 1, 1) + timedelta(days=6 * w + draw.randint(1, 6))]), draw.choice([1, 1, -1])) for _ in range(25)]
+        for w in range(4)
+    ]
+
+    def told(shards):
+        monkeypatch.setattr(monitor, "SHARDS", shards)
+        root, held = tmp_path / str(shards), 0
+        for rows in waves:
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(str(root / "in"))
+            alerts = watch_sets(spark.readStream.schema(ddl).parquet(str(root / "in")), criteria, "s", "name", "at", "5 days", change="change")
+            sink = alerts.writeStream.option("checkpointLocation", str(root / "c")).format("parquet").option("path", str(root / "out"))
+            run = sink.trigger(availableNow=True).start()
+            run.awaitTermination()
+            held = max([held, *(p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"])])
+        return held, Counter(map(tuple, spark.read.parquet(str(root / "out")).collect()))
+
+    (few, in_shards), (many, alone) = told(2), told(1 << 40)
+    assert few == 2 and many == 13
+    assert in_shards == alone and {r[1] for r in alone} == {"COMPLETE", "OVERDUE"}
