@@ -47,16 +47,17 @@ class StoredHistory:
         if not day < OPEN_END_DATE:
             raise ValueError(f"{day} is not before {OPEN_END_DATE}")
         keys, business = self.keys, self.business
-        rows = batch.select(*[F.col(c).cast("string").alias(c) for c in (*keys, *business)])
+        work = f"{self.root}/_work/{self.current.target.name}/batch={stamp.batch_id}"
+        rows = self._written(batch.select(*[F.col(c).cast("string").alias(c) for c in (*keys, *business)]), f"{work}/told")
         keyless = F.count_if(any_null(keys))
         seen = rows.agg(F.count(F.lit(1)).alias("rows"), keyless.alias("keyless")).first().asDict()
         rows = rows.where(~any_null(keys))
         base, past = self.current.head(), self.closed.head()
         touched = self.current.touched(rows, base)
         if not touched:
+            delete(self.spark, work)
             return {}, seen | {"late": 0, "closed": 0}
 
-        work = f"{self.root}/_work/{self.current.target.name}/batch={stamp.batch_id}"
         spread = rows.repartition(base.buckets, *keys)
         met = self._written(placed(self.current.at(base, touched), spread, keys, business, day), f"{work}/met")
         late = met.where("late")

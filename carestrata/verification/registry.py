@@ -38,3 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared directory for queries that write."""
     return f"{shared_dir(spark)}/verification/{label}-{uuid.uuid4().hex}"
+
+
+def buckets_for(rows: int, least: int, full: int) -> int:
+    """A bucket is one task's to sort and to write, so there are more of them for more rows: one for each `full` rows."""
+    return max(least, rows // full)

@@ -14,7 +14,7 @@ from carestrata.plans.rule_state import RuleState, rule_digest
 from carestrata.plans.tables import BatchTable
 from carestrata.settings import Criterion, FileCriteria, ProgramConfig, TargetTable
 from carestrata.streaming.monitor import ALERT_DDL, watch_sets
-from carestrata.verification.registry import scratch, table, verify
+from carestrata.verification.registry import buckets_for, scratch, table, verify
 
 _AT = datetime(2024, 1, 1)
 _DAYS = ("2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01")
@@ -39,7 +39,7 @@ def history_late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number = F.floor((F.col("l_linenumber") + 1) / 2)
     config = ProgramConfig("ORDERS", "HISTORY", FileCriteria(), "HISTORY")
-    lake = Lake(spark, scratch(spark, "history"), 8)
+    lake = Lake(spark, scratch(spark, "history"), buckets_for(lines.count(), 8, 1_000_000))
     for n in _ARRIVE:
         told = lines.where(number == n).groupBy("l_orderkey").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("status"))
         history_job(lake, told, _LAST_LINES, config, _DAYS[n - 1], _AT)

@@ -88,3 +88,17 @@ def test_only_hit_buckets_are_written(spark, tmp_path):
     head = history.current.head()
     assert sum(f"/v={head.version}/" in r["path"] for r in history.current.manifest(head)) == 1
     assert history.current.current().count() == 64 and history.closed.current().count() == 1
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            made.add(len(part))
+            yield part
+
+    rows = [(str(i), "a", "1") for i in range(20)] + [(None, "a", "1")]
+    batch = spark.createDataFrame(rows, "k string, a string, b string").mapInPandas(counted, "k string, a string, b string")
+    counts = StoredHistory(spark, str(tmp_path / "h"), TargetTable("T", ("k",), ("a", "b")), 3).take(batch, "2024-01-01", BatchStamp("P", "S", 1, datetime(2024, 1, 1)))
+    assert (counts["rows"], counts["keyless"], made.value) == (21, 1, 21)
