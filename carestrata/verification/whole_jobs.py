@@ -12,7 +12,7 @@ from carestrata.operators.rules import Rule
 from carestrata.operators.validate import ValidationFailed
 from carestrata.plans.jobs import Lake, NotReady, RulesFailed, claims_job, code_set_job, program_job
 from carestrata.settings import CODE_SET, CODE_SET_COLUMNS, CODE_SET_TABLE, Criterion, FileCriteria, ProgramConfig
-from carestrata.verification.registry import scratch, table, verify
+from carestrata.verification.registry import buckets_for, scratch, table, verify
 
 _AT = datetime(2024, 1, 1)
 
@@ -88,10 +88,11 @@ def code_set_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two releases of a code set through bronze, silver and gold; a release that breaks a stopping rule between them
     leaves gold as it was."""
     root = scratch(spark, "code-set")
-    lake = Lake(spark, f"{root}/lake", 4)
+    part = table(spark, sf_dir, "part")
+    lake = Lake(spark, f"{root}/lake", buckets_for(part.count(), 4, 100_000))
     name = F.col("p_name")
     values = [F.concat("p_name", F.lit(" "), "p_partkey"), F.col("p_brand"), F.col("p_type"), F.lit("s"), F.concat(name, F.lit("\n"), name), F.lit("n")]
-    rows = table(spark, sf_dir, "part").select(*values, F.when(F.col("p_size") > 25, name), F.lit("x"), "p_size").toDF(*CODE_SET_COLUMNS, "size")
+    rows = part.select(*values, F.when(F.col("p_size") > 25, name), F.lit("x"), "p_size").toDF(*CODE_SET_COLUMNS, "size")
     changed = rows.withColumn("SECTION", F.when(F.col("size") % 7 == 0, "changed").otherwise("x"))
     rules = [Rule("r", CODE_SET.rule_group, 0, "GOLD_NUCC_TAXONOMY", expression="SECTION <> 'broken'")]
     for n, release in enumerate((rows, rows.withColumn("SECTION", F.lit("broken")), changed), 1):

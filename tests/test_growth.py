@@ -1,11 +1,12 @@
 """What keeps a task's share bounded, or a row's cost low, as tables grow."""
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from carestrata.plans.tables import BatchTable
 from carestrata.sources import records
-from carestrata.verification import landing, silver, wide_files
+from carestrata.verification import landing, silver, stored_state, whole_jobs, wide_files
 
 
 def planned(frame):
@@ -67,3 +68,17 @@ def test_pivot_exchanges_once(spark, tmp_path):
     found = silver.unpivot_groups_wide(spark, str(tmp_path))
     assert planned(found).count("Exchange ") == 1
     assert found.count() == len({(k % 7, k % 50) for k in range(300)})
+
+
+def test_buckets_of_jobs_grow_with_rows(spark, tmp_path, monkeypatch):
+    class Made(Exception):
+        pass
+
+    def lake(spark, root, buckets):
+        raise Made(buckets)
+
+    for module, query, name, rows, buckets in ((whole_jobs, "code_set_pipeline", "part", 1_200_000, 12), (stored_state, "history_late_batch", "lineitem", 9_000_000, 9)):
+        monkeypatch.setattr(module, "Lake", lake)
+        spark.range(rows).withColumn("l_linenumber", F.col("id")).write.parquet(str(tmp_path / f"{name}.parquet"))
+        with pytest.raises(Made, match=f"^{buckets}$"):
+            getattr(module, query)(spark, str(tmp_path))
