@@ -3,6 +3,7 @@ import re
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,15 @@ def test_ranges_are_even(spark):
     values = sorted(r["p"] for r in df.collect())
     sizes = np.diff(np.searchsorted(values, ["", *cuts, "g"]))
     assert len(sizes) == 20 and sizes.max() / sizes.mean() < 1.5
+
+
+def test_fields_of_an_object_are_exchanged_as_one_row(spark):
+    batch = pa.RecordBatch.from_pydict({"o": ["a", "a", None, None, "b", "a"], "i": [2, 1, None, 3, 1, 0], "n": ["x", "y,\"", None, "z", "", "\n"]})
+    runs = [r for b in validate._in_runs(iter([batch, batch.slice(0, 0), batch.slice(4)])) for r in b.to_pylist()]
+    assert [(r["object_name"], r["ids"]) for r in runs] == [("a", [2, 1]), (None, [None, 3]), ("b", [1]), ("a", [0]), ("b", [1]), ("a", [0])]
+    rows = [(o, i, n) for o, i, n in zip(*batch.to_pydict().values())]
+    rows += [(f"o{i % 300}", i, f"f{i}") for i in range(3000)]
+    made = validate.ordered_fields(spark.createDataFrame(rows, "OBJECT_NAME string, ID_OBJECT int, FIELD_NAME string").coalesce(1))
+    found = {r["object_name"]: r["expected"] for r in made.collect()}
+    assert found.pop("a") == ["\n", "y,\"", "x"] and found.pop(None) == [None, "z"] and found.pop("b") == [""]
+    assert found == {f"o{i}": [f"f{j}" for j in range(i, 3000, 300)] for i in range(300)}
