@@ -11,9 +11,11 @@ so on, by element, role, class or id) never count as text, on a host with one pa
 part (`article`, `main`), blocks outside go, and blocks in it stay though other pages repeat them: copies of an article,
 or passages that many articles quote, are no boilerplate.
 
-Hosts are dealt into shards by a hash of the page, of at most about `SHARD_PAGES` pages and `SHARD_CHARS` characters, so
-that a host with a third of all pages is many tasks. Boilerplate is what stands on at least two pages and a `SHARE` of
-those of its shard, whatever the host's size.
+Boilerplate is what stands on at least two pages and a `SHARE` of those of its host. Hosts are dealt into shards by a hash
+of the page, of at most about `SHARD_PAGES` pages and `SHARD_CHARS` characters, so that a host with a third of all pages
+is many tasks, and the shards change nothing about the result: what stands on a share of the host's pages stands on that
+share of some shard's, so each shard's suffix array names such runs, all shards count the runs that any of them named, and
+the sums say which are boilerplate. Between shards a run is the 64-bit hash of its tokens.
 
 Cases: null or empty html has no blocks and gives an empty text; pages without a host are one host; a repeated page is a
 page of its own; a page of any length is one row and is never cut; an empty table gives no rows; other columns are kept,
@@ -23,7 +25,8 @@ whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 from html import unescape
 from typing import NamedTuple
 
@@ -33,9 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from carestrata.llm.arrays import SPACE, WORD, chunks, flat, grams, tokens
 from carestrata.llm.store import kept, table
 
 RUN, SHARE = 8, 0.02
+#: Words are what stands between spaces.
+BY_SPACE = np.where(np.arange(256) == 32, SPACE, WORD).astype(np.uint8)
 SHARD_PAGES, SHARD_CHARS = 256, 4 << 20
 
 #: Elements whose content is no text of a page.
@@ -183,27 +189,32 @@ def blocks_of(html: str | None) -> list[Block]:
     return Reader().read(html or "")
 
 
-def token_streams(pages: Sequence[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens of some pages in order, as numbers, with their page and block (counted over all pages).
+def hashed_tokens(pages: Sequence[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all tokens of some pages in order, with their page and block (counted over all pages).
 
-    A block's kind is a token before its words. A number of its own ends each page, so that nothing goes on over it.
+    A block's kind is a token before its words. A token of block -1 ends each page.
     """
-    numbers: dict[str, int] = {}
-    tokens: list[int] = []
-    page: list[int] = []
-    block: list[int] = []
-    n = 0
-    for i, blocks in enumerate(pages):
-        for b in blocks:
-            words = [f"<{b.kind}>", *b.text.split(" ")]
-            tokens += [numbers.setdefault(w, len(numbers)) for w in words]
-            page += [i] * len(words)
-            block += [n] * len(words)
-            n += 1
-        tokens.append(-1 - i)
-        page.append(i)
-        block.append(-1)
-    return np.array(tokens, np.int64), np.array(page, np.int64), np.array(block, np.int64)
+    every = [b for blocks in pages for b in blocks]
+    raw, at = flat(pa.array([b.text for b in every], pa.string()))
+    words, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, data, places in chunks(raw, at):
+        found = tokens(data, places, BY_SPACE)
+        words.append(found.hash)
+        sizes.append(np.diff(found.first))
+    word, size = np.concatenate(words), np.concatenate(sizes)
+    kinds = {k: int.from_bytes(blake2b(k.encode(), digest_size=8).digest()) for k in {b.kind for b in every}}
+    kind = np.array([kinds[b.kind] for b in every], np.uint64)
+    per_page = np.array([len(blocks) for blocks in pages], np.int64)
+    ends = np.concatenate([[0], np.cumsum(size + 1)])[np.cumsum(per_page)]
+    all_tokens = np.insert(np.insert(word, np.cumsum(size) - size, kind), ends, np.uint64(0))
+    block = np.insert(np.repeat(np.arange(len(every)), size + 1), ends, -1)
+    page = np.repeat(np.arange(len(pages)), np.diff(ends, prepend=0) + 1)
+    return all_tokens, page, block
+
+
+def numbered(hashed: np.ndarray, page: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Tokens as numbers. A number of its own ends each page, so that nothing goes on over it."""
+    return np.where(block < 0, -1 - page, ranks(hashed))
 
 
 def ranks(values: np.ndarray) -> np.ndarray:
@@ -223,27 +234,72 @@ def suffix_order(tokens: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(rank, kind="stable"), rank
 
 
-def repeated_tokens(tokens: np.ndarray, page: np.ndarray, run: int, least: int) -> np.ndarray:
-    """Which tokens lie in a substring of `run` or more tokens that stands on at least `least` distinct pages."""
-    covered = np.zeros(len(tokens), bool)
+def repeated_begins(tokens: np.ndarray, page: np.ndarray, run: int, least: float) -> np.ndarray:
+    """Where `run` tokens begin that stand on at least `least` distinct pages."""
     if len(tokens) < run:
-        return covered
+        return np.zeros(0, np.int64)
     order, rank = suffix_order(tokens, run)
     groups, pages = rank[order], page[order]
     # order is stable, so a group's places are in page order: count where the page changes
     fresh = np.ones(len(order), bool)
     fresh[1:] = (groups[1:] != groups[:-1]) | (pages[1:] != pages[:-1])
-    begins = order[np.bincount(groups, weights=fresh)[groups] >= least]
-    edges = np.zeros(len(tokens) + 1, np.int64)
+    return order[np.bincount(groups, weights=fresh)[groups] >= least]
+
+
+def covered_tokens(begins: np.ndarray, n: int, run: int) -> np.ndarray:
+    """Which of `n` tokens lie in the `run` tokens from one of these places on."""
+    edges = np.zeros(n + 1, np.int64)
     np.add.at(edges, begins, 1)
-    np.add.at(edges, np.minimum(begins + run, len(tokens)), -1)
+    np.add.at(edges, np.minimum(begins + run, n), -1)
     return np.cumsum(edges[:-1]) > 0
 
 
-def main_texts(pages: Sequence[list[Block]], run: int = RUN, share: float = SHARE) -> list[tuple[str, int]]:
-    """Of each of some pages of one host: its main text, and the number of its blocks that repeated runs cover."""
-    tokens, page, block = token_streams(pages)
-    covered = repeated_tokens(tokens, page, run, max(2, int(np.ceil(share * len(pages)))))
+def repeated_tokens(tokens: np.ndarray, page: np.ndarray, run: int, least: int) -> np.ndarray:
+    """Which tokens lie in a substring of `run` or more tokens that stands on at least `least` distinct pages."""
+    return covered_tokens(repeated_begins(tokens, page, run, least), len(tokens), run)
+
+
+def run_hashes(hashed: np.ndarray, block: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `run` tokens within one page, the same in every shard, and their places, from `hashed_tokens`."""
+    ends = np.flatnonzero(block < 0)
+    return grams(hashed, np.concatenate([[0], np.stack([ends, ends + 1], 1).ravel()]), run)
+
+
+def least_pages(pages: int, share: float) -> int:
+    return max(2, int(np.ceil(share * pages)))
+
+
+def named_runs(pages: Sequence[list[Block]], run: int, share: float) -> np.ndarray:
+    """Hashes of the runs that stand on a share of a shard's pages; a run with that share of its host is named by a shard."""
+    hashed, page, block = hashed_tokens(pages)
+    begins = repeated_begins(numbered(hashed, page, block), page, run, share * len(pages) - 1e-6)
+    value, place = run_hashes(hashed, block, run)
+    return np.unique(value[np.isin(place, begins)])
+
+
+def pages_with(pages: Sequence[list[Block]], run: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the wanted runs that some pages have: their hashes, and on how many of the pages each stands."""
+    hashed, page, block = hashed_tokens(pages)
+    value, place = run_hashes(hashed, block, run)
+    hit = np.isin(value, wanted)
+    order = np.lexsort((page[place[hit]], value[hit]))
+    value, page = value[hit][order], page[place[hit]][order]
+    fresh = np.ones(len(value), bool)
+    fresh[1:] = (value[1:] != value[:-1]) | (page[1:] != page[:-1])
+    return np.unique(value[fresh], return_counts=True)
+
+
+def main_texts(pages: Sequence[list[Block]], run: int = RUN, share: float = SHARE, runs: np.ndarray | None = None) -> list[tuple[str, int]]:
+    """Of each of some pages of one host: its main text, and the number of its blocks that repeated runs cover.
+
+    These are the runs of given hashes, or else what the pages repeat among themselves.
+    """
+    hashed, page, block = hashed_tokens(pages)
+    if runs is None:
+        covered = repeated_tokens(numbered(hashed, page, block), page, run, least_pages(len(pages), share))
+    else:
+        value, place = run_hashes(hashed, block, run)
+        covered = covered_tokens(place[np.isin(value, runs)], len(hashed), run)
     n = int(block.max(initial=-1)) + 1
     repeated = np.bincount(block[(block >= 0) & ~covered], minlength=n) == 0
     out, at = [], 0
@@ -262,7 +318,8 @@ def host_of(url: str) -> Column:
 
 
 def sharded(pages: DataFrame) -> DataFrame:
-    """(row, html, host, shard): `row` has all columns but html; shards of a host are of about equal size, by a hash."""
+    """(row, html, host, shard, shards, on_host): `row` has all columns but html; shards of a host are of about equal size,
+    by a hash; `on_host`, the number of the host's pages, is null for hosts of one shard."""
     rows = pages.select(
         F.struct(*[c for c in pages.columns if c != "html"]).alias("row"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
@@ -271,9 +328,56 @@ def sharded(pages: DataFrame) -> DataFrame:
     sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("chars"))
     shards = F.ceil(F.greatest(F.col("n") / SHARD_PAGES, F.col("chars") / SHARD_CHARS)).cast("long")
     # only hosts of several shards: few rows, whose size Spark sees in the written table
-    large = kept(sizes.select("host", shards.alias("shards")).where("shards > 1"), "large-hosts")
+    large = kept(sizes.select("host", shards.alias("shards"), F.col("n").alias("on_host")).where("shards > 1"), "large-hosts")
     shard = F.pmod(F.xxhash64("row.page_id", "row.url", "html"), F.coalesce("shards", F.lit(1)))
-    return rows.join(large, "host", "left").select("row", "html", "host", shard.alias("shard"))
+    return rows.join(large, "host", "left").select("row", "html", "host", shard.alias("shard"), F.coalesce("shards", F.lit(1)).alias("shards"), "on_host")
+
+
+BLOCKS_DDL = "texts array<string>, kinds array<string>, marks array<int>"
+
+
+def block_columns(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the blocks of their html, the last column, in its place."""
+    for batch in pages:
+        read = [blocks_of(h) for h in batch.column("html").to_pylist()]
+        made = [
+            pa.array([[b.text for b in blocks] for blocks in read], pa.list_(pa.string())),
+            pa.array([[b.kind for b in blocks] for blocks in read], pa.list_(pa.string())),
+            pa.array([[2 * b.level + b.aside for b in blocks] for blocks in read], pa.list_(pa.int32())),
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], "texts", "kinds", "marks"])
+
+
+def blocks_in(rows: pa.Table) -> list[list[Block]]:
+    columns = [rows.column(c).to_pylist() for c in ("texts", "kinds", "marks")]
+    return [[Block(t, k, m // 2, m % 2 == 1) for t, k, m in zip(*page)] for page in zip(*columns)]
+
+
+def host_runs(blocks: DataFrame, run: int, share: float) -> DataFrame:
+    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages."""
+    content = blocks.select("host", "shard", "shards", "on_host", "texts", "kinds", "marks")
+
+    def hashes(rows: pa.Table) -> np.ndarray:
+        return rows.column("run").to_numpy().view(np.uint64)
+
+    def name(rows: pa.Table) -> pa.Table:
+        found = pa.array(named_runs(blocks_in(rows), run, share).view(np.int64))
+        same = [pa.repeat(rows.column(c)[0], len(found)) for c in ("host", "shards", "on_host")]
+        return pa.table([*same, found], ["host", "shards", "on_host", "run"])
+
+    def count(rows: pa.Table, wanted: pa.Table) -> pa.Table:
+        value, n = pages_with(blocks_in(rows), run, hashes(wanted))
+        same = [pa.repeat(wanted.column(c)[0], len(n)) if len(n) else pa.array([], t) for c, t in (("host", pa.string()), ("shards", pa.int64()), ("on_host", pa.int64()))]
+        return pa.table([*same, pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], ["host", "shards", "on_host", "run", "n"])
+
+    to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")
+    ddl = "host string, shards long, on_host long, run long"
+    named = kept(content.groupBy("host", "shard").applyInArrow(name, ddl).distinct(), "named-runs", release=True)
+    asked = named.select("*", to_all).groupBy("host", "shard")
+    counted = content.groupBy("host", "shard").cogroup(asked).applyInArrow(count, ddl + ", n long")
+    enough = F.sum("n") >= F.greatest(F.lit(2), F.ceil(F.lit(share) * F.col("on_host")))
+    runs = counted.groupBy("host", "shards", "on_host", "run").agg(enough.alias("enough")).where("enough")
+    return kept(runs.select("host", "shards", "run"), "host-runs", release=True).select("host", to_all, "run")
 
 
 def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFrame:
@@ -283,13 +387,23 @@ def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFra
     form = StructType([*shards.schema["row"].dataType.fields])
     others = [f.name for f in form.fields if f.name not in ("text", "n_chars", "n_repeated")]
 
-    def texts(rows: pa.Table) -> pa.Table:
-        found = main_texts([blocks_of(h) for h in rows.column("html").to_pylist()], run, share)
-        made = [pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())]
-        return pa.table([rows.column("row").combine_chunks(), *made], ["row", "text", "n_repeated"])
+    def made(rows: pa.Table, found: list[tuple[str, int]]) -> pa.Table:
+        columns = [pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())]
+        return pa.table([rows.column("row").combine_chunks(), *columns], ["row", "text", "n_repeated"])
+
+    def alone(rows: pa.Table) -> pa.Table:
+        return made(rows, main_texts([blocks_of(h) for h in rows.column("html").to_pylist()], run, share))
+
+    def among(rows: pa.Table, runs: pa.Table) -> pa.Table:
+        return made(rows, main_texts(blocks_in(rows), run, share, runs.column("run").to_numpy().view(np.uint64)))
 
     out = StructType([StructField("row", form), StructField("text", StringType()), StructField("n_repeated", LongType())])
-    done = shards.groupBy("host", "shard").applyInArrow(texts, out)
+    done = shards.where("shards = 1").groupBy("host", "shard").applyInArrow(alone, out)
+    several = shards.where("shards > 1").select("row", "host", "shard", "shards", "on_host", "html")
+    fields = [*several.schema.fields[:-1], *StructType.fromDDL(BLOCKS_DDL).fields]
+    blocks = kept(several.mapInArrow(block_columns, StructType(fields)), "page-blocks")
+    runs = host_runs(blocks, run, share)
+    done = done.unionByName(blocks.groupBy("host", "shard").cogroup(runs.groupBy("host", "shard")).applyInArrow(among, out))
     return done.select(*[F.col("row")[c].alias(c) for c in others], "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 

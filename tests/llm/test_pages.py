@@ -96,3 +96,23 @@ def test_shards_of_a_large_host(spark, monkeypatch, prose):
     frame = spark.createDataFrame([(i, "http://a.org", f"<p>{i}</p><div>{' '.join(prose(2, 20))}</div>") for i in range(200)], "page_id long, url string, html string")
     assert 10 <= m.sharded(frame).select("shard").distinct().count() <= 13
     assert all(r.text == str(r.page_id) for r in m.extracted(frame).collect())
+
+
+def test_repeats_are_those_of_the_whole_host(spark, monkeypatch, prose):
+    """Runs on 3 to 12 % of a host's pages around a share of 7 %: shards of any size find the same."""
+    r = random.Random(5)
+    often = {i: " ".join(prose(("run", i), 9)) for i in range(12)}
+    pages = []
+    for i in range(150):
+        blocks = [" ".join(prose((i, j), r.randint(1, 12))) for j in range(4)] + [often[k] for k in often if r.random() < 0.03 + 0.01 * k]
+        r.shuffle(blocks)
+        pages.append((i, "http://a.org" if i % 5 else "http://b.org", "".join(f"<div>{b}</div>" for b in blocks)))
+    pages += pages[:9]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+
+    def found(size):
+        monkeypatch.setattr(m, "SHARD_PAGES", size)
+        return sorted(map(tuple, m.extracted(frame, 8, 0.07).collect()))
+
+    whole = found(1000)
+    assert found(16) == whole and found(3) == whole and len({x[-1] for x in whole}) > 1
