@@ -25,7 +25,7 @@ whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from hashlib import blake2b
 from html import unescape
 from typing import NamedTuple
@@ -333,29 +333,16 @@ def sharded(pages: DataFrame) -> DataFrame:
     return rows.join(large, "host", "left").select("row", "html", "host", shard.alias("shard"), F.coalesce("shards", F.lit(1)).alias("shards"), "on_host")
 
 
-BLOCKS_DDL = "texts array<string>, kinds array<string>, marks array<int>"
-
-
-def block_columns(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the blocks of their html, the last column, in its place."""
-    for batch in pages:
-        read = [blocks_of(h) for h in batch.column("html").to_pylist()]
-        made = [
-            pa.array([[b.text for b in blocks] for blocks in read], pa.list_(pa.string())),
-            pa.array([[b.kind for b in blocks] for blocks in read], pa.list_(pa.string())),
-            pa.array([[2 * b.level + b.aside for b in blocks] for blocks in read], pa.list_(pa.int32())),
-        ]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], "texts", "kinds", "marks"])
-
-
 def blocks_in(rows: pa.Table) -> list[list[Block]]:
-    columns = [rows.column(c).to_pylist() for c in ("texts", "kinds", "marks")]
-    return [[Block(t, k, m // 2, m % 2 == 1) for t, k, m in zip(*page)] for page in zip(*columns)]
+    return [blocks_of(h) for h in rows.column("html").to_pylist()]
+
 
+def host_runs(shards: DataFrame, run: int, share: float) -> DataFrame:
+    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages.
 
-def host_runs(blocks: DataFrame, run: int, share: float) -> DataFrame:
-    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages."""
-    content = blocks.select("host", "shard", "shards", "on_host", "texts", "kinds", "marks")
+    Pages are read from their markup each time: to keep their blocks would take more disk than it saves time.
+    """
+    content = shards.select("host", "shard", "shards", "on_host", "html")
 
     def hashes(rows: pa.Table) -> np.ndarray:
         return rows.column("run").to_numpy().view(np.uint64)
@@ -392,7 +379,7 @@ def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFra
         return pa.table([rows.column("row").combine_chunks(), *columns], ["row", "text", "n_repeated"])
 
     def alone(rows: pa.Table) -> pa.Table:
-        return made(rows, main_texts([blocks_of(h) for h in rows.column("html").to_pylist()], run, share))
+        return made(rows, main_texts(blocks_in(rows), run, share))
 
     def among(rows: pa.Table, runs: pa.Table) -> pa.Table:
         return made(rows, main_texts(blocks_in(rows), run, share, runs.column("run").to_numpy().view(np.uint64)))
@@ -400,10 +387,8 @@ def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFra
     out = StructType([StructField("row", form), StructField("text", StringType()), StructField("n_repeated", LongType())])
     done = shards.where("shards = 1").groupBy("host", "shard").applyInArrow(alone, out)
     several = shards.where("shards > 1").select("row", "host", "shard", "shards", "on_host", "html")
-    fields = [*several.schema.fields[:-1], *StructType.fromDDL(BLOCKS_DDL).fields]
-    blocks = kept(several.mapInArrow(block_columns, StructType(fields)), "page-blocks")
-    runs = host_runs(blocks, run, share)
-    done = done.unionByName(blocks.groupBy("host", "shard").cogroup(runs.groupBy("host", "shard")).applyInArrow(among, out))
+    runs = host_runs(several, run, share).groupBy("host", "shard")
+    done = done.unionByName(several.groupBy("host", "shard").cogroup(runs).applyInArrow(among, out))
     return done.select(*[F.col("row")[c].alias(c) for c in others], "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
