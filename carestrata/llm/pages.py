@@ -80,7 +80,7 @@ NO_ARTICLE = {"comment", "comments", "reply", "replies", "ad", "advert", "advert
 
 
 class Block(NamedTuple):
-    text: str
+    text: str  # not empty, on one line
     kind: str  # of the innermost block-level tag opened
     level: int  # 2 in an article, 1 in another main part, else 0
     aside: bool  # in a part that says it is no main text
@@ -318,7 +318,7 @@ def host_of(url: str) -> Column:
 
 
 def sharded(pages: DataFrame) -> DataFrame:
-    """(row, html, host, shard, shards, on_host): `row` has all columns but html; shards of a host are of about equal size,
+    """(row, blocks, host, shard, shards, on_host): `row` has all columns but html; shards of a host are of about equal size,
     by a hash; `on_host`, the number of the host's pages, is null for hosts of one shard."""
     rows = pages.select(
         F.struct(*[c for c in pages.columns if c != "html"]).alias("row"),
@@ -330,19 +330,34 @@ def sharded(pages: DataFrame) -> DataFrame:
     # only hosts of several shards: few rows, whose size Spark sees in the written table
     large = kept(sizes.select("host", shards.alias("shards"), F.col("n").alias("on_host")).where("shards > 1"), "large-hosts")
     shard = F.pmod(F.xxhash64("row.page_id", "row.url", "html"), F.coalesce("shards", F.lit(1)))
-    return rows.join(large, "host", "left").select("row", "html", "host", shard.alias("shard"), F.coalesce("shards", F.lit(1)).alias("shards"), "on_host")
+    return rows.join(large, "host", "left").select("row", lines_of("html").alias("blocks"), "host", shard.alias("shard"), F.coalesce("shards", F.lit(1)).alias("shards"), "on_host")
+
+
+def lines_of(html: str) -> Column:
+    """The blocks of a page, a line for each: level, whether aside, kind and text."""
+
+    @F.arrow_udf("string")
+    def lines(pages: pa.Array) -> pa.Array:
+        return pa.array(["\n".join(map(line_of, blocks_of(h))) for h in pages.to_pylist()], pa.string())
+
+    return lines(html)
+
+
+def line_of(block: Block) -> str:
+    return f"{block.level}{block.aside:d}{block.kind} {block.text}"
+
+
+def block_in(line: str) -> Block:
+    marks, text = line.split(" ", 1)
+    return Block(text, marks[2:], int(marks[0]), marks[1] == "1")
 
 
 def blocks_in(rows: pa.Table) -> list[list[Block]]:
-    return [blocks_of(h) for h in rows.column("html").to_pylist()]
+    return [[block_in(line) for line in lines.split("\n") if line] for lines in rows.column("blocks").to_pylist()]
 
 
 def host_runs(shards: DataFrame, run: int, share: float) -> DataFrame:
-    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages.
-
-    Pages are read from their markup each time: to keep their blocks would take more disk than it saves time.
-    """
-    content = shards.select("host", "shard", "shards", "on_host", "html")
+    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages."""
 
     def hashes(rows: pa.Table) -> np.ndarray:
         return rows.column("run").to_numpy().view(np.uint64)
@@ -359,17 +374,21 @@ def host_runs(shards: DataFrame, run: int, share: float) -> DataFrame:
 
     to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")
     ddl = "host string, shards long, on_host long, run long"
-    named = kept(content.groupBy("host", "shard").applyInArrow(name, ddl).distinct(), "named-runs", release=True)
+    named = shards.groupBy("host", "shard").applyInArrow(name, ddl).distinct()
     asked = named.select("*", to_all).groupBy("host", "shard")
-    counted = content.groupBy("host", "shard").cogroup(asked).applyInArrow(count, ddl + ", n long")
+    counted = shards.groupBy("host", "shard").cogroup(asked).applyInArrow(count, ddl + ", n long")
     enough = F.sum("n") >= F.greatest(F.lit(2), F.ceil(F.lit(share) * F.col("on_host")))
     runs = counted.groupBy("host", "shards", "on_host", "run").agg(enough.alias("enough")).where("enough")
-    return kept(runs.select("host", "shards", "run"), "host-runs", release=True).select("host", to_all, "run")
+    return runs.select("host", to_all, "run")
 
 
 def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFrame:
     """`pages` (page_id, url, html and others) without html, with `text`, its `n_chars`, and `n_repeated`, the number of
-    blocks that the host repeats. Existing columns of these names are replaced."""
+    blocks that the host repeats. Existing columns of these names are replaced.
+
+    Shards are named, counted and extracted in one plan by the same grouping of the same columns, so that their blocks are
+    exchanged once: Spark reads that exchange again for each of the three.
+    """
     shards = sharded(pages)
     form = StructType([*shards.schema["row"].dataType.fields])
     others = [f.name for f in form.fields if f.name not in ("text", "n_chars", "n_repeated")]
@@ -386,7 +405,7 @@ def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFra
 
     out = StructType([StructField("row", form), StructField("text", StringType()), StructField("n_repeated", LongType())])
     done = shards.where("shards = 1").groupBy("host", "shard").applyInArrow(alone, out)
-    several = shards.where("shards > 1").select("row", "host", "shard", "shards", "on_host", "html")
+    several = shards.where("shards > 1")
     runs = host_runs(several, run, share).groupBy("host", "shard")
     done = done.unionByName(several.groupBy("host", "shard").cogroup(runs).applyInArrow(among, out))
     return done.select(*[F.col("row")[c].alias(c) for c in others], "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from carestrata.llm import pages as m
@@ -116,3 +117,29 @@ def test_repeats_are_those_of_the_whole_host(spark, monkeypatch, prose):
 
     whole = found(1000)
     assert found(16) == whole and found(3) == whole and len({x[-1] for x in whole}) > 1
+
+
+def test_blocks_of_odd_pages_as_lines():
+    html = "0 x<p>a\r\nb\x0bc\x85d&#10;&#13;e\u2028f&nbsp;g</p><article><h1> 21 </h1><nav>&lt;p&gt; \\n</nav><p>é</article><custom>1"
+    blocks = m.blocks_of(html)
+    assert len(blocks) == 6 and {b.kind for b in blocks} == {"", "p", "h1", "nav"}
+    pages = ["\n".join(map(m.line_of, x)) for x in (blocks, [], blocks[:1])]
+    assert m.blocks_in(pa.table({"blocks": pages})) == [blocks, [], blocks[:1]]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_pages_of_large_hosts_are_exchanged_once(spark, monkeypatch, prose, adaptive):
+    monkeypatch.setattr(m, "SHARD_PAGES", 16)
+    pages = [(i, f"http://{'ab'[i % 2]}.org/{i}", f"<p>{i}</p><div>{' '.join(prose(i % 5, 20))}</div>") for i in range(100)]
+    frame = spark.createDataFrame([*pages, (None, "http://c.org", "<p>x")], "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        out = m.extracted(frame)
+        assert {r.page_id: r.text for r in out.collect()} == {None: "x"} | {i: str(i) for i in range(100)}
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    # named from, counted on and taken out of the same exchange, and nothing of it is hidden in a plan that ran before
+    assert plan.count("FlatMapGroupsInArrow") == 2 and plan.count("FlatMapCoGroupsInArrow") == 2
+    assert plan.count("ReusedExchange [host#") == 2
