@@ -42,7 +42,7 @@ from carestrata.llm.store import kept, table
 RUN, SHARE = 8, 0.02
 #: Words are what stands between spaces.
 BY_SPACE = np.where(np.arange(256) == 32, SPACE, WORD).astype(np.uint8)
-SHARD_PAGES, SHARD_CHARS = 256, 4 << 20
+SHARD_PAGES, SHARD_CHARS = 256, 8 << 20
 
 #: Elements whose content is no text of a page.
 HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "datalist"}
@@ -269,12 +269,23 @@ def least_pages(pages: int, share: float) -> int:
     return max(2, int(np.ceil(share * pages)))
 
 
-def named_runs(pages: Sequence[list[Block]], run: int, share: float) -> np.ndarray:
-    """Hashes of the runs that stand on a share of a shard's pages; a run with that share of its host is named by a shard."""
+def unnamed(pages: Column, share: float) -> Column:
+    """On how many pages of a shard of so many pages a run may stand without being named there."""
+    return F.greatest(F.lit(0), F.ceil(F.lit(share) * pages - F.lit(1e-6)) - 1)
+
+
+def named_runs(pages: Sequence[list[Block]], run: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that stand on a share of a shard's pages: their hashes, and on how many pages above `unnamed` each stands.
+
+    A run with that share of its host is named by a shard.
+    """
     hashed, page, block = hashed_tokens(pages)
-    begins = repeated_begins(numbered(hashed, page, block), page, run, share * len(pages) - 1e-6)
+    least = max(1, int(np.ceil(share * len(pages) - 1e-6)))
+    begins = repeated_begins(numbered(hashed, page, block), page, run, least)
     value, place = run_hashes(hashed, block, run)
-    return np.unique(value[np.isin(place, begins)])
+    hit = np.isin(place, begins)
+    found, n = page_counts(value[hit], page[place[hit]])
+    return found, n - (least - 1)
 
 
 def pages_with(pages: Sequence[list[Block]], run: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -282,8 +293,13 @@ def pages_with(pages: Sequence[list[Block]], run: int, wanted: np.ndarray) -> tu
     hashed, page, block = hashed_tokens(pages)
     value, place = run_hashes(hashed, block, run)
     hit = np.isin(value, wanted)
-    order = np.lexsort((page[place[hit]], value[hit]))
-    value, page = value[hit][order], page[place[hit]][order]
+    return page_counts(value[hit], page[place[hit]])
+
+
+def page_counts(value: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values, and on how many distinct pages each stands."""
+    order = np.lexsort((page, value))
+    value, page = value[order], page[order]
     fresh = np.ones(len(value), bool)
     fresh[1:] = (value[1:] != value[:-1]) | (page[1:] != page[:-1])
     return np.unique(value[fresh], return_counts=True)
@@ -317,9 +333,10 @@ def host_of(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
-def sharded(pages: DataFrame) -> DataFrame:
-    """(row, blocks, host, shard, shards, on_host): `row` has all columns but html; shards of a host are of about equal size,
-    by a hash; `on_host`, the number of the host's pages, is null for hosts of one shard."""
+def sharded(pages: DataFrame, share: float = SHARE) -> DataFrame:
+    """(row, blocks, host, shard, shards, least, above): `row` has all columns but html; shards of a host are of about equal
+    size, by a hash. `least` is on how many of the host's pages boilerplate stands; if less than `above` pages come together
+    above what shards leave unnamed, a run can't reach it. Both are null for hosts of one shard."""
     rows = pages.select(
         F.struct(*[c for c in pages.columns if c != "html"]).alias("row"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
@@ -328,9 +345,15 @@ def sharded(pages: DataFrame) -> DataFrame:
     sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("chars"))
     shards = F.ceil(F.greatest(F.col("n") / SHARD_PAGES, F.col("chars") / SHARD_CHARS)).cast("long")
     # only hosts of several shards: few rows, whose size Spark sees in the written table
-    large = kept(sizes.select("host", shards.alias("shards"), F.col("n").alias("on_host")).where("shards > 1"), "large-hosts")
-    shard = F.pmod(F.xxhash64("row.page_id", "row.url", "html"), F.coalesce("shards", F.lit(1)))
-    return rows.join(large, "host", "left").select("row", lines_of("html").alias("blocks"), "host", shard.alias("shard"), F.coalesce("shards", F.lit(1)).alias("shards"), "on_host")
+    several = kept(sizes.select("host", shards.alias("shards"), F.col("n").alias("on_host")).where("shards > 1"), "large-hosts")
+    shard = F.pmod(F.xxhash64("row.page_id", "row.url", "html"), F.coalesce("shards", F.lit(1))).alias("shard")
+    dealt = rows.join(several, "host").select("host", shard).groupBy("host", "shard").agg(unnamed(F.count("*"), share).alias("unnamed"))
+    least = F.greatest(F.lit(2), F.ceil(F.lit(share) * F.col("on_host")))
+    large = several.join(dealt.groupBy("host").agg(F.sum("unnamed").alias("unnamed")), "host")
+    large = kept(large.select("host", "shards", least.alias("least"), (least - F.col("unnamed")).alias("above")), "large-hosts")
+    return rows.join(large, "host", "left").select(
+        "row", lines_of("html").alias("blocks"), "host", shard, F.coalesce("shards", F.lit(1)).alias("shards"), "least", "above"
+    )
 
 
 def lines_of(html: str) -> Column:
@@ -356,30 +379,42 @@ def blocks_in(rows: pa.Table) -> list[list[Block]]:
     return [[block_in(line) for line in lines.split("\n") if line] for lines in rows.column("blocks").to_pylist()]
 
 
-def host_runs(shards: DataFrame, run: int, share: float) -> DataFrame:
-    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages."""
+FOUND = {"host": pa.string(), "shards": pa.int64(), "least": pa.int64(), "above": pa.int64(), "run": pa.int64(), "n": pa.int64()}
+FOUND_DDL = "host string, shards long, least long, above long, run long, n long"
+
+
+def found_in(rows: pa.Table, value: np.ndarray, n: np.ndarray) -> pa.Table:
+    """Runs of the host of `rows`, which has no rows only if there are no runs."""
+    of = [pa.repeat(rows.column(c)[0], len(n)) if len(n) else pa.array([], t) for c, t in [*FOUND.items()][:4]]
+    return pa.table([*of, pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], [*FOUND])
 
-    def hashes(rows: pa.Table) -> np.ndarray:
-        return rows.column("run").to_numpy().view(np.uint64)
+
+def of_hosts(found: DataFrame) -> DataFrame:
+    return found.groupBy("host", "shards", "least", "above", "run").agg(F.sum("n").alias("n"))
+
+
+def candidates(shards: DataFrame, run: int, share: float) -> DataFrame:
+    """(host, shards, least, above, run): hashes of the runs that may stand on a share of the host's pages.
+
+    Where pages are so long that a shard has few, it names what stands on one, so only runs that can reach `least` are left.
+    """
 
     def name(rows: pa.Table) -> pa.Table:
-        found = pa.array(named_runs(blocks_in(rows), run, share).view(np.int64))
-        same = [pa.repeat(rows.column(c)[0], len(found)) for c in ("host", "shards", "on_host")]
-        return pa.table([*same, found], ["host", "shards", "on_host", "run"])
+        return found_in(rows, *named_runs(blocks_in(rows), run, share))
+
+    return of_hosts(shards.groupBy("host", "shard").applyInArrow(name, FOUND_DDL)).where("n >= above").drop("n")
+
+
+def host_runs(shards: DataFrame, run: int, share: float) -> DataFrame:
+    """(host, shard, run): for each shard of each host the hashes of the runs that stand on a share of the host's pages."""
 
     def count(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        value, n = pages_with(blocks_in(rows), run, hashes(wanted))
-        same = [pa.repeat(wanted.column(c)[0], len(n)) if len(n) else pa.array([], t) for c, t in (("host", pa.string()), ("shards", pa.int64()), ("on_host", pa.int64()))]
-        return pa.table([*same, pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], ["host", "shards", "on_host", "run", "n"])
+        return found_in(wanted, *pages_with(blocks_in(rows), run, wanted.column("run").to_numpy().view(np.uint64)))
 
     to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")
-    ddl = "host string, shards long, on_host long, run long"
-    named = shards.groupBy("host", "shard").applyInArrow(name, ddl).distinct()
-    asked = named.select("*", to_all).groupBy("host", "shard")
-    counted = shards.groupBy("host", "shard").cogroup(asked).applyInArrow(count, ddl + ", n long")
-    enough = F.sum("n") >= F.greatest(F.lit(2), F.ceil(F.lit(share) * F.col("on_host")))
-    runs = counted.groupBy("host", "shards", "on_host", "run").agg(enough.alias("enough")).where("enough")
-    return runs.select("host", to_all, "run")
+    asked = candidates(shards, run, share).select("*", to_all).groupBy("host", "shard")
+    counted = shards.groupBy("host", "shard").cogroup(asked).applyInArrow(count, FOUND_DDL)
+    return of_hosts(counted).where("n >= least").select("host", to_all, "run")
 
 
 def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFrame:
@@ -389,7 +424,7 @@ def extracted(pages: DataFrame, run: int = RUN, share: float = SHARE) -> DataFra
     Shards are named, counted and extracted in one plan by the same grouping of the same columns, so that their blocks are
     exchanged once: Spark reads that exchange again for each of the three.
     """
-    shards = sharded(pages)
+    shards = sharded(pages, share)
     form = StructType([*shards.schema["row"].dataType.fields])
     others = [f.name for f in form.fields if f.name not in ("text", "n_chars", "n_repeated")]
 

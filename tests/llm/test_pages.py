@@ -143,3 +143,20 @@ def test_pages_of_large_hosts_are_exchanged_once(spark, monkeypatch, prose, adap
     # named from, counted on and taken out of the same exchange, and nothing of it is hidden in a plan that ran before
     assert plan.count("FlatMapGroupsInArrow") == 2 and plan.count("FlatMapCoGroupsInArrow") == 2
     assert plan.count("ReusedExchange [host#") == 2
+
+
+@pytest.mark.parametrize("size, share", [(4, 0.07), (4, 0.3), (16, 0.07)])
+def test_only_runs_that_can_reach_the_share_go_to_all_shards(spark, monkeypatch, prose, size, share):
+    """Shards of four pages name what stands on one page; what stands nowhere else isn't asked of others."""
+    monkeypatch.setattr(m, "SHARD_PAGES", size)
+    top = " ".join(prose("top", 10))
+    pages = [(i, "http://a.org", f"<div>{top}</div><div>{' '.join(prose(i, 30))}</div>") for i in range(120)]
+    shards = m.sharded(spark.createDataFrame(pages, "page_id long, url string, html string"), share)
+    per_shard = [r["count"] for r in shards.groupBy("shard").count().collect()]
+    left = m.candidates(shards, 8, share).collect()
+    least, unnamed = m.least_pages(120, share), sum(max(0, int(np.ceil(share * n - 1e-6)) - 1) for n in per_shard)
+    assert {(r.least, r.above, r.shards) for r in left} == {(least, least - unnamed, -(-120 // size))}
+    if least - unnamed > size:  # more than one shard alone has
+        assert len(left) == 4  # of eleven tokens, the block's kind and ten words
+    assert {r.run for r in m.host_runs(shards, 8, share).collect()} <= {r.run for r in left}
+    assert all(r.n_repeated == 1 and top not in r.text for r in m.extracted(spark.createDataFrame(pages, "page_id long, url string, html string"), 8, share).collect())
