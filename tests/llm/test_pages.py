@@ -157,6 +157,6 @@ def test_only_runs_that_can_reach_the_share_go_to_all_shards(spark, monkeypatch,
     least, unnamed = m.least_pages(120, share), sum(max(0, int(np.ceil(share * n - 1e-6)) - 1) for n in per_shard)
     assert {(r.least, r.above, r.shards) for r in left} == {(least, least - unnamed, -(-120 // size))}
     if least - unnamed > size:  # more than one shard alone has
-        assert len(left) == 4  # of eleven tokens, the block's kind and ten words
+        assert len(left) == 5  # of twelve tokens: the block's kind, ten words and the next block's kind
     assert {r.run for r in m.host_runs(shards, 8, share).collect()} <= {r.run for r in left}
     assert all(r.n_repeated == 1 and top not in r.text for r in m.extracted(spark.createDataFrame(pages, "page_id long, url string, html string"), 8, share).collect())
