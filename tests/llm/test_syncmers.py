@@ -85,3 +85,41 @@ def test_anchors_are_closed_syncmers(seed):
     assert place.tolist() == want
     alone = {bytes(points[p : p + m.K]): set(m.anchors(points[p : p + m.K])[1].tolist()) for p in want}
     assert all({v} == alone[bytes(points[p : p + m.K])] for p, v in zip(place.tolist(), value.tolist()))
+
+
+def test_fingerprints_hold_all_anchors(docs, prose):
+    """A change anywhere in a long text shows, and the likeness is that of all anchors."""
+    words = prose(7, 3000)
+    text, changed = " ".join(words), " ".join(words[:1500] + ["changed"] + words[1501:])
+    for t, p in zip((text, changed), m.prints([text, changed])):
+        places, values = m.anchors(np.frombuffer(t.encode("utf-32-le"), np.uint32))
+        first = {}
+        for at, value in zip(places.tolist(), values.tolist()):
+            first.setdefault(value, at)
+        assert list(zip(*(c.tolist() for c in p))) == list(first.items()) and len(first) > 1000
+    a, b = m.prints([text, changed])
+    both = set(a[0].tolist()) | set(b[0].tolist())
+    assert m.likeness(a, b) == len(set(a[0].tolist()) & set(b[0].tolist())) / len(both) and 0.99 < m.likeness(a, b) < 1
+    moved = m.prints([" ".join(words[1500:] + words[:1500])])[0]
+    assert 0.45 < m.likeness(a, moved) < 0.55
+    found = {r.doc_id: r for r in m.neighbour_prints(docs([(2, text), (1, changed)])).collect()}
+    assert found[2].fingerprint == m.written(a) != found[1].fingerprint and found[2].near_next == m.likeness(a, b)
+
+
+def test_rows_are_returned_in_runs(monkeypatch, prose):
+    import pyarrow as pa
+
+    texts = [" ".join(prose(i, 20)) for i in range(9)]
+    rows = [[0] * 9, [i == 8 for i in range(9)], list(range(9)), texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in rows], ["block", "edge", "doc_id", "text"])
+    whole = pa.Table.from_batches(m.compare_neighbours(iter([batch])))
+    monkeypatch.setattr(m, "OUT_CHARS", 500)
+    cut = list(m.compare_neighbours(iter([batch])))
+    assert len(cut) > 2 and pa.Table.from_batches(cut) == whole and whole.num_rows == 8
+
+
+def test_texts_without_anchors_are_no_empty_ones(prose):
+    texts = [t for i in range(300) if len(t := " ".join(prose(i, 6))[: m.K + 2]) > m.K and not len(m.anchors(np.frombuffer(t.encode("utf-32-le"), np.uint32))[0])]
+    found = m.prints([*texts, ""])
+    assert len(texts) > 10 and all(p[0].size == 1 for p in found[:-1]) and not found[-1][0].size
+    assert m.likeness(found[0], found[1]) == m.likeness(found[0], found[-1]) == 0 and m.likeness(found[0], found[0]) == 1
